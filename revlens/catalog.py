@@ -104,9 +104,8 @@ def revision_range(spark, folder):
 @query
 def read_diff_sizes(spark, folder):
     target = scratch_dir(spark, "diffs")
-    V.table(spark, folder, "pages").select((F.col("page_id") + 1).alias("revision"), "html").write.partitionBy(
-        "revision"
-    ).text(target)
+    bodies = V.table(spark, folder, "pages").select((F.col("page_id") + 1).alias("revision"), "html")
+    bodies.repartition("revision").write.partitionBy("revision").text(target)
     return readers.read_diff_sizes(spark, target, glob="part-*", revision_pattern=r"revision=(\d+)/")
 
 

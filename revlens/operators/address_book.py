@@ -35,12 +35,15 @@ def groups_for_users(members: DataFrame, group_names, users: DataFrame) -> DataF
     wanted = _wanted_groups(members, group_names)
     latest = wanted.groupBy("list_name").agg(F.max("doc_id").alias("doc_id"))
     found = (
-        wanted.select("doc_id", "list_name", N.member_to_user(F.col("member")).alias("user"))
+        wanted.join(latest, ["doc_id", "list_name"], "left_semi")
+        .select("list_name", N.member_to_user(F.col("member")).alias("user"))
         .join(users.select("user"), "user", "left_semi")
         .distinct()
     )
-    return latest.join(found, ["doc_id", "list_name"], "left").select(
-        F.col("list_name").alias("group_name"), "user"
+    # An outer join could not split a group with very many users.
+    without = latest.select("list_name").join(found.select("list_name").distinct(), "list_name", "left_anti")
+    return found.unionAll(without.select("list_name", F.lit(None).cast("string"))).withColumnRenamed(
+        "list_name", "group_name"
     )
 
 

@@ -77,6 +77,13 @@ def watchlist(heads: DataFrame, paths: DataFrame, revisions: DataFrame, limit: i
     listed = revisions.select("revision").distinct()
     if limit is not None:
         listed = listed.orderBy("revision").limit(limit)
-    judged = needs_diff(heads).join(listed, "revision", "left_semi")
-    shown = paths.join(listed, "revision", "left_semi").select("revision", "type", "kind", "path")
-    return judged.join(shown, "revision", "left")
+    judged = heads.join(listed, "revision", "left_semi").select(
+        "revision", needs_diff_column().alias("needs_diff"), "changed_files_count"
+    )
+    # Inner, so that a commit with very many paths can be split between tasks;
+    # commits without paths are added.
+    shown = ["revision", "needs_diff", "type", "kind", "path"]
+    bare = judged.filter("changed_files_count = 0")
+    for name in ("type", "kind", "path"):
+        bare = bare.withColumn(name, F.lit(None).cast("string"))
+    return judged.join(paths, "revision").select(*shown).unionAll(bare.select(*shown))

@@ -1,14 +1,17 @@
 """Full, incremental and diff-only loads of the stored tables."""
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revlens import rules, schema
+from revlens import rules
 from revlens.operators import diffs, tables, teams
 from revlens.plans import reports
 from revlens.session import materialize
 from revlens.sources.commit_log import CommitLog
-from revlens.sources.store import CommitStore
+from revlens.sources.store import BUCKET, CommitStore, by_range
 
 UPDATE_OR_REBUILD, UPDATE, FORCE_REBUILD = "updateOrRebuild", "update", "forceRebuild"
 
@@ -72,29 +75,42 @@ def ingest(
 ) -> None:
     """Load a log into the five tables, skipping revisions a table already has.
 
-    The log is read once and written to the shared folder; the tables are
-    projections of that copy.  Each append is atomic on its own and each table
-    is compared with its own revisions, so a load that was cut short is simply
-    run again.  Entries without a revision or date go to a reject table.
+    The log is read once and laid out by revision range in the shared folder;
+    the tables are projections of that copy, written without another shuffle
+    and side by side.  Each append is atomic on its own and each table is
+    compared with its own revisions, so a load that was cut short is simply run
+    again.  Entries without a revision or date go to a reject table.
     """
-    log = CommitLog(materialize(log.heads, "heads"), materialize(log.paths, "paths"))
+    log = CommitLog(_stage(log.heads, "heads"), _stage(log.paths, "paths"))
     lo, hi, n_rejected = log.heads.agg(
         F.min("revision"), F.max("revision"), F.count_if(F.col("date").isNull() | F.col("revision").isNull())
     ).first()
     if n_rejected:
-        store.append_rejects(log.rejects)
+        store.append_rejects(log.rejects.drop(BUCKET))
         log = CommitLog(log.dated, log.paths.join(log.dated, "revision", "left_semi"))
     built = tables.build(log, week_rule, branch_rules)
     if author_rules is not None:
         built["commits"] = teams.assign_team_role(built["commits"], author_rules)
     if sizes is not None:
         built["commits"] = diffs.refresh(built["commits"], log.heads, sizes)
-    for name in schema.TABLES:
+
+    def write(name: str) -> None:
+        rows, stored = built[name], store.read(name, lo, hi).select("revision")
+        laid_out = not n_rejected and not (name == "commits" and sizes is not None)
         if mode == "overwrite":
-            store.replace(built[name], name)
+            store.replace(rows, name, laid_out)
+        elif stored.isEmpty():
+            store.append(rows, name, laid_out)
         else:
-            stored = store.read(name, lo, hi).select("revision")
-            store.append(built[name].join(stored, "revision", "left_anti"), name)
+            store.append(rows.join(stored.distinct(), "revision", "left_anti"), name)
+
+    with ThreadPoolExecutor(len(built)) as pool:
+        for done in [pool.submit(inheritable_thread_target(log.heads.sparkSession)(write), n) for n in built]:
+            done.result()
+
+
+def _stage(df: DataFrame, name: str) -> DataFrame:
+    return materialize(by_range(df), name, [BUCKET])
 
 
 def load(

@@ -33,16 +33,22 @@ def read_commit_log(spark: SparkSession, path: str, format="xml", row_tag="logen
     """Log entries with their changed paths, one row per entry.
 
     ``xml`` reads what the version-control client exports with paths switched
-    on; ``json`` and ``parquet`` read entries already in the nested schema.
-    Large files are split between tasks by entry.
+    on, in UTF-8; ``json`` and ``parquet`` read entries already in the nested
+    schema.  XML is read as text that ends a record at each closing tag, since
+    the XML source gives a whole file to one task and an export is often a
+    single file.  Character data cannot contain the tag: exports escape it.
     """
     if format != "xml":
         return spark.read.format(format).schema(schema.LOG_ENTRY).load(path)
+    closing = f"</{row_tag}>"
+    opening = F.instr("value", f"<{row_tag}")
+    element = F.concat(F.substr("value", opening), F.lit(closing))
+    options = {"ignoreSurroundingSpaces": "false", "mode": "FAILFAST"}
     raw = (
-        spark.read.schema(XML_ENTRY)
-        .option("rowTag", row_tag)
-        .option("ignoreSurroundingSpaces", "false")
-        .xml(path)
+        spark.read.text(path, lineSep=closing)
+        .filter(opening > 0)
+        .select(F.from_xml(element, XML_ENTRY, options).alias("entry"))
+        .select("entry.*")
     )
     return raw.select(
         F.col("_revision").alias("revision"),
@@ -113,30 +119,32 @@ class CommitLog:
 
         Paths are only ever folded into fixed-size aggregates, combined before
         the shuffle, so a commit that touches a third of all paths costs no
-        task more than another.  The first path does not need unique paths;
-        it is aggregated on its own, and a query that uses nothing else leaves
-        the de-duplication out of its plan.
+        task more than another.  Paths that are not unique are de-duplicated
+        for the counts and flags only: the first path is the same either way,
+        and a query that uses nothing else leaves that step out of its plan.
         """
         unique = paths if unique_paths else dedupe_paths(paths)
-        first = paths.groupBy("revision").agg(F.min(F.struct("ordinal", "path"))["path"].alias("first_path"))
-        facts = unique.groupBy("revision").agg(
+        first = F.min(F.struct("ordinal", "path"))["path"].alias("first_path")
+        facts = [
             F.count(F.lit(1)).cast("int").alias("n_paths"),
             F.bool_or(P.is_copied_dir(F.col("kind"), F.col("copy_path"))).alias("copied"),
             F.bool_or(P.is_diffable(F.col("path"), F.col("kind"), F.col("type"), mode)).alias("diffable"),
-        )
-        heads = (
-            entries.join(first, "revision", "left")
-            .join(facts, "revision", "left")
-            .select(
-                "revision",
-                "date",
-                "author",
-                "message",
-                "first_path",
-                F.coalesce("n_paths", F.lit(0)).alias("changed_files_count"),
-                F.coalesce("copied", F.lit(False)).alias("has_copied_dir"),
-                F.coalesce("diffable", F.lit(False)).alias("has_diffable"),
+        ]
+        if unique_paths:
+            joined = entries.join(unique.groupBy("revision").agg(first, *facts), "revision", "left")
+        else:
+            joined = entries.join(paths.groupBy("revision").agg(first), "revision", "left").join(
+                unique.groupBy("revision").agg(*facts), "revision", "left"
             )
+        heads = joined.select(
+            "revision",
+            "date",
+            "author",
+            "message",
+            "first_path",
+            F.coalesce("n_paths", F.lit(0)).alias("changed_files_count"),
+            F.coalesce("copied", F.lit(False)).alias("has_copied_dir"),
+            F.coalesce("diffable", F.lit(False)).alias("has_diffable"),
         )
         return cls(heads, unique.select("revision", "ordinal", "path", "type", "kind", "copy_path"))
 

@@ -21,19 +21,28 @@ def typed(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.TABLES[table].fields])
 
 
-def write_table(df: DataFrame, path: str, table: str, mode="append", buckets_only=False) -> None:
-    """Write typed rows, one folder per range of revisions.
+def by_range(df: DataFrame) -> DataFrame:
+    """Lay rows out by ranges of revisions, ready to be written one folder each.
 
     Rebalancing brings a range together in one task, merges small ranges and
-    splits one that holds far more rows than others, and the sort gives files
-    tight revision statistics.  ``buckets_only`` limits an overwrite to the
+    splits one that holds far more rows than others.
+    """
+    return df.withColumn(BUCKET, F.expr(f"revision div {BUCKET_SPAN}")).hint("rebalance", F.col(BUCKET))
+
+
+def write_table(
+    df: DataFrame, path: str, table: str, mode="append", buckets_only=False, laid_out=False
+) -> None:
+    """Write typed rows, one folder per range of revisions, sorted in each file.
+
+    ``laid_out`` says that ``df`` reads rows already laid out by range, so they
+    are written without a shuffle.  ``buckets_only`` limits an overwrite to the
     ranges that ``df`` has rows for.
     """
+    rows = typed(df, table)
+    rows = rows.withColumn(BUCKET, F.expr(f"revision div {BUCKET_SPAN}")) if laid_out else by_range(rows)
     (
-        typed(df, table)
-        .withColumn(BUCKET, F.expr(f"revision div {BUCKET_SPAN}"))
-        .hint("rebalance", F.col(BUCKET))
-        .sortWithinPartitions(BUCKET, "revision")
+        rows.sortWithinPartitions(BUCKET, "revision")
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic" if buckets_only else "static")
         .partitionBy(BUCKET)
@@ -80,14 +89,14 @@ class CommitStore:
             df = df.filter(F.col("revision") >= start)
         return df if end is None else df.filter(F.col("revision") <= end)
 
-    def append(self, df: DataFrame, table: str) -> None:
-        write_table(df, self.path(table), table)
+    def append(self, df: DataFrame, table: str, laid_out=False) -> None:
+        write_table(df, self.path(table), table, laid_out=laid_out)
 
     def append_rejects(self, df: DataFrame) -> None:
         df.write.mode("append").parquet(self.path("rejects"))
 
-    def replace(self, df: DataFrame, table: str) -> None:
-        write_table(df, self.path(table), table, mode="overwrite")
+    def replace(self, df: DataFrame, table: str, laid_out=False) -> None:
+        write_table(df, self.path(table), table, mode="overwrite", laid_out=laid_out)
 
     def replace_buckets(self, df: DataFrame, table: str) -> None:
         write_table(df, self.path(table), table, mode="overwrite", buckets_only=True)
