@@ -306,7 +306,8 @@ SQL = {
         FROM documents""",
     "groups_for_users": """
         SELECT n_name AS group_name, lower(c_name) AS user
-        FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey AND c_mktsegment <> 'HOUSEHOLD'""",
+        FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey AND c_mktsegment <> 'HOUSEHOLD'
+        UNION ALL SELECT r_name, NULL FROM region""",
     "member_to_user": f"""
         WITH keyed AS (SELECT id, {_KEY} AS key FROM ({catalog.PEOPLE}))
         SELECT id, CASE WHEN len(string_split(key, ' ')) = 2

@@ -427,8 +427,9 @@ def item_or_default(spark, folder):
     return V.table(spark, folder, "documents").select("doc_id", N.item_or_default(lines, "NO-LINE").alias("item"))
 
 
-def _nation_names(spark, folder) -> DataFrame:
-    return V.table(spark, folder, "nation").select(F.lower("n_name").alias("name"))
+def _group_names(spark, folder) -> DataFrame:
+    nations = V.table(spark, folder, "nation").select(F.lower("n_name").alias("name"))
+    return nations.unionAll(V.table(spark, folder, "region").select(F.lower("r_name").alias("name")))
 
 
 @query
@@ -439,7 +440,7 @@ def groups_for_users(spark, folder):
         .select(F.lower("c_name").alias("user"))
     )
     members = V.view(spark, folder, V.GROUP_MEMBERS)
-    return address_book.groups_for_users(members, _nation_names(spark, folder), users)
+    return address_book.groups_for_users(members, _group_names(spark, folder), users)
 
 
 PEOPLE = """
@@ -467,7 +468,7 @@ def name_key(spark, folder):
 @query
 def team_roster(spark, folder):
     members = V.view(spark, folder, V.GROUP_MEMBERS)
-    return address_book.team_roster(members, V.view(spark, folder, V.PERSONS), _nation_names(spark, folder))
+    return address_book.team_roster(members, V.view(spark, folder, V.PERSONS), _group_names(spark, folder))
 
 
 @query

@@ -42,9 +42,8 @@ def groups_for_users(members: DataFrame, group_names, users: DataFrame) -> DataF
     )
     # An outer join could not split a group with very many users.
     without = latest.select("list_name").join(found.select("list_name").distinct(), "list_name", "left_anti")
-    return found.unionAll(without.select("list_name", F.lit(None).cast("string"))).withColumnRenamed(
-        "list_name", "group_name"
-    )
+    empty = without.select("list_name", F.lit(None).cast("string").alias("user"))
+    return found.unionByName(empty).select(F.col("list_name").alias("group_name"), "user")
 
 
 def team_roster(members: DataFrame, persons: DataFrame, group_names=rules.TEAM_GROUPS) -> DataFrame:

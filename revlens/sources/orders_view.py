@@ -71,12 +71,15 @@ WHERE n < 39
 """
 
 # Nations are groups, twice over so that the later document replaces the earlier;
-# customers are members, and persons twice over for the same reason.
+# customers are members, and persons twice over for the same reason.  Regions are
+# groups without members.
 GROUP_MEMBERS = """
 SELECT CAST(n_nationkey AS BIGINT) AS doc_id, n_name AS list_name, CAST(NULL AS STRING) AS member FROM nation
 UNION ALL
 SELECT CAST(n_nationkey + 100 AS BIGINT), n_name, 'CN=' || c_name || '/ORG'
 FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey
+UNION ALL
+SELECT CAST(r_regionkey + 200 AS BIGINT), r_name, CAST(NULL AS STRING) FROM region
 """
 PERSONS = """
 SELECT c_custkey + 1000 AS doc_id, 'Person' AS type, 'CN=' || c_name || '/ORG/X' AS full_name,
@@ -125,7 +128,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def view(spark: SparkSession, folder: str, sql: str) -> DataFrame:
     """Evaluate one of the definitions above over the tables of a folder."""
-    names = ("orders", "lineitem", "events", "customer", "nation", "conversations")
+    names = ("orders", "lineitem", "events", "customer", "nation", "region", "conversations")
     tables = {name: table(spark, folder, name) for name in names if name in sql}
     body = sql
     for name in tables:

@@ -12,17 +12,24 @@ BLANKS = "".join(chr(c) for c in range(0x21))
 
 
 def read_diff_sizes(spark: SparkSession, path: str, glob="*.diff", revision_pattern=r"(\d+)\.diff$") -> DataFrame:
-    """Byte size of every ``<revision>.diff`` file; file contents are not read."""
+    """Byte size of every ``<revision>.diff`` file; file contents are not read.
+
+    Scans leave out empty files, but a diff may well be empty, so names in the
+    listing that the scan does not give are added with size 0.  The listing is
+    the file index that the driver holds for any scan of single files.
+    """
     listing = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
         .load(path)
     )
-    revision = F.regexp_extract(F.col("path"), revision_pattern, 1)
-    return listing.select(revision.try_cast("bigint").alias("revision"), "length").filter(
-        F.col("revision").isNotNull()
-    )
+    revision = F.regexp_extract(F.col("path"), revision_pattern, 1).try_cast("bigint").alias("revision")
+    sized = listing.select(revision, "length").filter(F.col("revision").isNotNull())
+    names = spark.createDataFrame([(name,) for name in listing.inputFiles()], "path string")
+    named = names.select(revision).filter(F.col("revision").isNotNull())
+    empty = named.join(sized, "revision", "left_anti").withColumn("length", F.lit(0).cast("bigint"))
+    return sized.unionByName(empty)
 
 
 def read_author_rules(spark: SparkSession, path: str) -> DataFrame:
@@ -73,7 +80,9 @@ def read_issue_docs(spark: SparkSession, path: str, kind: str | None = None, row
     docs = docs.withColumn("revisions", F.coalesce("revisions", empty))
     if kind is None:
         return docs
-    return docs.filter(issue_file_kind(F.col("_metadata.file_name")) == kind)
+    # File names in the metadata are encoded as in a URL, where a plus is literal.
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    return docs.filter(issue_file_kind(name) == kind)
 
 
 def read_build_log(spark: SparkSession, path: str) -> DataFrame:

@@ -1,0 +1,80 @@
+import pytest
+
+from revlens import rules, schema
+from revlens.operators import address_book, tracker
+from revlens.sources import readers
+
+
+@pytest.fixture(scope="module")
+def book(spark):
+    person = lambda i, name, first, last, mail: (i, "Person", None, None, name, first, last, mail)
+    group = lambda i, name, members: (i, "Group", name, members, None, None, None, None)
+    return spark.createDataFrame(
+        [
+            person(1, "CN=Ann Example/OU/ORG", "old", "old", "OLD@x.org"),
+            group(2, "TeamA", ["CN=Zed Nobody/ORG"]),
+            group(3, "TeamA", ["CN=Ann Example/OU/ORG", "CN=Zed Nobody/ORG", "CN=Ann Example/OU/ORG"]),
+            group(4, "TeamB", []),
+            group(5, "Others", ["CN=Ann Example/OU/ORG"]),
+            group(6, "ScrumWeb", ["CN=Bob Two/ORG", "CN=Ann Example/ORG"]),
+            person(7, "CN=Ann Example/OU/ORG", "ann MAY", "EXAMPLE", "Ann@X.org"),
+            person(8, "CN=Bob Two/ORG", "BOB", "two", "bob@x.org"),
+        ],
+        schema.ADDRESS_BOOK_DOC,
+    )
+
+
+def test_groups_for_users(spark, book, rows):
+    members = address_book.group_members(readers.groups(book))
+    users = spark.createDataFrame([("aexample",)], "user string")
+    expected = [("TeamA", "aexample"), ("TeamB", None)]
+    assert rows(address_book.groups_for_users(members, ["teama", "teamb"], users)) == sorted(expected)
+    names = spark.createDataFrame([("teama",), ("teamb",)], "name string")
+    assert rows(address_book.groups_for_users(members, names, users)) == sorted(expected)
+
+
+def test_roster_takes_the_last_person_and_sorts_members(book):
+    members = address_book.group_members(readers.groups(book))
+    roster = address_book.team_roster(members, readers.persons(book))
+    assert "scrumweb" in rules.TEAM_GROUPS
+    assert [tuple(r) for r in roster.select("group_name", "email", "first_name", "last_name").collect()] == [
+        ("ScrumWeb", "ann@x.org", "AnnMay", "Example"),
+        ("ScrumWeb", "bob@x.org", "Bob", "Two"),
+    ]
+
+
+def test_document_items(book):
+    items = address_book.document_items(book.filter("doc_id in (4, 6, 8)"))
+    assert [tuple(r) for r in items.collect()] == [
+        (4, "list_name", "[TeamB]"), (4, "type", "[Group]"),
+        (6, "list_name", "[ScrumWeb]"), (6, "members", "[CN=Bob Two/ORG, CN=Ann Example/ORG]"), (6, "type", "[Group]"),
+        (8, "first_name", "[BOB]"), (8, "full_name", "[CN=Bob Two/ORG]"), (8, "internet_address", "[bob@x.org]"),
+        (8, "last_name", "[two]"), (8, "type", "[Person]"),
+    ]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    doc = lambda i, ref, n, name="n", uid="u": (i, "bugs", ref, name, uid, ["r"] * n, "", "")
+    return spark.createDataFrame(
+        [doc(1, "#1", 1), doc(2, "#1", 3), doc(3, "#1", 5), doc(4, "#2", 0, None, None), doc(5, " \t", 9), doc(6, "#3", 2), doc(7, "#3", 2)],
+        schema.ISSUE_DOC,
+    )
+
+
+def test_original_documents(docs, rows):
+    assert rows(tracker.original_document(docs), "reference", "doc_id") == [("#1", 3), ("#2", 4), ("#3", 6)]
+    assert rows(tracker.original_document(docs, legacy=True), "reference", "doc_id") == [("#1", 2), ("#2", 4), ("#3", 6)]
+
+
+def test_documents_by_reference(spark, docs, rows):
+    assert rows(tracker.docs_by_reference(docs, "#3"), "doc_id") == [(6,), (7,)]
+    wanted = spark.createDataFrame([("#2",), ("#1",), ("#1",)], "reference string")
+    assert rows(tracker.docs_by_reference(docs, wanted), "doc_id") == [(1,), (2,), (3,), (4,)]
+
+
+def test_links(spark, docs, rows):
+    issues = spark.createDataFrame([(9, "F", "#2"), (9, "F", "#404")], "revision long, type string, reference string")
+    place = f"Notes:///{rules.FEATURES_REPLICA}/{rules.FEATURES_VIEW}"
+    assert rows(tracker.issue_links(issues, docs)) == [
+        (9, "F", "#2", f"<a href={place}/NO-UniqID>#2  NO-NAME</a>"), (9, "F", "#404", None)]
