@@ -342,16 +342,17 @@ SQL = {
         SELECT doc_id, 'text' AS column_name, CAST(length(text) AS INT) AS n_chars, 2048 AS max_chars FROM documents
         WHERE length(text) > 2048
         UNION ALL SELECT doc_id, 'source', CAST(length(source) AS INT), 4 FROM documents WHERE length(source) > 4""",
-    "check_tables": _LOG + """
-        SELECT 'commits' AS table_name, 'unique' AS violation, count(*) - count(DISTINCT revision) AS n FROM commits
-        UNION ALL SELECT 'files', 'unique', count(*) - count(DISTINCT (revision, path)) FROM paths
-        UNION ALL SELECT 'date_time', 'unique', count(*) - count(DISTINCT revision) FROM date_time
-        UNION ALL SELECT 'version', 'unique', count(*) - count(DISTINCT revision) FROM version
-        UNION ALL SELECT 'issues', 'unique', count(*) - count(DISTINCT (revision, type, reference)) FROM issues
-        UNION ALL SELECT 'commits', 'length', count(*) FILTER (length(message) > 102400) + count(*) FILTER (length(author) > 100) FROM commits
-        UNION ALL SELECT 'files', 'length', count(*) FILTER (length(path) > 2048) FROM paths
-        UNION ALL SELECT 'version', 'length', count(*) FILTER (length(full_version) > 100) FROM version
-        UNION ALL SELECT 'issues', 'length', count(*) FILTER (length(reference) > 100) FROM issues""",
+    "check_tables": _LOG + """,
+        keyed AS (
+          SELECT 'commits' AS table_name, CAST(revision AS VARCHAR) AS key,
+                 CAST(length(message) > 102400 AS INT) + CAST(coalesce(length(author) > 100, false) AS INT) AS long FROM commits
+          UNION ALL SELECT 'files', revision || ' ' || path, CAST(length(path) > 2048 AS INT) FROM paths
+          UNION ALL SELECT 'date_time', CAST(revision AS VARCHAR), 0 FROM date_time
+          UNION ALL SELECT 'version', CAST(revision AS VARCHAR), CAST(length(full_version) > 100 AS INT) FROM version
+          UNION ALL SELECT 'issues', revision || type || reference, CAST(length(reference) > 100 AS INT) FROM issues),
+        per_key AS (SELECT table_name, key, count(*) AS copies, sum(long) AS long FROM keyed GROUP BY table_name, key)
+        SELECT table_name, count(*) FILTER (copies > 1) AS repeated_keys, CAST(sum(long) AS BIGINT) AS long_values
+        FROM per_key GROUP BY table_name""",
     "load_report": """
         SELECT count(*) AS lines_cnt, min(o_orderkey) + 1 AS min_rev, max(o_orderkey) + 1 AS max_rev,
                max(o_orderkey) - min(o_orderkey) AS max_min FROM orders""",

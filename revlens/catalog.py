@@ -1,5 +1,7 @@
 """One runnable query per operator, over the tables of a folder."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -311,10 +313,9 @@ def ingest(spark, folder):
         df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
         for name, df in target.tables().items()
     ]
-    total = target.read("commits").agg(F.sum("diff_size").alias("n")).select(F.lit("diff_size").alias("table_name"), "n")
-    for count in counts:
-        total = total.unionByName(count)
-    return total
+    stored = target.read("commits")
+    counts.append(stored.agg(F.sum("diff_size").alias("n")).select(F.lit("diff_size").alias("table_name"), "n"))
+    return reduce(DataFrame.unionByName, counts)
 
 
 WARNING_HEADS = """
@@ -500,10 +501,7 @@ def plan_load(spark, folder):
     plans.append(load.plan_load(available, loaded, load.UPDATE_OR_REBUILD))
     plans.append(load.plan_load(available, available, load.UPDATE_OR_REBUILD))
     plans.append(load.plan_load(loaded, available, load.UPDATE_OR_REBUILD, end=10))
-    result = plans[0]
-    for plan in plans[1:]:
-        result = result.unionAll(plan)
-    return result
+    return reduce(DataFrame.unionByName, plans)
 
 
 @query

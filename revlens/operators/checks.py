@@ -1,5 +1,7 @@
 """Checks on stored tables that the storage itself does not enforce."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,17 +31,20 @@ def length_violations(df: DataFrame, limits: dict[str, int], key="revision") ->
 
 
 def table_violations(tables: dict[str, DataFrame]) -> DataFrame:
-    """Both checks over the stored tables, counted per table and kind."""
-    parts = []
+    """Repeated keys and over-long values of the stored tables, counted per table.
+
+    Both checks of a table share one pass and one shuffle.
+    """
+    counts = []
     for name, df in tables.items():
-        repeated = unique_violations(df, schema.UNIQUE_KEYS[name])
-        parts.append(repeated.agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(name).alias("table_name"), F.lit("unique").alias("violation"), "n"))
-        if schema.TEXT_LIMITS[name]:
-            long = length_violations(df, schema.TEXT_LIMITS[name])
-            parts.append(long.agg(F.count(F.lit(1)).alias("n")).select(
-                F.lit(name).alias("table_name"), F.lit("length").alias("violation"), "n"))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+        long = [F.when(F.length(column) > limit, 1).otherwise(0) for column, limit in schema.TEXT_LIMITS[name].items()]
+        per_key = df.groupBy(*schema.UNIQUE_KEYS[name]).agg(
+            F.count(F.lit(1)).alias("copies"), F.sum(sum(long, F.lit(0))).alias("long")
+        )
+        counts.append(
+            per_key.agg(
+                F.count_if(F.col("copies") > 1).alias("repeated_keys"),
+                F.coalesce(F.sum("long"), F.lit(0)).alias("long_values"),
+            ).select(F.lit(name).alias("table_name"), "repeated_keys", "long_values")
+        )
+    return reduce(DataFrame.unionByName, counts)

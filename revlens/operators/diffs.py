@@ -65,8 +65,19 @@ def progress(heads: DataFrame) -> DataFrame:
 
 def refresh(commits: DataFrame, heads: DataFrame, sizes: DataFrame, start: int = 1, end: int | None = None) -> DataFrame:
     """Diff sizes of a range re-derived; files of commits that need none do not count."""
-    stale = obsolete(revision_range(heads, start, end), sizes)
-    return update_sizes(commits, sizes.join(stale.select("revision"), "revision", "left_anti"), start, end)
+    unneeded = revision_range(heads, start, end).filter(~needs_diff_column()).select("revision")
+    return update_sizes(commits, sizes.join(unneeded, "revision", "left_anti"), start, end)
+
+
+def with_sizes(heads: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Heads with the diff size of each commit, as a refresh of all of them gives."""
+    found = sizes.select("revision", F.col("length").alias("found_size"))
+    size = F.when(needs_diff_column(), F.col("found_size"))
+    return (
+        heads.join(found, "revision", "left")
+        .withColumn("diff_size", F.coalesce(size, F.lit(NO_DIFF_SIZE).cast("bigint")))
+        .drop("found_size")
+    )
 
 
 def watchlist(heads: DataFrame, paths: DataFrame, revisions: DataFrame, limit: int | None = None) -> DataFrame:

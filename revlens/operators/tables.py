@@ -13,14 +13,19 @@ NO_DIFF_SIZE = -1
 
 
 def commits(heads: DataFrame) -> DataFrame:
+    """Labels and diff sizes are empty unless the heads already carry them."""
+    blank = {"team": F.lit(""), "role": F.lit(""), "diff_size": F.lit(NO_DIFF_SIZE).cast("bigint")}
+    team, role, diff_size = (
+        F.col(name) if name in heads.columns else value.alias(name) for name, value in blank.items()
+    )
     return heads.select(
         "revision",
         F.to_date("date").alias("date"),
         "author",
-        F.lit("").alias("team"),
-        F.lit("").alias("role"),
+        team,
+        role,
         "changed_files_count",
-        F.lit(NO_DIFF_SIZE).cast("bigint").alias("diff_size"),
+        diff_size,
         M.clean_message(F.col("message")).alias("message"),
     )
 

@@ -1,16 +1,15 @@
 """Full, incremental and diff-only loads of the stored tables."""
 
-from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlens import rules
 from revlens.operators import diffs, tables, teams
 from revlens.plans import reports
-from revlens.session import materialize
-from revlens.sources.commit_log import CommitLog
+from revlens.session import in_parallel, materialize
+from revlens.sources.commit_log import CommitLog, is_rejected
 from revlens.sources.store import BUCKET, CommitStore, by_range
 
 UPDATE_OR_REBUILD, UPDATE, FORCE_REBUILD = "updateOrRebuild", "update", "forceRebuild"
@@ -75,28 +74,23 @@ def ingest(
 ) -> None:
     """Load a log into the five tables, skipping revisions a table already has.
 
-    The log is read once and laid out by revision range in the shared folder;
-    the tables are projections of that copy, written without another shuffle
-    and side by side.  Each append is atomic on its own and each table is
-    compared with its own revisions, so a load that was cut short is simply run
-    again.  Entries without a revision or date go to a reject table.
+    The log is read once, labelled and laid out by revision range in the shared
+    folder; the tables are projections of that copy, written without another
+    shuffle and side by side.  Each append is atomic on its own and each table
+    is compared with its own revisions, so a load that was cut short is simply
+    run again.  Entries without a revision or date go to a reject table.
     """
-    log = CommitLog(_stage(log.heads, "heads"), _stage(log.paths, "paths"))
-    lo, hi, n_rejected = log.heads.agg(
-        F.min("revision"), F.max("revision"), F.count_if(F.col("date").isNull() | F.col("revision").isNull())
-    ).first()
+    log = _stage(log, author_rules, sizes)
+    spark = log.heads.sparkSession
+    lo, hi, n_rejected = log.heads.agg(F.min("revision"), F.max("revision"), F.count_if(is_rejected())).first()
     if n_rejected:
         store.append_rejects(log.rejects.drop(BUCKET))
-        log = CommitLog(log.dated, log.paths.join(log.dated, "revision", "left_semi"))
+        log = log.accepted()
     built = tables.build(log, week_rule, branch_rules)
-    if author_rules is not None:
-        built["commits"] = teams.assign_team_role(built["commits"], author_rules)
-    if sizes is not None:
-        built["commits"] = diffs.refresh(built["commits"], log.heads, sizes)
 
     def write(name: str) -> None:
         rows, stored = built[name], store.read(name, lo, hi).select("revision")
-        laid_out = not n_rejected and not (name == "commits" and sizes is not None)
+        laid_out = name != "files" or not n_rejected or log.nested is not None
         if mode == "overwrite":
             store.replace(rows, name, laid_out)
         elif stored.isEmpty():
@@ -104,13 +98,30 @@ def ingest(
         else:
             store.append(rows.join(stored.distinct(), "revision", "left_anti"), name)
 
-    with ThreadPoolExecutor(len(built)) as pool:
-        for done in [pool.submit(inheritable_thread_target(log.heads.sparkSession)(write), n) for n in built]:
-            done.result()
+    in_parallel(spark, *[partial(write, name) for name in built])
 
 
-def _stage(df: DataFrame, name: str) -> DataFrame:
-    return materialize(by_range(df), name, [BUCKET])
+def _stage(log: CommitLog, author_rules: DataFrame | None, sizes: DataFrame | None) -> CommitLog:
+    """Write a log, with labels and diff sizes, laid out by range."""
+
+    def label(heads: DataFrame) -> DataFrame:
+        if author_rules is not None:
+            unlabelled = heads.withColumns({"team": F.lit(""), "role": F.lit("")})
+            heads = teams.assign_team_role(unlabelled, author_rules)
+        return heads if sizes is None else diffs.with_sizes(heads, sizes)
+
+    def write(df: DataFrame, name: str) -> DataFrame:
+        return materialize(by_range(df), name, [BUCKET])
+
+    if log.nested is not None:
+        return CommitLog.from_described(write(label(log.nested), "log"))
+    return CommitLog(
+        *in_parallel(
+            log.heads.sparkSession,
+            lambda: write(label(log.heads), "heads"),
+            lambda: write(log.paths, "paths"),
+        )
+    )
 
 
 def load(

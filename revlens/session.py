@@ -2,7 +2,9 @@
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +47,13 @@ def materialize(df: DataFrame, name: str, partition_by=()) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_parallel(spark: SparkSession, *jobs) -> list:
+    """Run independent jobs side by side, so that short ones fill idle executors."""
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [running.result() for running in [pool.submit(inherit(job)) for job in jobs]]
+
+
 def broadcast_if_small(df: DataFrame, rows=BROADCAST_ROWS, size=BROADCAST_BYTES) -> DataFrame:
     """Hint a broadcast only when both the row count and the bytes are proven small.
 

@@ -91,17 +91,20 @@ class CommitLog:
 
     ``heads`` has one row per commit with its first path, number of paths and
     the two facts the diff policy needs.  ``paths`` has one row per changed path.
+    ``nested``, if the log has that form, is the heads with their paths in an
+    array, which yields both views in one pass.
     """
 
     heads: DataFrame
     paths: DataFrame
+    nested: DataFrame | None = None
 
     @classmethod
     def from_nested(cls, nested: DataFrame, mode="suffix") -> "CommitLog":
         """From entries that hold their paths in an array: no shuffle at all."""
         arr = F.coalesce(F.col("changed_paths"), F.array().cast(T.ArrayType(schema.CHANGED_PATH)))
         by_ordinal = F.transform(arr, lambda p: F.struct(p["ordinal"], p["path"].alias("path")))
-        heads = nested.select(
+        described = nested.select(
             "revision",
             "date",
             "author",
@@ -110,8 +113,14 @@ class CommitLog:
             F.size(arr).alias("changed_files_count"),
             F.exists(arr, lambda p: P.is_copied_dir(p["kind"], p["copy_path"])).alias("has_copied_dir"),
             F.exists(arr, lambda p: P.is_diffable(p["path"], p["kind"], p["type"], mode)).alias("has_diffable"),
+            arr.alias("changed_paths"),
         )
-        return cls(heads, flatten_paths(nested))
+        return cls.from_described(described)
+
+    @classmethod
+    def from_described(cls, nested: DataFrame) -> "CommitLog":
+        """From heads that still hold their paths."""
+        return cls(nested.drop("changed_paths"), flatten_paths(nested), nested)
 
     @classmethod
     def from_flat(cls, entries: DataFrame, paths: DataFrame, unique_paths=True, mode="suffix") -> "CommitLog":
@@ -149,13 +158,25 @@ class CommitLog:
         return cls(heads, unique.select("revision", "ordinal", "path", "type", "kind", "copy_path"))
 
     def between(self, start: int = 1, end: int | None = None) -> "CommitLog":
+        if self.nested is not None:
+            return CommitLog.from_described(revision_range(self.nested, start, end))
         return CommitLog(revision_range(self.heads, start, end), revision_range(self.paths, start, end))
 
     @cached_property
     def dated(self) -> DataFrame:
         """Heads that have a revision and a date; the others are in ``rejects``."""
-        return self.heads.filter(F.col("date").isNotNull() & F.col("revision").isNotNull())
+        return self.heads.filter(~is_rejected())
 
     @cached_property
     def rejects(self) -> DataFrame:
-        return self.heads.filter(F.col("date").isNull() | F.col("revision").isNull())
+        return self.heads.filter(is_rejected())
+
+    def accepted(self) -> "CommitLog":
+        """The log without rejected entries and their paths."""
+        if self.nested is not None:
+            return CommitLog.from_described(self.nested.filter(~is_rejected()))
+        return CommitLog(self.dated, self.paths.join(self.dated, "revision", "left_semi"))
+
+
+def is_rejected():
+    return F.col("date").isNull() | F.col("revision").isNull()

@@ -1,0 +1,44 @@
+"""Every query of the catalog against its SQL, value by value."""
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+from revlens import catalog
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
+DUCKDB_TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "date": "DATE", "double": "DOUBLE",
+    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP",
+}
+
+
+@pytest.fixture(scope="module")
+def database(folder):
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+    return connection
+
+
+def test_every_query_has_sql():
+    assert list(contract.queries()) == list(catalog.QUERIES)
+    assert set(contract.queries()) == set(contract.oracle_sql())
+
+
+def test_entry_gives_rows(spark):
+    assert contract.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", list(catalog.QUERIES))
+def test_query_equals_sql(spark, folder, database, name):
+    df = contract.queries()[name](spark, folder)
+    sql = contract.oracle_sql()[name]
+    described = {row[0]: row[1] for row in database.execute(f"DESCRIBE {sql}").fetchall()}
+    assert {f.name: DUCKDB_TYPES[f.dataType.simpleString()] for f in df.schema} == described
+    columns = sorted(described)
+    found = sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+    expected = sorted(database.execute(f"SELECT {', '.join(columns)} FROM ({sql})").fetchall(), key=repr)
+    assert found == expected

@@ -227,4 +227,4 @@ def test_checks(spark, rows):
     )
     assert rows(checks.unique_violations(files, ["revision", "file"])) == [(1, "/a", 2)]
     assert rows(checks.length_violations(files, schema.TEXT_LIMITS["files"])) == [(2, "file", 2049, 2048)]
-    assert rows(checks.table_violations({"files": files})) == [("files", "length", 1), ("files", "unique", 1)]
+    assert rows(checks.table_violations({"files": files})) == [("files", 1, 1)]
