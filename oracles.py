@@ -118,9 +118,12 @@ issues AS (
          '' AS notes_client_url, '' AS notes_web_url FROM refs),
 rules AS ({V.AUTHOR_RULES}),
 labelled AS (
-  SELECT c.* EXCLUDE (team, role), coalesce(r.team, '') AS team, coalesce(r.role, '') AS role
-  FROM commits c LEFT JOIN rules r ON r.author = c.author
-    AND (r.valid_from IS NULL OR c.date >= r.valid_from) AND (r.valid_to IS NULL OR c.date < r.valid_to)),
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT c.* EXCLUDE (team, role), coalesce(r.team, '') AS team, coalesce(r.role, '') AS role,
+           row_number() OVER (PARTITION BY revision ORDER BY r.seq DESC) AS rn
+    FROM commits c LEFT JOIN rules r ON r.author = c.author
+      AND (r.valid_from IS NULL OR c.date >= r.valid_from) AND (r.valid_to IS NULL OR c.date < r.valid_to))
+  WHERE rn = 1),
 docs AS ({V.ISSUE_DOCS}),
 originals AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY reference ORDER BY n_revisions DESC, doc_id) AS rn
@@ -214,7 +217,7 @@ SQL = {
     "read_commit_log": _LOG + """
         SELECT revision, strftime(date, '%Y-%m-%d %H:%M:%S') AS date, author, message, path, type, kind, copy_path
         FROM entries LEFT JOIN raw_paths USING (revision)""",
-    "revision_range": _LOG + "SELECT revision, author, message FROM entries WHERE revision BETWEEN 101 AND 9000",
+    "revision_range": _LOG + "SELECT revision, author, message FROM entries WHERE revision >= 101",
     "read_diff_sizes": "SELECT page_id + 1 AS revision, CAST(octet_length(encode(html)) + 1 AS BIGINT) AS length FROM pages",
     "read_author_rules": V.AUTHOR_RULES,
     "read_address_book": f"""
@@ -281,7 +284,7 @@ SQL = {
     "diff_worklist": _LOG + "SELECT revision FROM heads WHERE needs_diff AND revision NOT IN (SELECT revision FROM sizes)",
     "obsolete_diffs": _LOG + "SELECT s.* FROM sizes s JOIN heads h USING (revision) WHERE NOT needs_diff",
     "update_diff_sizes": _LOG + """
-        SELECT revision, CASE WHEN revision BETWEEN 101 AND 9000 THEN coalesce(length, -1) ELSE diff_size END AS diff_size
+        SELECT revision, CASE WHEN revision >= 101 THEN coalesce(length, -1) ELSE diff_size END AS diff_size
         FROM commits LEFT JOIN sizes USING (revision)""",
     "diff_progress": _LOG + """
         SELECT count(*) AS expected, count(*) FILTER (needs_diff) AS submitted, count(*) FILTER (NOT needs_diff) AS skipped

@@ -100,7 +100,7 @@ def read_commit_log(spark, folder):
 @query
 def revision_range(spark, folder):
     heads = V.commit_log(spark, folder).heads
-    return commit_log.revision_range(heads, 101, 9000).select("revision", "author", "message")
+    return commit_log.revision_range(heads, 101).select("revision", "author", "message")
 
 
 @query
@@ -384,7 +384,7 @@ def obsolete_diffs(spark, folder):
 
 @query
 def update_diff_sizes(spark, folder):
-    updated = diffs.update_sizes(_commits(spark, folder), _sizes(spark, folder), 101, 9000)
+    updated = diffs.update_sizes(_commits(spark, folder), _sizes(spark, folder), 101)
     return updated.select("revision", "diff_size")
 
 

@@ -22,7 +22,8 @@ def too_long(message: Column, max_length=rules.MAX_MESSAGE_LENGTH) -> Column:
 
 
 def too_many_marks(message: Column, max_marks=rules.MAX_MESSAGE_MARKS) -> Column:
-    return count_issue_marks(message) >= max_marks
+    # A message shorter than the limit needs no counting.
+    return (F.octet_length(message) >= max_marks) & (count_issue_marks(message) >= max_marks)
 
 
 def clean_message(
@@ -48,9 +49,11 @@ def issue_references(message: Column) -> Column:
     The pattern also takes the character before the mark; it is cut off unless
     the match starts with the mark itself, so ``##12345 - AB`` keeps both marks.
     """
-    matches = F.regexp_extract_all(F.coalesce(message, F.lit("")), F.lit(rules.ISSUE_PATTERN), F.lit(0))
+    matches = F.regexp_extract_all(message, F.lit(rules.ISSUE_PATTERN), F.lit(0))
     strip = lambda m: F.when(m.startswith("#"), m).otherwise(F.substr(m, F.lit(2)))
-    return F.array_distinct(F.transform(matches, strip))
+    found = F.array_distinct(F.transform(matches, strip))
+    # Most messages hold no mark at all and are spared the pattern.
+    return F.when(message.contains("#"), found).otherwise(F.array().cast("array<string>"))
 
 
 def is_bug(reference: Column) -> Column:

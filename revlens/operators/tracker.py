@@ -31,15 +31,21 @@ def original_document(docs: DataFrame, legacy=False) -> DataFrame:
             .filter((F.col("copies") == 1) | (F.col("doc_id") < F.col("last_id")))
             .select(*docs.columns)
         )
-    rest = [c for c in docs.columns if c != "reference"]
+    return _most_revisions(named, [c for c in docs.columns if c != "reference"]).select(*docs.columns)
+
+
+def _most_revisions(docs: DataFrame, kept: list[str]) -> DataFrame:
+    """The ``kept`` fields of each reference's best document."""
     rank = F.struct(F.coalesce(F.size("revisions"), F.lit(0)), -F.col("doc_id"))
-    best = F.max_by(F.struct(*rest), rank).alias("best")
-    return named.groupBy("reference").agg(best).select("reference", "best.*").select(*docs.columns)
+    best = F.max_by(F.struct(*kept), rank).alias("best")
+    return docs.groupBy("reference").agg(best).select("reference", "best.*")
 
 
 def issue_links(issues: DataFrame, docs: DataFrame) -> DataFrame:
     """Issues with an HTML link to their original document, if there is one."""
-    originals = original_document(docs).select("reference", "name", "uniq_id", "doc_id")
+    # Only the fields of a link travel; histories and the like do not.
+    named = docs.filter(F.btrim("reference", F.lit(BLANKS)) != "")
+    originals = _most_revisions(named, ["name", "uniq_id", "doc_id"])
     link = F.format_string(
         f"<a href=Notes:///{rules.FEATURES_REPLICA}/{rules.FEATURES_VIEW}/%s>%s  %s</a>",
         F.coalesce("uniq_id", F.lit("NO-UniqID")),

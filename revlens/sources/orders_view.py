@@ -56,18 +56,18 @@ DIFF_SIZES = """
 SELECT event_id + 1 AS revision, CAST(length(props) + user_id AS BIGINT) AS length FROM events
 """
 
-# One rule per author, split in two at a date for every eighth; dev39 has none.
-AUTHOR_RULES = """
-SELECT 'dev' || n AS author,
-       CASE WHEN n % 3 = 0 THEN 'qa' ELSE 'dev' END AS role,
-       'team' || (CASE WHEN part = 2 THEN (n + 1) % 16 ELSE n % 16 END) AS team,
-       CASE WHEN part = 2 THEN DATE '1998-01-01' END AS valid_from,
-       CASE WHEN part = 1 THEN DATE '1998-01-01' END AS valid_to,
-       CAST(2 * n + CASE WHEN part = 2 THEN 1 ELSE 0 END AS INT) AS seq
-FROM (SELECT n, CASE WHEN n % 8 = 0 THEN 1 ELSE 0 END AS part FROM (SELECT DISTINCT c_custkey % 40 AS n FROM customer) a
-      UNION ALL
-      SELECT n, 2 AS part FROM (SELECT DISTINCT c_custkey % 40 AS n FROM customer) b WHERE n % 8 = 0) r
-WHERE n < 39
+# Three overlapping rules per author: always, before a date and from a date.  They
+# are numbered from dev1, so dev0 has none.
+_AUTHORS = "(SELECT DISTINCT c_custkey % 40 + 1 AS n FROM customer)"
+AUTHOR_RULES = f"""
+SELECT 'dev' || n AS author, 'dev' AS role, 'team' || (n % 16) AS team,
+       CAST(NULL AS DATE) AS valid_from, CAST(NULL AS DATE) AS valid_to, CAST(3 * n AS INT) AS seq FROM {_AUTHORS} a
+UNION ALL
+SELECT 'dev' || n, 'qa', 'first' || (n % 5), CAST(NULL AS DATE),
+       CASE WHEN n % 2 = 0 THEN DATE '1996-07-01' ELSE DATE '1998-09-01' END, CAST(3 * n + 1 AS INT) FROM {_AUTHORS} b
+UNION ALL
+SELECT 'dev' || n, CASE WHEN n % 3 = 0 THEN 'qa' ELSE 'dev' END, 'later' || (n % 7), DATE '1998-01-01',
+       CAST(NULL AS DATE), CAST(3 * n + 2 AS INT) FROM {_AUTHORS} c
 """
 
 # Nations are groups, twice over so that the later document replaces the earlier;
