@@ -11,7 +11,7 @@ from revlens.functions import names as N
 from revlens.functions import paths as P
 from revlens.operators import address_book, checks, diffs, tables, teams, tracker
 from revlens.plans import jobs, load, reports
-from revlens.session import scratch_dir
+from revlens.session import materialize, scratch_dir
 from revlens.sources import commit_log, readers, store
 from revlens.sources import orders_view as V
 from revlens.streaming.incremental import append_stream
@@ -167,7 +167,7 @@ def _build_log_lines(spark, folder) -> DataFrame:
     target = scratch_dir(spark, "build-log")
     header = F.concat(F.lit(r"***** s:\src\cpp\d"), F.col("doc_id").cast("string"), F.lit(" *****\n"))
     V.table(spark, folder, "documents").select(F.concat(header, "text").alias("value")).write.text(target)
-    return readers.read_build_log(spark, target)
+    return materialize(readers.read_build_log(spark, target), "build-lines")
 
 
 @query

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revlens import rules
+from revlens.session import group_for_join
 from revlens.functions import names as N
 
 
@@ -20,7 +21,7 @@ def group_members(groups: DataFrame) -> DataFrame:
 def _wanted_groups(members: DataFrame, names) -> DataFrame:
     key = F.lower("list_name")
     if isinstance(names, DataFrame):
-        wanted = names.select(F.col("name").alias("wanted_name")).distinct()
+        wanted = names.select(F.col("name").alias("wanted_name"))
         return members.join(wanted, key == F.col("wanted_name"), "left_semi")
     return members.filter(key.isin(*names))
 
@@ -32,18 +33,25 @@ def groups_for_users(members: DataFrame, group_names, users: DataFrame) -> DataF
     ``users`` a table with ``user``.  Of several documents with one name the last
     counts.  A group without wanted users keeps one row with a null user.
     """
-    wanted = _wanted_groups(members, group_names)
-    latest = wanted.groupBy("list_name").agg(F.max("doc_id").alias("doc_id"))
+    known = users.select("user").withColumn("is_wanted", F.lit(True))
     found = (
-        wanted.join(latest, ["doc_id", "list_name"], "left_semi")
-        .select("list_name", N.member_to_user(F.col("member")).alias("user"))
-        .join(users.select("user"), "user", "left_semi")
+        _wanted_groups(members, group_names)
+        .withColumn("user", N.member_to_user(F.col("member")))
+        .join(known, "user", "left")
+        .select("list_name", "doc_id", F.when(F.col("is_wanted"), F.col("user")).alias("user"))
         .distinct()
     )
-    # An outer join could not split a group with very many users.
-    without = latest.select("list_name").join(found.select("list_name").distinct(), "list_name", "left_anti")
-    empty = without.select("list_name", F.lit(None).cast("string").alias("user"))
-    return found.unionByName(empty).select(F.col("list_name").alias("group_name"), "user")
+    # The last document of each name, and whether it has any wanted user at all.
+    latest = (
+        found.groupBy("list_name")
+        .agg(F.max(F.struct("doc_id", F.col("user").isNotNull().alias("has_users"))).alias("latest"))
+        .select("list_name", "latest.*")
+    )
+    return (
+        found.join(latest, ["list_name", "doc_id"])
+        .filter(F.col("user").isNotNull() | ~F.col("has_users"))
+        .select(F.col("list_name").alias("group_name"), "user")
+    )
 
 
 def team_roster(members: DataFrame, persons: DataFrame, group_names=rules.TEAM_GROUPS) -> DataFrame:
@@ -52,7 +60,7 @@ def team_roster(members: DataFrame, persons: DataFrame, group_names=rules.TEAM_G
     Of several persons under one name the last counts.
     """
     person = F.max_by(F.struct("internet_address", "first_name", "last_name"), F.col("doc_id")).alias("person")
-    by_name = persons.groupBy(N.name_key(F.col("full_name")).alias("key")).agg(person)
+    by_name = group_for_join(persons, N.name_key(F.col("full_name")).alias("key")).agg(person).drop("key_hash")
     return (
         _wanted_groups(members, group_names)
         .withColumn("key", N.name_key(F.col("member")))

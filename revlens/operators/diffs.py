@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from revlens.functions import paths as P
 from revlens.operators.tables import NO_DIFF_SIZE
+from revlens.session import materialize
 from revlens.sources.commit_log import revision_range
 
 
@@ -85,14 +86,16 @@ def watchlist(heads: DataFrame, paths: DataFrame, revisions: DataFrame, limit: i
 
     ``limit`` keeps only the lowest listed revisions.
     """
-    listed = revisions.select("revision").distinct()
+    listed = revisions.select("revision")
     if limit is not None:
-        listed = listed.orderBy("revision").limit(limit)
+        listed = listed.distinct().orderBy("revision").limit(limit)
     judged = heads.join(listed, "revision", "left_semi").select(
         "revision", needs_diff_column().alias("needs_diff"), "changed_files_count"
     )
-    # Inner, so that a commit with very many paths can be split between tasks;
-    # commits without paths are added.
+    # Written, so that the join broadcasts it or not by its true size.  Inner, so
+    # that a commit with very many paths can be split between tasks; commits
+    # without paths are added.
+    judged = materialize(judged, "watchlist")
     shown = ["revision", "needs_diff", "type", "kind", "path"]
     bare = judged.filter("changed_files_count = 0")
     for name in ("type", "kind", "path"):

@@ -1,9 +1,10 @@
 """Issue-tracker documents: originals, links and single fields."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revlens import rules
+from revlens.session import group_for_join
 from revlens.sources.readers import BLANKS
 
 
@@ -23,29 +24,34 @@ def original_document(docs: DataFrame, legacy=False) -> DataFrame:
     """
     named = docs.filter(F.btrim("reference", F.lit(BLANKS)) != "")
     if legacy:
-        last = named.groupBy("reference").agg(
-            F.max("doc_id").alias("last_id"), F.count(F.lit(1)).alias("copies")
-        )
+        # Leaving one document out, the best is among the first two; picking those
+        # is a group limit, which also works before the shuffle.
+        order = Window.partitionBy("reference").orderBy(_rank().desc())
+        best_two = named.withColumn("place", F.row_number().over(order)).filter("place <= 2").drop("place")
+        last = named.groupBy("reference").agg(F.max("doc_id").alias("last_id"), F.count(F.lit(1)).alias("copies"))
         named = (
-            named.join(last, "reference")
+            best_two.join(last, "reference")
             .filter((F.col("copies") == 1) | (F.col("doc_id") < F.col("last_id")))
             .select(*docs.columns)
         )
-    return _most_revisions(named, [c for c in docs.columns if c != "reference"]).select(*docs.columns)
+    return _best(named, [c for c in docs.columns if c != "reference"]).select(*docs.columns)
+
+
+def _rank():
+    return F.struct(F.coalesce(F.size("revisions"), F.lit(0)), -F.col("doc_id"))
 
 
-def _most_revisions(docs: DataFrame, kept: list[str]) -> DataFrame:
+def _best(docs: DataFrame, kept: list[str]) -> DataFrame:
     """The ``kept`` fields of each reference's best document."""
-    rank = F.struct(F.coalesce(F.size("revisions"), F.lit(0)), -F.col("doc_id"))
-    best = F.max_by(F.struct(*kept), rank).alias("best")
-    return docs.groupBy("reference").agg(best).select("reference", "best.*")
+    best = F.max_by(F.struct(*kept), _rank()).alias("best")
+    return group_for_join(docs, F.col("reference")).agg(best).select("reference", "best.*")
 
 
 def issue_links(issues: DataFrame, docs: DataFrame) -> DataFrame:
     """Issues with an HTML link to their original document, if there is one."""
     # Only the fields of a link travel; histories and the like do not.
     named = docs.filter(F.btrim("reference", F.lit(BLANKS)) != "")
-    originals = _most_revisions(named, ["name", "uniq_id", "doc_id"])
+    originals = _best(named, ["name", "uniq_id", "doc_id"])
     link = F.format_string(
         f"<a href=Notes:///{rules.FEATURES_REPLICA}/{rules.FEATURES_VIEW}/%s>%s  %s</a>",
         F.coalesce("uniq_id", F.lit("NO-UniqID")),

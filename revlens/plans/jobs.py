@@ -24,7 +24,7 @@ def numbered_blocks(lines: DataFrame, chunk_lines: int = CHUNK_LINES) -> DataFra
     A file is cut into chunks of consecutive lines.  Lines and block starts are
     counted per chunk, the small chunk table is summed up along each file, and
     positions are then counted within chunks only: the longest file costs no
-    task more than one chunk at a time.
+    task more than one chunk at a time.  ``last_block`` is the file's last block.
     """
     marked = lines.select(
         "file",
@@ -42,6 +42,7 @@ def numbered_blocks(lines: DataFrame, chunk_lines: int = CHUNK_LINES) -> DataFra
             "chunk",
             F.coalesce(F.sum("n").over(before), F.lit(0)).alias("lines_above"),
             F.coalesce(F.sum("n_starts").over(before), F.lit(0)).alias("starts_above"),
+            F.sum("n_starts").over(Window.partitionBy("file")).alias("last_block"),
         )
     )
     upto = Window.partitionBy("file", "chunk").orderBy("line_no")
@@ -52,6 +53,7 @@ def numbered_blocks(lines: DataFrame, chunk_lines: int = CHUNK_LINES) -> DataFra
         "line",
         (F.col("lines_above") + F.row_number().over(upto)).alias("seq"),
         (F.col("starts_above") + F.sum("starts").over(here)).alias("block"),
+        "last_block",
     )
 
 
@@ -72,6 +74,7 @@ def build_blocks(lines: DataFrame, chunk_lines: int = CHUNK_LINES) -> DataFrame:
             F.min(at).alias("head"),
             F.max(F.when(even, at)).alias("last_even"),
             F.max(F.when(~even, at)).alias("last_odd"),
+            F.max("last_block").alias("last_block"),
         )
         .withColumn("last", F.greatest("last_even", "last_odd"))
         .withColumn("last_but_one", F.least("last_even", "last_odd"))
@@ -97,6 +100,7 @@ def build_blocks(lines: DataFrame, chunk_lines: int = CHUNK_LINES) -> DataFrame:
         status.alias("status"),
         F.when(status == "error", error).alias("error_line"),
         project.alias("project"),
+        (F.col("block") == F.col("last_block")).alias("is_last"),
     )
 
 
@@ -109,8 +113,7 @@ def build_errors(lines: DataFrame, legacy=False, chunk_lines: int = CHUNK_LINES)
     blocks = build_blocks(lines, chunk_lines)
     failed = blocks.filter(F.col("status") == "error")
     if legacy:
-        last = blocks.groupBy("file").agg(F.max("block").alias("last_block"))
-        failed = failed.join(last, "file").filter(F.col("block") < F.col("last_block"))
+        failed = failed.filter(~F.col("is_last"))
     return failed.select("error_line", "project", "file", "block").orderBy("error_line", "project", "file", "block")
 
 

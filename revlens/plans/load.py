@@ -5,7 +5,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revlens import rules
+from revlens import rules, schema
 from revlens.operators import diffs, tables, teams
 from revlens.plans import reports
 from revlens.session import in_parallel, materialize
@@ -72,12 +72,12 @@ def ingest(
     branch_rules=rules.BRANCH_RULES,
     mode="append",
 ) -> None:
-    """Load a log into the five tables, skipping revisions a table already has.
+    """Load a log into the five tables, skipping rows a table already has.
 
     The log is read once, labelled and laid out by revision range in the shared
     folder; the tables are projections of that copy, written without another
     shuffle and side by side.  Each append is atomic on its own and each table
-    is compared with its own revisions, so a load that was cut short is simply
+    is compared with its own keys, so a load that was cut short is simply
     run again.  Entries without a revision or date go to a reject table.
     """
     log = _stage(log, author_rules, sizes)
@@ -89,14 +89,15 @@ def ingest(
     built = tables.build(log, week_rule, branch_rules)
 
     def write(name: str) -> None:
-        rows, stored = built[name], store.read(name, lo, hi).select("revision")
+        keys = schema.UNIQUE_KEYS[name]
+        rows, stored = built[name], store.read(name, lo, hi).select(*keys)
         laid_out = name != "files" or not n_rejected or log.nested is not None
         if mode == "overwrite":
             store.replace(rows, name, laid_out)
         elif stored.isEmpty():
             store.append(rows, name, laid_out)
         else:
-            store.append(rows.join(stored.distinct(), "revision", "left_anti"), name)
+            store.append(rows.join(stored, keys, "left_anti"), name)
 
     in_parallel(spark, *[partial(write, name) for name in built])
 

@@ -5,7 +5,7 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
@@ -47,6 +47,16 @@ def materialize(df: DataFrame, name: str, partition_by=()) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def group_for_join(df: DataFrame, key: Column):
+    """Group by a key that a table with hot keys will be joined on.
+
+    Adaptive execution splits a hot key only if both sides are shuffled for the
+    join itself.  A side grouped by just that key would not be, so it is
+    grouped by the key's hash as well, which leaves the groups as they are.
+    """
+    return df.groupBy(F.xxhash64(key).alias("key_hash"), key)
+
+
 def in_parallel(spark: SparkSession, *jobs) -> list:
     """Run independent jobs side by side, so that short ones fill idle executors."""
     inherit = inheritable_thread_target(spark)
