@@ -91,15 +91,17 @@ def read_build_log(spark: SparkSession, path: str) -> DataFrame:
     A file may be far larger than one task should hold, so it is read in
     splits.  Within a split, row ids grow with the position; the first id and
     the number of lines of each split then place the split within its file.
-    That table has one small row per split; it is written out, so the join
-    broadcasts it or not by its true size.
+    How files are split may change from one job to the next, so lines are
+    written with their ids first.  The table of splits is small and written
+    too, so the join broadcasts it or not by its true size.
     """
-    lines = spark.read.text(path).select(
+    numbered = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("id"),
         F.col("value").alias("line"),
     )
+    lines = materialize(numbered, "lines")
     before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     splits = (
         lines.groupBy("file", "start")

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from revlens import rules, schema
 from revlens.operators import address_book, tracker
@@ -78,3 +79,43 @@ def test_links(spark, docs, rows):
     place = f"Notes:///{rules.FEATURES_REPLICA}/{rules.FEATURES_VIEW}"
     assert rows(tracker.issue_links(issues, docs)) == [
         (9, "F", "#2", f"<a href={place}/NO-UniqID>#2  NO-NAME</a>"), (9, "F", "#404", None)]
+
+
+@pytest.mark.parametrize("query", ["links", "roster"])
+def test_a_hot_key_is_split_between_tasks(spark, query):
+    """A third of all rows under one reference, and under one person."""
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+    }
+    before = {key: spark.conf.get(key, None) for key in changed}
+    for key, value in changed.items():
+        spark.conf.set(key, value)
+    try:
+        rows = spark.range(100000)
+        number = F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 9000)
+        if query == "links":
+            issues = rows.select(
+                F.col("id").alias("revision"), F.lit("F").alias("type"), F.concat(F.lit("#"), number).alias("reference")
+            )
+            docs = spark.range(9000).select(
+                F.col("id").alias("doc_id"), F.concat(F.lit("#"), "id").alias("reference"), F.lit("n").alias("name"),
+                F.lit("u").alias("uniq_id"), F.array(F.lit("r")).alias("revisions"),
+            )
+            result = tracker.issue_links(issues, docs)
+        else:
+            members = rows.select(
+                F.col("id").alias("doc_id"), F.lit("g").alias("list_name"), F.concat(F.lit("CN=p"), number).alias("member")
+            )
+            persons = spark.range(9000).select(
+                F.col("id").alias("doc_id"), F.concat(F.lit("CN=p"), "id").alias("full_name"), F.lit("a").alias("first_name"),
+                F.lit("b").alias("last_name"), F.lit("c").alias("internet_address"),
+            )
+            result = address_book.team_roster(members, persons, ["g"])
+        assert len(result.collect()) == 100000
+        assert "skew=true" in result._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
