@@ -342,8 +342,8 @@ SQL = {
     "check_unique": _LOG + """
         SELECT revision, path AS file, count(*) AS copies FROM raw_paths GROUP BY revision, path HAVING count(*) > 1""",
     "check_lengths": """
-        SELECT doc_id, 'text' AS column_name, CAST(length(text) AS INT) AS n_chars, 2048 AS max_chars FROM documents
-        WHERE length(text) > 2048
+        SELECT doc_id, 'text' AS column_name, CAST(""" + _UTF16.format("text") + """ AS INT) AS n_chars, 2048 AS max_chars
+        FROM documents WHERE """ + _UTF16.format("text") + """ > 2048
         UNION ALL SELECT doc_id, 'source', CAST(length(source) AS INT), 4 FROM documents WHERE length(source) > 4""",
     "check_tables": _LOG + """,
         keyed AS (

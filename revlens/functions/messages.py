@@ -7,7 +7,7 @@ from revlens import rules
 
 
 def utf16_length(text: Column) -> Column:
-    """Length in UTF-16 units, the unit in which message limits are stated."""
+    """Length in UTF-16 units, the unit in which text limits are stated."""
     return (F.octet_length(F.encode(text, "UTF-16BE")) / 2).cast("int")
 
 
@@ -15,10 +15,14 @@ def count_issue_marks(message: Column) -> Column:
     return F.length(message) - F.length(F.replace(message, F.lit("#"), F.lit("")))
 
 
-def too_long(message: Column, max_length=rules.MAX_MESSAGE_LENGTH) -> Column:
+def longer_than(text: Column, limit: int) -> Column:
     # A text never has more UTF-16 units than UTF-8 bytes, and the byte count is
-    # at hand, so only really large messages are re-encoded.
-    return (F.octet_length(message) >= max_length) & (utf16_length(message) >= max_length)
+    # at hand, so only really large texts are re-encoded.
+    return (F.octet_length(text) > limit) & (utf16_length(text) > limit)
+
+
+def too_long(message: Column, max_length=rules.MAX_MESSAGE_LENGTH) -> Column:
+    return longer_than(message, max_length - 1)
 
 
 def too_many_marks(message: Column, max_marks=rules.MAX_MESSAGE_MARKS) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens import schema
+from revlens.functions.messages import longer_than, utf16_length
 
 
 def unique_violations(df: DataFrame, keys) -> DataFrame:
@@ -20,10 +21,10 @@ def length_violations(df: DataFrame, limits: dict[str, int], key="revision") ->
     """
 
     def finding(name, limit):
-        size = F.length(name)
+        size = utf16_length(F.col(name)).alias("n_chars")
         return F.when(
-            size > limit,
-            F.struct(F.lit(name).alias("column_name"), size.alias("n_chars"), F.lit(limit).alias("max_chars")),
+            longer_than(F.col(name), limit),
+            F.struct(F.lit(name).alias("column_name"), size, F.lit(limit).alias("max_chars")),
         )
 
     found = F.array_compact(F.array(*[finding(name, limit) for name, limit in limits.items()]))
@@ -37,7 +38,7 @@ def table_violations(tables: dict[str, DataFrame]) -> DataFrame:
     """
     counts = []
     for name, df in tables.items():
-        long = [F.when(F.length(column) > limit, 1).otherwise(0) for column, limit in schema.TEXT_LIMITS[name].items()]
+        long = [F.when(longer_than(F.col(column), limit), 1).otherwise(0) for column, limit in schema.TEXT_LIMITS[name].items()]
         per_key = df.groupBy(*schema.UNIQUE_KEYS[name]).agg(
             F.count(F.lit(1)).alias("copies"), F.sum(sum(long, F.lit(0))).alias("long")
         )

@@ -46,15 +46,20 @@ def plan_columns(action: Column, db: Column, repo: Column, start: Column, end: C
 
 
 def plan_load(
-    loaded: DataFrame, available: DataFrame, action: str, start: int = 1, end: int | None = None
+    loaded: DataFrame, available: DataFrame | int, action: str, start: int = 1, end: int | None = None
 ) -> DataFrame:
-    """One row ``action, db, repo, status, lo, hi`` for a store and a log."""
+    """One row ``action, db, repo, status, lo, hi`` for a store and a log.
+
+    ``available`` is the log, or its newest revision where that is known.
+    """
     none = F.lit(None).cast("bigint")
-    scalars = (
-        loaded.select(F.col("revision").alias("db"), none.alias("repo"))
-        .unionAll(available.select(none.alias("db"), F.col("revision").alias("repo")))
-        .agg(F.max("db").alias("db"), F.max("repo").alias("repo"))
-    )
+    both = loaded.select(F.col("revision").alias("db"), none.alias("repo"))
+    if isinstance(available, DataFrame):
+        both = both.unionAll(available.select(none.alias("db"), F.col("revision").alias("repo")))
+        newest = F.max("repo")
+    else:
+        newest = F.lit(available).cast("bigint")
+    scalars = both.agg(F.max("db").alias("db"), newest.alias("repo"))
     plan = plan_columns(
         F.lit(action), F.col("db"), F.col("repo"), F.lit(start).cast("bigint"), F.lit(end).cast("bigint")
     )
@@ -131,10 +136,15 @@ def load(
     action: str = UPDATE_OR_REBUILD,
     start: int = 1,
     end: int | None = None,
+    newest: int | None = None,
     **options,
 ) -> DataFrame:
-    """Plan a load, run it and report on the store."""
-    plan = plan_load(store.read("commits"), log.heads, action, start, end).first()
+    """Plan a load, run it and report on the store.
+
+    ``newest`` is the log's newest revision; giving it saves a pass over the log.
+    """
+    available = log.heads if newest is None else newest
+    plan = plan_load(store.read("commits"), available, action, start, end).first()
     if action == FORCE_REBUILD:
         ingest(log.between(start, end), store, mode="overwrite", **options)
     elif plan["status"] == "load":

@@ -94,6 +94,9 @@ def test_load_plans(spark):
     for action, db, repo, start, end, *expected in PLANS:
         plan = load.plan_load(revisions(db), revisions(repo), action, start, end).first()
         assert [plan.status, plan.lo, plan.hi] == expected, (action, db, repo, start, end)
+    known = load.plan_load(revisions(50), 90, load.UPDATE).first()
+    assert known[:] == ("update", 50, 90, "load", 51, 90)
+    assert load.plan_load(revisions(None), 90, load.UPDATE).first()[:] == ("update", None, 90, "load", 1, 90)
 
 
 def test_actions(view, target, rows):
@@ -101,7 +104,7 @@ def test_actions(view, target, rows):
     report = lambda *args, **kw: load.load(view, target, *args, **kw).first()[:]
     assert report(load.UPDATE_OR_REBUILD, 1, 100) == (100, 1, 100, 99)
     assert report(load.UPDATE, end=150) == (150, 1, 150, 149)
-    assert report(load.UPDATE_OR_REBUILD) == (newest, 1, newest, newest - 1)
+    assert report(load.UPDATE_OR_REBUILD, newest=newest) == (newest, 1, newest, newest - 1)
     assert report(load.UPDATE_OR_REBUILD) == (newest, 1, newest, newest - 1)
     assert report(load.FORCE_REBUILD, 11, 20) == (10, 11, 20, 9)
     assert rows(target.read("version"), "revision") == [(r,) for r in range(11, 21)]
