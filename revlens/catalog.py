@@ -68,6 +68,7 @@ def _export_xml_log(spark: SparkSession, folder: str) -> str:
     A commit's paths are spread over elements, so exporting gathers no group.
     """
     rows = V.view(spark, folder, V.ENTRIES).join(V.view(spark, folder, V.PATHS), "revision", "left")
+    rows = rows.repartition(spark.sparkContext.defaultParallelism)
     element = F.struct(
         F.col("path").alias("_VALUE"),
         F.col("type").alias("_action"),

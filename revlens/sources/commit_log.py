@@ -100,8 +100,13 @@ class CommitLog:
     nested: DataFrame | None = None
 
     @classmethod
-    def from_nested(cls, nested: DataFrame, mode="suffix") -> "CommitLog":
-        """From entries that hold their paths in an array: no shuffle at all."""
+    def from_nested(cls, nested: DataFrame, unique=True, mode="suffix") -> "CommitLog":
+        """From entries that hold their paths in an array: no shuffle at all.
+
+        Overlapping exports repeat entries; ``unique=False`` keeps one of each.
+        """
+        if not unique:
+            nested = nested.dropDuplicates(["revision"])
         arr = F.coalesce(F.col("changed_paths"), F.array().cast(T.ArrayType(schema.CHANGED_PATH)))
         by_ordinal = F.transform(arr, lambda p: F.struct(p["ordinal"], p["path"].alias("path")))
         described = nested.select(

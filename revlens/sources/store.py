@@ -105,9 +105,15 @@ class CommitStore:
         return {name: self.read(name) for name in schema.TABLES}
 
 
-def register_tables(tables: dict[str, DataFrame], prefix="") -> None:
-    """Make tables queryable by SQL; registering one again is not an error."""
+def register_tables(tables: dict[str, DataFrame], prefix="", joined_names=False) -> None:
+    """Make tables queryable by SQL; registering one again is not an error.
+
+    ``joined_names`` names columns without underscores (``fullversion``,
+    ``changedfilescount``), so that scripts written for such names still run.
+    """
     for name, df in tables.items():
+        if joined_names:
+            df = df.toDF(*[column.replace("_", "") for column in df.columns])
         df.createOrReplaceTempView(prefix + name)
 
 

@@ -17,6 +17,6 @@ def append_stream(entries: DataFrame, store: CommitStore, checkpoint: str, **opt
     """
 
     def load_batch(batch: DataFrame, _batch_id: int) -> None:
-        ingest(CommitLog.from_nested(batch.dropDuplicates(["revision"])), store, **options)
+        ingest(CommitLog.from_nested(batch, unique=False), store, **options)
 
     return entries.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)

@@ -179,6 +179,27 @@ def test_reports_agree_over_log_and_tables(view, target, rows):
     assert rows(reports.boundary_rows(stored["commits"], 1, 10**9), "revision") == [(1,)]
 
 
+def test_scripts_with_joined_column_names_run(spark, view, rows):
+    store.register_tables(tables.build(view), prefix="j_", joined_names=True)
+    counted = spark.sql(
+        """
+        SELECT fullversion, count(1) AS commits_count, year, month, sum(changedfilescount) AS cf
+        FROM j_date_time d, j_version v, j_commits c
+        WHERE d.revision = v.revision AND c.revision = v.revision AND (branch = 'builds' OR branch = 'hotfix')
+        GROUP BY year, month, fullversion
+        """
+    )
+    expected = reports.commits_per_version_month(reports.commit_facts(view))
+    assert rows(counted, "fullversion", "commits_count", "year", "month") == rows(expected)
+
+
+def test_overlapping_exports_are_stored_once(spark, entries, target, rows):
+    repeated = entries.unionAll(entries.filter("revision < 3"))
+    load.ingest(CommitLog.from_nested(repeated, unique=False), target)
+    assert rows(target.read("commits"), "revision") == [(1,), (2,), (3,), (4,)]
+    assert rows(target.read("files"), "revision") == [(1,), (2,), (3,)]
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
