@@ -79,7 +79,7 @@ def _export_xml_log(spark: SparkSession, folder: str) -> str:
     rows.select(
         F.col("revision").alias("_revision"),
         "author",
-        F.date_format("date", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("date"),
+        F.date_format(F.col("date").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("date"),
         F.when(F.col("path").isNotNull(), F.struct(F.array(element).alias("path"))).alias("paths"),
         F.col("message").alias("msg"),
     ).write.option("rowTag", "logentry").option("rootTag", "log").xml(target)
