@@ -31,12 +31,12 @@ def build_session(app="revlens", master="local[*]", shuffle_partitions=8, **conf
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the one the cluster shares for intermediate tables."""
     context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="revlens-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="revlens-"))
+        root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -127,9 +127,8 @@ def test_tsv_holds_values_as_they_are(spark, tmp_path):
 
 
 def test_scratch_folder_comes_from_the_session(spark):
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     path = session.scratch_dir(spark, "x")
-    root = root or spark.conf.get("spark.checkpoint.dir")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     assert path.startswith(root.rstrip("/") + "/x-") and path != session.scratch_dir(spark, "x")
 
 
