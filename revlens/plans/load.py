@@ -85,12 +85,14 @@ def ingest(
     is compared with its own keys, so a load that was cut short is simply
     run again.  Entries without a revision or date go to a reject table.
     """
-    log = _stage(log, author_rules, sizes)
+    log = _stage(log, store.span, author_rules, sizes)
     spark = log.heads.sparkSession
     lo, hi, n_rejected = log.heads.agg(F.min("revision"), F.max("revision"), F.count_if(is_rejected())).first()
     if n_rejected:
         store.append_rejects(log.rejects.drop(BUCKET))
         log = log.accepted()
+    if lo is None and mode == "append":
+        return
     built = tables.build(log, week_rule, branch_rules)
 
     def write(name: str) -> None:
@@ -107,7 +109,7 @@ def ingest(
     in_parallel(spark, *[partial(write, name) for name in built])
 
 
-def _stage(log: CommitLog, author_rules: DataFrame | None, sizes: DataFrame | None) -> CommitLog:
+def _stage(log: CommitLog, span: int, author_rules: DataFrame | None, sizes: DataFrame | None) -> CommitLog:
     """Write a log, with labels and diff sizes, laid out by range."""
 
     def label(heads: DataFrame) -> DataFrame:
@@ -117,7 +119,7 @@ def _stage(log: CommitLog, author_rules: DataFrame | None, sizes: DataFrame | No
         return heads if sizes is None else diffs.with_sizes(heads, sizes)
 
     def write(df: DataFrame, name: str) -> DataFrame:
-        return materialize(by_range(df), name, [BUCKET])
+        return materialize(by_range(df, span), name, [BUCKET])
 
     if log.nested is not None:
         return CommitLog.from_described(write(label(log.nested), "log"))

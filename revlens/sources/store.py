@@ -13,6 +13,10 @@ BUCKET_SPAN = 100_000
 BUCKET = "rev_bucket"
 
 
+def bucket(span: int):
+    return F.expr(f"revision div {span}")
+
+
 def typed(df: DataFrame, table: str) -> DataFrame:
     """Columns of a stored table in order, each cast to its declared type.
 
@@ -21,17 +25,17 @@ def typed(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.TABLES[table].fields])
 
 
-def by_range(df: DataFrame) -> DataFrame:
+def by_range(df: DataFrame, span: int = BUCKET_SPAN) -> DataFrame:
     """Lay rows out by ranges of revisions, ready to be written one folder each.
 
     Rebalancing brings a range together in one task, merges small ranges and
     splits one that holds far more rows than others.
     """
-    return df.withColumn(BUCKET, F.expr(f"revision div {BUCKET_SPAN}")).hint("rebalance", F.col(BUCKET))
+    return df.withColumn(BUCKET, bucket(span)).hint("rebalance", F.col(BUCKET))
 
 
 def write_table(
-    df: DataFrame, path: str, table: str, mode="append", buckets_only=False, laid_out=False
+    df: DataFrame, path: str, table: str, mode="append", span=BUCKET_SPAN, buckets_only=False, laid_out=False
 ) -> None:
     """Write typed rows, one folder per range of revisions, sorted in each file.
 
@@ -40,7 +44,7 @@ def write_table(
     ranges that ``df`` has rows for.
     """
     rows = typed(df, table)
-    rows = rows.withColumn(BUCKET, F.expr(f"revision div {BUCKET_SPAN}")) if laid_out else by_range(rows)
+    rows = rows.withColumn(BUCKET, bucket(span)) if laid_out else by_range(rows, span)
     (
         rows.sortWithinPartitions(BUCKET, "revision")
         .write.mode(mode)
@@ -58,10 +62,16 @@ def write_tsv(df: DataFrame, path: str, mode="errorifexists") -> None:
 
 @dataclass(frozen=True)
 class CommitStore:
-    """The five tables below one folder."""
+    """The five tables below one folder.
+
+    ``span`` is the number of revisions per folder of a table.  A store keeps the
+    span it was made with; larger logs take a larger one, so that there are some
+    thousand folders at most.
+    """
 
     spark: SparkSession
     root: str
+    span: int = BUCKET_SPAN
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
@@ -77,9 +87,9 @@ class CommitStore:
                 raise
             return self.spark.createDataFrame([], declared)
         if start is not None:
-            df = df.filter(F.col(BUCKET) >= start // BUCKET_SPAN)
+            df = df.filter(F.col(BUCKET) >= start // self.span)
         if end is not None:
-            df = df.filter(F.col(BUCKET) <= end // BUCKET_SPAN)
+            df = df.filter(F.col(BUCKET) <= end // self.span)
         return df.select(*declared.fieldNames())
 
     def read(self, table: str, start: int | None = None, end: int | None = None) -> DataFrame:
@@ -90,16 +100,16 @@ class CommitStore:
         return df if end is None else df.filter(F.col("revision") <= end)
 
     def append(self, df: DataFrame, table: str, laid_out=False) -> None:
-        write_table(df, self.path(table), table, laid_out=laid_out)
+        write_table(df, self.path(table), table, span=self.span, laid_out=laid_out)
 
     def append_rejects(self, df: DataFrame) -> None:
         df.write.mode("append").parquet(self.path("rejects"))
 
     def replace(self, df: DataFrame, table: str, laid_out=False) -> None:
-        write_table(df, self.path(table), table, mode="overwrite", laid_out=laid_out)
+        write_table(df, self.path(table), table, mode="overwrite", span=self.span, laid_out=laid_out)
 
     def replace_buckets(self, df: DataFrame, table: str) -> None:
-        write_table(df, self.path(table), table, mode="overwrite", buckets_only=True)
+        write_table(df, self.path(table), table, mode="overwrite", span=self.span, buckets_only=True)
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.read(name) for name in schema.TABLES}

@@ -58,6 +58,12 @@ def test_a_load_that_was_cut_short_is_completed(view, target, rows):
     assert {n: len(r) for n, r in contents(target, rows).items()} == {n: df.count() for n, df in whole.items()}
 
 
+def test_loading_nothing_changes_nothing(view, target, rows):
+    load.ingest(view.between(1, 20), target)
+    load.ingest(view.between(10**9), target)
+    assert len(rows(target.read("commits"))) == 20
+
+
 def test_rejects_are_set_aside(spark, entries, target, rows):
     undated = entries.filter("revision = 1").withColumn("revision", F.lit(50).cast("long")).withColumn("date", F.lit(None).cast("timestamp"))
     load.ingest(CommitLog.from_nested(entries.unionAll(undated)), target)
@@ -127,8 +133,8 @@ def test_labels_and_diff_sizes_are_stored_and_refreshed(spark, entries, target,
     assert shown() == [(1, "web", -1), (2, "", -1), (3, "", -1), (4, "web", -1)]
 
 
-def test_only_touched_ranges_are_rewritten(spark, target, rows, monkeypatch):
-    monkeypatch.setattr(store, "BUCKET_SPAN", 10)
+def test_only_touched_ranges_are_rewritten(spark, tmp_path, rows):
+    target = store.CommitStore(spark, str(tmp_path / "store"), span=10)
     day = datetime.datetime(2015, 1, 1)
     entries = spark.createDataFrame([(r, day, "ann", "m", []) for r in range(1, 40)], schema.LOG_ENTRY)
     log = CommitLog.from_nested(entries)
