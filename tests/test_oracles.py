@@ -42,3 +42,6 @@ def test_query_equals_sql(spark, folder, database, name):
     found = sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
     expected = sorted(database.execute(f"SELECT {', '.join(columns)} FROM ({sql})").fetchall(), key=repr)
     assert found == expected
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas", "SerializeFromObject"):
+        assert unwanted not in plan
