@@ -3,7 +3,7 @@
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlens import rules
@@ -14,20 +14,18 @@ def third_segment(path: Column) -> Column:
     return F.get(F.split(F.rtrim(path, F.lit("/")), "/"), F.lit(3))
 
 
-def dot_tokens(version: Column) -> Column:
-    return F.split(F.rtrim(version, F.lit(".")), "[.]")
+def _inner_dot(version: Column) -> Column:
+    """Whether a dot separates two tokens; dots at the end separate nothing."""
+    return F.rtrim(version, F.lit(".")).contains(".")
 
 
 def product_version(version: Column) -> Column:
     """First two dot-separated tokens; a shorter version is returned unchanged."""
-    tokens = dot_tokens(version)
-    return F.when(
-        F.size(tokens) > 1, F.concat_ws(".", F.get(tokens, F.lit(0)), F.get(tokens, F.lit(1)))
-    ).otherwise(version)
+    return F.when(_inner_dot(version), F.substring_index(version, ".", 2)).otherwise(version)
 
 
 def is_short_version(version: Column) -> Column:
-    return F.size(dot_tokens(version)) < 2
+    return ~_inner_dot(version)
 
 
 def _first_part(text: Column, separator: str) -> Column:
@@ -45,15 +43,17 @@ def underscore_product_version(version: Column) -> Column:
     return _first_part(version, "_")
 
 
-def branch_labels(first_path: Column, branch_rules=rules.BRANCH_RULES) -> dict[str, Column]:
-    """Product, type, branch and versions of a commit by the first rule its first
-    path matches.  Prefixes are compared literally: some hold an underscore."""
+def _by_rule(first_path: Column, branch_rules, value_of, otherwise: Column) -> Column:
+    """The value of the first rule a path matches.  Prefixes are compared
+    literally: some hold an underscore."""
+    chain = F.when(first_path.isNull(), otherwise)
+    for rule in branch_rules:
+        chain = chain.when(first_path.startswith(rule.prefix), value_of(rule))
+    return chain.otherwise(otherwise)
 
-    def pick(value_of):
-        chain = F.when(first_path.isNull(), F.lit(rules.OTHER))
-        for rule in branch_rules:
-            chain = chain.when(first_path.startswith(rule.prefix), value_of(rule))
-        return chain.otherwise(F.lit(rules.OTHER))
+
+def branch_labels(first_path: Column, branch_rules=rules.BRANCH_RULES) -> dict[str, Column]:
+    """Product, type, branch and full version of a commit, by its first path."""
 
     def full(rule):
         if rule.versioning == "dots":
@@ -62,28 +62,37 @@ def branch_labels(first_path: Column, branch_rules=rules.BRANCH_RULES) -> dict[s
             return underscore_version(first_path, rule.prefix)
         return F.lit(rules.OTHER)
 
-    def short(rule):
-        if rule.versioning == "dots":
-            return product_version(full(rule))
-        if rule.versioning == "underscores":
-            return underscore_product_version(full(rule))
-        return F.lit(rules.OTHER)
-
+    values = {
+        "product": lambda rule: F.lit(rule.product),
+        "type": lambda rule: F.lit(rule.type),
+        "branch": lambda rule: F.lit(rule.branch),
+        "full_version": full,
+    }
     return {
-        "product": pick(lambda rule: F.lit(rule.product)),
-        "type": pick(lambda rule: F.lit(rule.type)),
-        "branch": pick(lambda rule: F.lit(rule.branch)),
-        "product_version": pick(short),
-        "full_version": pick(full),
+        name: _by_rule(first_path, branch_rules, value_of, F.lit(rules.OTHER)) for name, value_of in values.items()
+    }
+
+
+def short_version(first_path: Column, full_version: Column, branch_rules=rules.BRANCH_RULES) -> Column:
+    """Product version of a commit, from the full version by the same rule."""
+    shorten = {
+        "dots": product_version(full_version),
+        "underscores": underscore_product_version(full_version),
+        "none": F.lit(rules.OTHER),
     }
+    return _by_rule(first_path, branch_rules, lambda rule: shorten[rule.versioning], F.lit(rules.OTHER))
+
+
+def with_branch_labels(heads: DataFrame, branch_rules=rules.BRANCH_RULES) -> DataFrame:
+    """Heads with all five labels; the full version is worked out once."""
+    first_path = F.col("first_path")
+    labelled = heads.withColumns(branch_labels(first_path, branch_rules))
+    return labelled.withColumn("product_version", short_version(first_path, F.col("full_version"), branch_rules))
 
 
 def uses_dots(first_path: Column, branch_rules=rules.BRANCH_RULES) -> Column:
     """Whether the rule that applies takes a dot-separated version."""
-    chain = F.when(first_path.isNull(), F.lit(False))
-    for rule in branch_rules:
-        chain = chain.when(first_path.startswith(rule.prefix), F.lit(rule.versioning == "dots"))
-    return chain.otherwise(F.lit(False))
+    return _by_rule(first_path, branch_rules, lambda rule: F.lit(rule.versioning == "dots"), F.lit(False))
 
 
 def is_copied_dir(kind: Column, copy_path: Column) -> Column:

@@ -57,8 +57,8 @@ def date_time(heads: DataFrame, week_rule="us", extras=False) -> DataFrame:
 
 
 def version(heads: DataFrame, branch_rules=rules.BRANCH_RULES) -> DataFrame:
-    labels = P.branch_labels(F.col("first_path"), branch_rules)
-    return heads.select("revision", *[column.alias(name) for name, column in labels.items()])
+    labels = ("product", "type", "branch", "product_version", "full_version")
+    return P.with_branch_labels(heads, branch_rules).select("revision", *labels)
 
 
 def issues(heads: DataFrame) -> DataFrame:
@@ -90,22 +90,30 @@ def warnings(heads: DataFrame, branch_rules=rules.BRANCH_RULES) -> DataFrame:
     All findings of a row are listed in one pass over the log.
     """
     message, path = F.col("message"), F.col("first_path")
-    full = P.branch_labels(path, branch_rules)["full_version"]
-    dots = P.uses_dots(path, branch_rules)
     doubled = F.filter(
         M.issue_references(message),
         lambda r: (F.length(r) == rules.SHORT_BUG_LENGTH) & F.substring(r, 2, 5).try_cast("bigint").isNull(),
     )
+    # Worked out once; the findings use them several times.
+    judged = heads.select(
+        "revision",
+        "message",
+        "first_path",
+        P.branch_labels(path, branch_rules)["full_version"].alias("full_version"),
+        doubled.alias("doubled"),
+    )
 
     def finding(name, condition, detail):
         return F.when(condition, F.struct(F.lit(name).alias("warning"), detail.cast("string").alias("detail")))
 
+    full, doubled = F.col("full_version"), F.col("doubled")
     long = M.too_long(message)
+    short = P.uses_dots(path, branch_rules) & full.isNotNull() & P.is_short_version(full)
     found = F.array(
         finding("message is too long", long, M.utf16_length(message)),
         finding("message contains too many issues", ~long & M.too_many_marks(message), M.count_issue_marks(message)),
-        finding("full version is too short", dots & full.isNotNull() & P.is_short_version(full), full),
+        finding("full version is too short", short, full),
         finding("path holds no version", path.isNotNull() & full.isNull(), path),
         finding("reference has a doubled mark", F.size(doubled) > 0, F.array_join(doubled, ", ")),
     )
-    return heads.select("revision", F.explode(F.array_compact(found)).alias("w")).select("revision", "w.*")
+    return judged.select("revision", F.explode(F.array_compact(found)).alias("w")).select("revision", "w.*")

@@ -17,30 +17,37 @@ from revlens.functions import paths as P
 from revlens.sources.commit_log import CommitLog
 
 
-def commit_facts(log: CommitLog, week_rule="us", branch_rules=rules.BRANCH_RULES) -> DataFrame:
-    """Facts straight from the log, without building tables."""
+def _fact_columns(week_rule) -> list:
     when = F.col("date")
-    labels = P.branch_labels(F.col("first_path"), branch_rules)
-    return log.dated.select(
-        "revision",
+    return [
+        F.col("revision"),
         F.to_date(when).alias("date"),
         F.year(when).alias("year"),
         F.month(when).alias("month"),
         C.week_of_year(when, week_rule).alias("week"),
-        *[labels[name].alias(name) for name in ("branch", "product_version", "full_version")],
-        "author",
-        "changed_files_count",
+        F.col("branch"),
+        F.col("product_version"),
+        F.col("full_version"),
+        F.col("author"),
+        F.col("changed_files_count"),
         M.clean_message(F.col("message")).alias("message"),
-        M.issue_references(F.col("message")).alias("references"),
-    )
+    ]
+
+
+def commit_facts(log: CommitLog, week_rule="us", branch_rules=rules.BRANCH_RULES) -> DataFrame:
+    """Facts straight from the log, without building tables."""
+    return P.with_branch_labels(log.dated, branch_rules).select(*_fact_columns(week_rule))
 
 
 def issue_facts(log: CommitLog, week_rule="us", branch_rules=rules.BRANCH_RULES) -> DataFrame:
     """Commit facts once per issue reference, with the reference and its type."""
-    facts = commit_facts(log, week_rule, branch_rules)
-    kept = [c for c in facts.columns if c != "references"]
-    return facts.select(*kept, F.explode("references").alias("reference")).withColumn(
-        "type", M.issue_type(F.col("reference"))
+    # Exploding the expression itself, not a column of it, keeps the optimizer
+    # from adding filters that search each message again.
+    reference = F.explode(M.issue_references(F.col("message"))).alias("reference")
+    return (
+        P.with_branch_labels(log.dated, branch_rules)
+        .select(*_fact_columns(week_rule), reference)
+        .withColumn("type", M.issue_type(F.col("reference")))
     )
 
 

@@ -103,18 +103,18 @@ class CommitLog:
     def from_nested(cls, nested: DataFrame, unique=True, mode="suffix") -> "CommitLog":
         """From entries that hold their paths in an array: no shuffle at all.
 
+        Paths compare by ordinal, then path, so the first one is their minimum.
         Overlapping exports repeat entries; ``unique=False`` keeps one of each.
         """
         if not unique:
             nested = nested.dropDuplicates(["revision"])
         arr = F.coalesce(F.col("changed_paths"), F.array().cast(T.ArrayType(schema.CHANGED_PATH)))
-        by_ordinal = F.transform(arr, lambda p: F.struct(p["ordinal"], p["path"].alias("path")))
         described = nested.select(
             "revision",
             "date",
             "author",
             "message",
-            F.array_min(by_ordinal)["path"].alias("first_path"),
+            F.array_min(arr)["path"].alias("first_path"),
             F.size(arr).alias("changed_files_count"),
             F.exists(arr, lambda p: P.is_copied_dir(p["kind"], p["copy_path"])).alias("has_copied_dir"),
             F.exists(arr, lambda p: P.is_diffable(p["path"], p["kind"], p["type"], mode)).alias("has_diffable"),

@@ -107,9 +107,9 @@ BRANCHES = {
 
 
 def test_branch_rules(spark):
-    labels = lambda p: F.struct(*[P.branch_labels(p)[n] for n in ("type", "branch", "full_version", "product_version")])
-    found = evaluate(spark, labels, list(BRANCHES))
-    assert {p: tuple(r) for p, r in zip(BRANCHES, found)} == BRANCHES
+    heads = spark.createDataFrame([(p,) for p in BRANCHES], "first_path string")
+    found = P.with_branch_labels(heads).collect()
+    assert {r.first_path: (r.type, r.branch, r.full_version, r.product_version) for r in found} == BRANCHES
 
 
 def test_products_follow_the_rules(spark):

@@ -74,9 +74,9 @@ def test_labels_and_versions(spark):
             return (rule.branch, full, at(parts_of(full, "_"), 0) if full is not None else None)
         return ("other", "other", "other")
 
-    label = lambda name: lambda p: P.branch_labels(p)[name]
-    found = evaluate(spark, paths, label("branch"), label("full_version"), label("product_version"))
-    assert found == [expected(p) for p in paths]
+    heads = spark.createDataFrame(list(enumerate(paths)), "i int, first_path string")
+    found = P.with_branch_labels(heads).orderBy("i").select("branch", "full_version", "product_version").collect()
+    assert [tuple(r) for r in found] == [expected(p) for p in paths]
 
 
 def test_members(spark):
