@@ -1,0 +1,3 @@
+"""DuckDB SQL that must give the rows of a query."""
+
+SQL: dict[str, str] = {}

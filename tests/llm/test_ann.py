@@ -1,0 +1,92 @@
+"""Neighbours against brute force in double precision."""
+
+import math
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from revlens.llm import ann, queries
+
+
+def brute(rows, k, is_query):
+    best = {}
+    for i, v in rows:
+        if i is None or v is None or any(x is None or not math.isfinite(x) for x in v) or not any(v):
+            continue
+        best[i] = min(best.get(i, v), v)
+    out = set()
+    for q, v in best.items():
+        if not is_query(q):
+            continue
+        near = []
+        for i, w in best.items():
+            if i != q and len(w) == len(v):
+                total = 0.0
+                for a, b in zip(v, w):
+                    total += (a - b) * (a - b)
+                near.append((math.sqrt(total), i))
+        out |= {(q, r + 1, i, d) for r, (d, i) in enumerate(sorted(near)[:k])}
+    return out
+
+
+def vectors(n, dim, seed):
+    rng = np.random.default_rng(seed)
+    centers = rng.normal(size=(5, dim))
+    x = (centers[rng.integers(0, 5, n)] + rng.normal(size=(n, dim)) * 0.1).astype(np.float32)
+    x[n // 3 : 2 * n // 3] = x[n // 3]  # a third of all rows is one vector
+    return [(i, [float(v) for v in row]) for i, row in enumerate(x)]
+
+
+ODD = [
+    (None, [1.0, 2.0]),
+    (1, None),
+    (2, [0.0, 0.0]),
+    (3, [1.0, None]),
+    (4, [float("nan"), 1.0]),
+    (5, [float("inf"), 1.0]),
+    (6, []),
+    (7, [1.0]),
+    (8, [3.0]),
+    (100, [2.0, 1.0]),
+    (100, [1.0, 1.0]),
+    (100, [1.0, 1.0]),
+    (9, [1.0, 1.0]),
+    (10, [1e-300, 1e-300]),
+    (11, [1e200, -1e200]),
+    (200, [3.5]),
+    (300, [1.0, 2.0, 3.0]),
+]
+
+
+@pytest.mark.parametrize("rows", [vectors(700, 16, 1), ODD, []])
+def test_equals_brute_force(spark, rows, monkeypatch):
+    table = spark.createDataFrame([(i, v, 1, 0.0) for i, v in rows], "vec_id long, embedding array<double>, rank int, score double")
+    monkeypatch.setattr(queries, "table", lambda *_: table)
+    got = queries.op1_ann(spark, "")
+    assert {tuple(r) for r in got.collect()} == brute(rows, 10, lambda i: i % 100 == 0)
+
+
+def test_tiles_and_cells_change_nothing(spark, monkeypatch):
+    rows = vectors(300, 8, 2)
+    monkeypatch.setattr(ann, "CELL_BYTES", 8 * 8 * 40)
+    monkeypatch.setattr(ann, "TILE", (7, 13))
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.search(table.filter("vec_id % 10 = 0"), table, k=5)
+    assert {tuple(r) for r in got.collect()} == brute(rows, 5, lambda i: i % 10 == 0)
+
+
+def test_bounds_hold():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(200, 33)) * 10.0 ** rng.integers(-3, 3, (200, 1))
+    q, scale, _, error = ann.quantise(x)
+    assert (np.abs(np.linalg.norm(x - q * scale[:, None], axis=1) - error) <= 1e-9 * (1 + error)).all()
+    assert (ann.products(q, q) == q.astype(np.int64) @ q.astype(np.int64).T).all()
+
+
+def test_repeated_pairs_are_one_row(spark):
+    table = spark.createDataFrame(ODD, "vec_id long, embedding array<double>")
+    seen = defaultdict(list)
+    for r in ann.search(table.filter("vec_id % 100 = 0"), table, k=10).collect():
+        seen[r.query_id].append(r.rank)
+    assert all(sorted(x) == list(range(1, len(x) + 1)) for x in seen.values())
