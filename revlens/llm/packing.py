@@ -38,8 +38,9 @@ def pieces(docs: DataFrame, tokenizer: str, size=2048, end_id=0, keep_ids=False,
         end = int(end_id).to_bytes(4, "little")
         for batch in batches:
             out = [[], [], [], [], [], []]
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encode(text.as_py() or "") + end
+            texts = (text.as_py() or "" for text in batch.column(1))
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode.many(texts)):
+                ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * size)):
                     part = ids[at : at + 4 * size]
                     row = (doc_id, k, at // 4, len(part) // 4, zlib.crc32(part))

@@ -23,7 +23,15 @@ def ids(text):
 @settings(max_examples=300, deadline=None)
 @given(st.text() | st.lists(st.sampled_from(["a", "B", " ", "\n", "\t", "\x1c", " ", " ", "é", "́", "Σ", "ΑΣ", "İ", "'s", "<|endoftext|>", "!!", "12", "<|", "|>"])).map("".join))
 def test_words_one_by_one_give_the_ids_of_the_text(text):
-    assert np.frombuffer(subwords.word_ids(PATH)(text), "<u4").tolist() == ids(text)
+    assert np.frombuffer(next(iter(subwords.word_ids(PATH).many([text]))), "<u4").tolist() == ids(text)
+
+
+def test_a_full_memory_changes_nothing(monkeypatch):
+    monkeypatch.setattr(subwords, "KEPT", 4)
+    monkeypatch.setattr(subwords, "BLOCK", 10)
+    texts = ["a b c d e f", "", "g <|endoftext|>h i", "a x y z", "<|startoftext|>"] * 3
+    got = [np.frombuffer(x, "<u4").tolist() for x in subwords.WordIds(PATH).many(texts)]
+    assert got == [ids(t) for t in texts]
 
 
 def test_pieces_and_layout(spark, monkeypatch):
