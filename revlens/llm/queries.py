@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import ann, packing, pii, quality_rules
+from revlens.llm import ann, jaccard_join, packing, pii, quality_rules
 
 #: Vocabulary files of public tokenizers.
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -53,6 +53,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path(WORD_TOKENIZER))
     return packing.pack(rows)
@@ -62,5 +66,6 @@ QUERIES = {
     "op1_ann": op1_ann,
     "op3_pii": op3_pii,
     "op5_quality_rules": op5_quality_rules,
+    "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_best_fit_packing": op10_best_fit_packing,
 }

@@ -34,9 +34,9 @@ class WordIds:
         if len(plain) < len(words):
             for w in set(words).difference(plain):
                 self.known[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
-        for at in range(0, len(plain), 256):
-            part = plain[at : at + 256]
-            ids = np.array(self.tokenizer.encode(SEPARATOR.join(part), add_special_tokens=False).ids, "<u4")
+        parts = [plain[at : at + 256] for at in range(0, len(plain), 256)]
+        for part, found in zip(parts, self.tokenizer.encode_batch_fast(list(map(SEPARATOR.join, parts)), add_special_tokens=False)):
+            ids = np.array(found.ids, "<u4")
             ends = np.flatnonzero(ids == self.separator) * 4
             whole = ids.tobytes()
             begin = 0
