@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import ann, jaccard_join, packing, pii, quality_rules
+from revlens.llm import ann, jaccard_join, packing, pii, quality_rules, suffix_dedup
 
 #: Vocabulary files of public tokenizers.
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -24,6 +24,12 @@ def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(rows.filter("vec_id % 100 = 0"), rows, k=10)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    )
+
+
 def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
@@ -64,6 +70,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ann": op1_ann,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_pii": op3_pii,
     "op5_quality_rules": op5_quality_rules,
     "op9_ngram_jaccard": op9_ngram_jaccard,
