@@ -3,10 +3,23 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import ann, jaccard_join, packing, pii, quality_rules, suffix_dedup
+from revlens.llm import (
+    ann,
+    jaccard_join,
+    labelled,
+    language_id,
+    packing,
+    piece_model,
+    pii,
+    quality_net,
+    quality_rules,
+    suffix_dedup,
+    toxicity,
+)
 
 #: Vocabulary files of public tokenizers.
 WORD_TOKENIZER = "word_bpe_49k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def tokenizer_path(name: str) -> str:
@@ -45,6 +58,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_model.encode(table(spark, sf_dir, "documents"), tokenizer_path(PIECE_MODEL))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -59,6 +76,34 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language_id.fit(language_id.sample(table(spark, sf_dir, "documents")))
+    return language_id.identify(table(spark, sf_dir, "pages"), model)
+
+
+def _judged(scored: DataFrame, folds: int, held_out: int) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        F.coalesce(labelled.remainder(F.col("doc_id"), folds) == held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    usable = labelled.remainder(F.col("doc_id"), 3) != 1
+    scorer = quality_net.fit(labelled.sample(docs, labels, "quality", usable, quality_net.TRAIN_ROWS))
+    return _judged(quality_net.score(docs, scorer), 3, 1)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    usable = labelled.remainder(F.col("doc_id"), 5) != 0
+    scorer = toxicity.fit(labelled.sample(docs, labels, "toxic", usable, toxicity.TRAIN_ROWS))
+    return _judged(toxicity.score(docs, scorer), 5, 0)
+
+
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf_dir, "documents"))
 
@@ -69,10 +114,17 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op1_ann": op1_ann,
-    "op2_suffix_dedup": op2_suffix_dedup,
-    "op3_pii": op3_pii,
-    "op5_quality_rules": op5_quality_rules,
-    "op9_ngram_jaccard": op9_ngram_jaccard,
-    "op10_best_fit_packing": op10_best_fit_packing,
+    query.__name__: query
+    for query in (
+        op1_ann,
+        op2_suffix_dedup,
+        op3_pii,
+        op4_sentencepiece,
+        op5_quality_rules,
+        op6_language_id,
+        op7_quality_classifier,
+        op8_toxicity,
+        op9_ngram_jaccard,
+        op10_best_fit_packing,
+    )
 }

@@ -1,0 +1,54 @@
+"""The pipeline stage by stage against plain Python."""
+
+import corpus_pipeline
+from tests.llm.samples import DOC_SCHEMA, odd_docs
+from tests.llm.test_rules_and_pii import plain_counts
+from tests.llm.test_suffix_dedup import brute
+
+
+def corpus(spark):
+    clean = [" ".join(f"the{(i * 7 + k) % 997} of{k} and" for k in range(60)) for i in range(12)]
+    mail = clean[0].replace("the", "to a@b.de the", 1)
+    near = [clean[5].replace("of7 ", f"of{k} ", 1) for k in range(20)]
+    return odd_docs(spark, [*near, *clean, clean[2], mail + " more text here"]).unionByName(odd_docs(spark))
+
+
+def test_stages(spark):
+    docs = corpus(spark)
+    kept = corpus_pipeline.quality(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert not any(plain_counts(r.text)[-1] for r in kept.collect())
+    assert kept.count() >= 30
+
+    single = corpus_pipeline.near_duplicates(spark, kept, "").cache()
+    assert single.columns == docs.columns
+    texts = [r.text for r in single.collect()]
+    assert len(set(texts)) == len(texts) < kept.count()
+    assert {r.text for r in kept.collect()} >= set(texts)
+
+    cut = corpus_pipeline.repeated_strings(spark, single, "")
+    assert cut.columns == docs.columns and cut.count() == single.count()
+    want = brute([(r.doc_id, r.text) for r in single.collect()], 100)
+    assert sum(r.n_chars for r in cut.collect()) <= sum(n * (size - gone) for (_, size, gone, _, _), n in want.items())
+
+    clean = corpus_pipeline.personal_data(spark, cut, "")
+    assert clean.columns == docs.columns and clean.count() == cut.count()
+    assert not any("a@b.de" in r.text for r in clean.collect())
+
+    packed = corpus_pipeline.pack(spark, clean, "")
+    assert packed.select("doc_id").distinct().count() == clean.select("doc_id").distinct().count()
+
+
+def test_no_documents(spark):
+    docs = spark.createDataFrame([], DOC_SCHEMA)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, "")
+        assert docs.count() == 0
+
+
+def test_run(spark):
+    rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
+    used = {}
+    for r in rows:
+        used[r.sequence_id] = used.get(r.sequence_id, 0) + r.length
+    assert rows and max(used.values()) <= 2048
