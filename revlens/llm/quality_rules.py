@@ -157,5 +157,6 @@ def keep(docs: DataFrame, rules=RULES, text_col="text") -> DataFrame:
 
     The name ``quality_rules__measures`` is used on the way.
     """
-    measured = docs.withColumn("quality_rules__measures", measures(F.col(text_col)))
+    # a generated column is worked out once, while the filter would repeat a projected one per rule
+    measured = docs.select("*", F.explode(F.array(measures(F.col(text_col)))).alias("quality_rules__measures"))
     return measured.filter(F.size(failed(rules, "quality_rules__measures")) == 0).drop("quality_rules__measures")
