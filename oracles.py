@@ -126,7 +126,7 @@ labelled AS (
   WHERE rn = 1),
 docs AS ({V.ISSUE_DOCS}),
 originals AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY reference ORDER BY n_revisions DESC, doc_id) AS rn
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY db, reference ORDER BY n_revisions DESC, doc_id) AS rn
                  FROM docs WHERE trim(reference) <> '') WHERE rn = 1),
 refreshed AS (
   SELECT c.revision, CASE WHEN c.revision >= 101 THEN CASE WHEN h.needs_diff THEN coalesce(s.length, -1) ELSE -1 END
@@ -294,16 +294,16 @@ SQL = {
         SELECT revision, type, reference, CASE WHEN o.doc_id IS NOT NULL THEN
           '<a href=Notes:///{rules.FEATURES_REPLICA}/{rules.FEATURES_VIEW}/' || coalesce(uniq_id, 'NO-UniqID') || '>'
           || reference || '  ' || coalesce(name, 'NO-NAME') || '</a>' END AS link
-        FROM issues LEFT JOIN originals o USING (reference)""",
+        FROM issues LEFT JOIN (SELECT * FROM originals WHERE db = 'features') o USING (reference)""",
     "docs_by_reference": _LOG + """
         SELECT doc_id, reference FROM docs WHERE reference IN (SELECT '#' || (event_id + 1000) || ' - AB' FROM events)""",
     "original_document": _LOG + """,
-        counted AS (SELECT *, count(*) OVER (PARTITION BY reference) AS n, max(doc_id) OVER (PARTITION BY reference) AS last_id
+        counted AS (SELECT *, count(*) OVER (PARTITION BY db, reference) AS n, max(doc_id) OVER (PARTITION BY db, reference) AS last_id
                     FROM docs WHERE trim(reference) <> ''),
-        legacy AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY reference ORDER BY n_revisions DESC, doc_id) AS rn
+        legacy AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY db, reference ORDER BY n_revisions DESC, doc_id) AS rn
                    FROM counted WHERE n = 1 OR doc_id < last_id) WHERE rn = 1)
-        SELECT reference, o.doc_id, CAST(o.n_revisions AS INT) AS n_revisions, l.doc_id AS legacy_doc_id
-        FROM originals o JOIN legacy l USING (reference)""",
+        SELECT db, reference, o.doc_id, CAST(o.n_revisions AS INT) AS n_revisions, l.doc_id AS legacy_doc_id
+        FROM originals o JOIN legacy l USING (db, reference)""",
     "item_or_default": """
         SELECT doc_id, coalesce(list_filter(string_split(text, chr(10)), lambda x: contains(x, '#'))[1], 'NO-LINE') AS item
         FROM documents""",
@@ -409,7 +409,7 @@ SQL = {
     "bug_to_feature": f"""
         SELECT doc_id, reference, CASE WHEN feature = '' THEN '' ELSE
           split_part(feature, ' ', 1) || ' - ' || split_part(feature, ' ', 3) END AS feature_reference, feature
-        FROM ({V.ISSUE_DOCS}) WHERE reference <> '' ORDER BY doc_id DESC LIMIT 2000""",
+        FROM ({V.ISSUE_DOCS}) WHERE reference <> ''""",
     "watchlist_needs_diff": _LOG + """
         SELECT revision, needs_diff, p.type, p.kind, p.path FROM heads LEFT JOIN paths p USING (revision)
         WHERE revision IN (SELECT user_id + 1 FROM events)""",

@@ -418,9 +418,9 @@ def docs_by_reference(spark, folder):
 @query
 def original_document(spark, folder):
     docs = V.issue_docs(spark, folder)
-    now = tracker.original_document(docs).select("reference", "doc_id", F.size("revisions").alias("n_revisions"))
-    before = tracker.original_document(docs, legacy=True).select("reference", F.col("doc_id").alias("legacy_doc_id"))
-    return now.join(before, "reference")
+    now = tracker.original_document(docs).select("db", "reference", "doc_id", F.size("revisions").alias("n_revisions"))
+    before = tracker.original_document(docs, legacy=True).select("db", "reference", F.col("doc_id").alias("legacy_doc_id"))
+    return now.join(before, ["db", "reference"])
 
 
 @query

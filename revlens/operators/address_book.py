@@ -78,7 +78,7 @@ def team_roster(members: DataFrame, persons: DataFrame, group_names=rules.TEAM_G
 
 
 def document_items(docs: DataFrame, key="doc_id") -> DataFrame:
-    """Non-empty fields of each document as ``key, name, value``, sorted by name.
+    """Non-empty fields of each document as ``key, name, value``, by name within a document.
 
     Values print as lists, a single value as a list of one.
     """
@@ -95,4 +95,4 @@ def document_items(docs: DataFrame, key="doc_id") -> DataFrame:
 
     fields = sorted((f for f in docs.schema.fields if f.name != key), key=lambda f: f.name)
     items = F.array_compact(F.array(*[item(f) for f in fields]))
-    return docs.select(key, F.explode(items).alias("item")).select(key, "item.*").orderBy(key, "name")
+    return docs.select(key, F.explode(items).alias("item")).select(key, "item.*")

@@ -16,7 +16,7 @@ def docs_by_reference(docs: DataFrame, wanted: "str | DataFrame") -> DataFrame:
 
 
 def original_document(docs: DataFrame, legacy=False) -> DataFrame:
-    """One document per reference: most revisions, then earliest.
+    """One document per database and reference: most revisions, then earliest.
 
     Documents under one reference are conflict copies of each other.  The best
     one is an aggregate, combined before the shuffle, so a reference with very
@@ -26,15 +26,20 @@ def original_document(docs: DataFrame, legacy=False) -> DataFrame:
     if legacy:
         # Leaving one document out, the best is among the first two; picking those
         # is a group limit, which also works before the shuffle.
-        order = Window.partitionBy("reference").orderBy(_rank().desc())
+        order = Window.partitionBy("db", "reference").orderBy(_rank().desc())
         best_two = named.withColumn("place", F.row_number().over(order)).filter("place <= 2").drop("place")
-        last = named.groupBy("reference").agg(F.max("doc_id").alias("last_id"), F.count(F.lit(1)).alias("copies"))
+        last = named.groupBy(F.col("db").alias("last_db"), F.col("reference").alias("last_reference")).agg(
+            F.max("doc_id").alias("last_id"), F.count(F.lit(1)).alias("copies")
+        )
+        same = F.col("db").eqNullSafe(F.col("last_db")) & (F.col("reference") == F.col("last_reference"))
         named = (
-            best_two.join(last, "reference")
+            best_two.join(last, same)
             .filter((F.col("copies") == 1) | (F.col("doc_id") < F.col("last_id")))
             .select(*docs.columns)
         )
-    return _best(named, [c for c in docs.columns if c != "reference"]).select(*docs.columns)
+    kept = F.struct(*[c for c in docs.columns if c not in ("db", "reference")])
+    best = named.groupBy("db", "reference").agg(F.max_by(kept, _rank()).alias("best"))
+    return best.select("db", "reference", "best.*").select(*docs.columns)
 
 
 def _rank():
@@ -47,13 +52,15 @@ def _best(docs: DataFrame, kept: list[str]) -> DataFrame:
     return group_for_join(docs, F.col("reference")).agg(best).select("reference", "best.*")
 
 
-def issue_links(issues: DataFrame, docs: DataFrame) -> DataFrame:
-    """Issues with an HTML link to their original document, if there is one."""
+def issue_links(
+    issues: DataFrame, docs: DataFrame, db="features", replica=rules.FEATURES_REPLICA, view=rules.FEATURES_VIEW
+) -> DataFrame:
+    """Issues with an HTML link to their original document in one database, if there is one."""
     # Only the fields of a link travel; histories and the like do not.
-    named = docs.filter(F.btrim("reference", F.lit(BLANKS)) != "")
+    named = docs.filter((F.col("db") == db) & (F.btrim("reference", F.lit(BLANKS)) != ""))
     originals = _best(named, ["name", "uniq_id", "doc_id"])
     link = F.format_string(
-        f"<a href=Notes:///{rules.FEATURES_REPLICA}/{rules.FEATURES_VIEW}/%s>%s  %s</a>",
+        f"<a href=Notes:///{replica}/{view}/%s>%s  %s</a>",
         F.coalesce("uniq_id", F.lit("NO-UniqID")),
         F.coalesce("reference", F.lit("NO-REFERENCE")),
         F.coalesce("name", F.lit("NO-NAME")),

@@ -164,11 +164,11 @@ def feature_reference(feature: Column) -> Column:
     )
 
 
-def bug_to_feature(docs: DataFrame, newest: int = 2000) -> DataFrame:
-    """The newest documents that have a reference, with the feature they belong to."""
+def bug_to_feature(docs: DataFrame, newest: int | None = None) -> DataFrame:
+    """Documents that have a reference, with the feature they belong to; only the ``newest`` if given."""
+    named = docs.filter(F.coalesce("reference", F.lit("")) != "")
+    if newest is not None:
+        named = named.orderBy(F.desc("doc_id")).limit(newest)
     return (
-        docs.filter(F.coalesce("reference", F.lit("")) != "")
-        .orderBy(F.desc("doc_id"))
-        .limit(newest)
-        .select("doc_id", "reference", feature_reference(F.col("feature")).alias("feature_reference"), "feature")
+        named.select("doc_id", "reference", feature_reference(F.col("feature")).alias("feature_reference"), "feature")
     )

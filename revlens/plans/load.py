@@ -10,7 +10,7 @@ from revlens.operators import diffs, tables, teams
 from revlens.plans import reports
 from revlens.session import in_parallel, materialize
 from revlens.sources.commit_log import CommitLog, is_rejected
-from revlens.sources.store import BUCKET, CommitStore, by_range
+from revlens.sources.store import BUCKET, CommitStore, bucket, by_range
 
 UPDATE_OR_REBUILD, UPDATE, FORCE_REBUILD = "updateOrRebuild", "update", "forceRebuild"
 
@@ -81,15 +81,17 @@ def ingest(
 
     The log is read once, labelled and laid out by revision range in the shared
     folder; the tables are projections of that copy, written without another
-    shuffle and side by side.  Each append is atomic on its own and each table
-    is compared with its own keys, so a load that was cut short is simply
-    run again.  Entries without a revision or date go to a reject table.
+    shuffle and side by side.  Commits, which loads are planned from, come last:
+    a load that was cut short has not stored them, is planned again, and adds
+    what each table lacks by its own keys.  Entries without a revision or date go
+    to a reject table, each once; a rebuild replaces that table too.
     """
     log = _stage(log, store.span, author_rules, sizes)
     spark = log.heads.sparkSession
     lo, hi, n_rejected = log.heads.agg(F.min("revision"), F.max("revision"), F.count_if(is_rejected())).first()
+    if n_rejected or mode == "overwrite":
+        store.write_rejects(log.rejects.drop(BUCKET), replace=mode == "overwrite")
     if n_rejected:
-        store.append_rejects(log.rejects.drop(BUCKET))
         log = log.accepted()
     if lo is None and mode == "append":
         return
@@ -106,7 +108,9 @@ def ingest(
         else:
             store.append(rows.join(stored, keys, "left_anti"), name)
 
-    in_parallel(spark, *[partial(write, name) for name in built])
+    store.check_span(record=True)
+    in_parallel(spark, *[partial(write, name) for name in built if name != "commits"])
+    write("commits")
 
 
 def _stage(log: CommitLog, span: int, author_rules: DataFrame | None, sizes: DataFrame | None) -> CommitLog:
@@ -144,19 +148,35 @@ def load(
     """Plan a load, run it and report on the store.
 
     ``newest`` is the log's newest revision; giving it saves a pass over the log.
+    Team rules, if given, are applied to the commits stored before as well.
     """
-    available = log.heads if newest is None else newest
-    plan = plan_load(store.read("commits"), available, action, start, end).first()
     if action == FORCE_REBUILD:
         ingest(log.between(start, end), store, mode="overwrite", **options)
-    elif plan["status"] == "load":
-        ingest(log.between(plan["lo"], plan["hi"]), store, **options)
+    else:
+        available = log.heads if newest is None else newest
+        plan = plan_load(store.read("commits"), available, action, start, end).first()
+        if options.get("author_rules") is not None and plan["db"] is not None:
+            relabel(store, options["author_rules"])
+        if plan["status"] == "load":
+            ingest(log.between(plan["lo"], plan["hi"]), store, **options)
     return reports.load_report(store.read("commits"))
 
 
 def relabel(store: CommitStore, author_rules: DataFrame) -> None:
-    """Apply changed team rules to all stored commits."""
-    store.replace_buckets(teams.assign_team_role(store.read("commits"), author_rules), "commits")
+    """Apply changed team rules to all stored commits; only ranges where a label changes are rewritten."""
+    stored = store.read("commits")
+    labelled = teams.assign_team_role(stored, author_rules)
+    before = stored.select("revision", F.struct("team", "role").alias("before"))
+    changed = (
+        labelled.join(before, "revision")
+        .filter(~F.struct("team", "role").eqNullSafe(F.col("before")))
+        .select(bucket(store.span).alias(BUCKET))
+        .distinct()
+    )
+    touched = materialize(changed, "relabelled")
+    if not touched.isEmpty():
+        rows = labelled.withColumn(BUCKET, bucket(store.span)).join(touched, BUCKET, "left_semi")
+        store.replace_buckets(rows.drop(BUCKET), "commits")
 
 
 def refresh_diffs(

@@ -1,5 +1,6 @@
 """Session settings, scratch folders and size-checked broadcasts."""
 
+import re
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -33,7 +34,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="revlens-"))
         root = context.getCheckpointDir()

@@ -93,7 +93,7 @@ FROM customer
 
 # Orders are tracker documents; several share a reference.
 ISSUE_DOCS = f"""
-SELECT o_orderkey AS doc_id, 'features' AS db,
+SELECT o_orderkey AS doc_id, CASE WHEN o_orderkey % 3 = 1 THEN 'bugs' ELSE 'features' END AS db,
        CASE WHEN o_custkey % 89 = 0 THEN ' ' ELSE {FEATURE_SQL} END AS reference,
        CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderpriority END AS name,
        CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE 'U' || o_orderkey END AS uniq_id,

@@ -44,8 +44,8 @@ def read_author_rules(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_address_book(spark: SparkSession, path: str) -> DataFrame:
-    """Address-book documents from JSON lines, groups and persons alike."""
-    return spark.read.schema(schema.ADDRESS_BOOK_DOC).json(path)
+    """Address-book documents from JSON lines, groups and persons alike.  A malformed line fails."""
+    return spark.read.schema(schema.ADDRESS_BOOK_DOC).option("mode", "FAILFAST").json(path)
 
 
 def groups(book: DataFrame) -> DataFrame:

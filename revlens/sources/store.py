@@ -1,6 +1,6 @@
 """Stored tables: typed appends, exports and SQL registration."""
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +20,7 @@ def bucket(span: int):
 def typed(df: DataFrame, table: str) -> DataFrame:
     """Columns of a stored table in order, each cast to its declared type.
 
-    A column of any other type than the declared ones fails at analysis.
+    A missing column, or one of a type that has no cast, fails at analysis.
     """
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.TABLES[table].fields])
 
@@ -65,19 +65,38 @@ class CommitStore:
     """The five tables below one folder.
 
     ``span`` is the number of revisions per folder of a table.  A store keeps the
-    span it was made with; larger logs take a larger one, so that there are some
-    thousand folders at most.
+    span it was made with, stored beside its tables, and refuses another; larger
+    logs take a larger one, so that there are some thousand folders at most.
     """
 
     spark: SparkSession
     root: str
     span: int = BUCKET_SPAN
+    _checked: list = field(default_factory=list, compare=False, repr=False)
+
+    def check_span(self, record=False) -> None:
+        """Compare the span with the stored one; ``record`` stores it if there is none."""
+        if self._checked:
+            return
+        try:
+            stored = self.spark.read.schema("span long").parquet(self.path("settings")).first()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            stored = None
+        if stored is not None and stored[0] != self.span:
+            raise ValueError(f"the store at {self.root} has a span of {stored[0]}, not {self.span}")
+        if stored is None and record:
+            self.spark.range(1).selectExpr(f"{self.span}L AS span").write.mode("overwrite").parquet(self.path("settings"))
+        if stored is not None or record:
+            self._checked.append(self.span)
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
     def read_buckets(self, table: str, start: int | None = None, end: int | None = None) -> DataFrame:
         """All rows of the folders that hold a revision range.  Missing means empty."""
+        self.check_span()
         declared = schema.TABLES[table]
         with_bucket = T.StructType([*declared.fields, T.StructField(BUCKET, T.LongType())])
         try:
@@ -100,12 +119,29 @@ class CommitStore:
         return df if end is None else df.filter(F.col("revision") <= end)
 
     def append(self, df: DataFrame, table: str, laid_out=False) -> None:
+        self.check_span(record=True)
         write_table(df, self.path(table), table, span=self.span, laid_out=laid_out)
 
-    def append_rejects(self, df: DataFrame) -> None:
-        df.write.mode("append").parquet(self.path("rejects"))
+    def write_rejects(self, df: DataFrame, replace=False) -> None:
+        """Add the entries that are not stored yet, or replace all.  Nulls equal nulls."""
+        path = self.path("rejects")
+        keys = [c for c in ("revision", "date", "author", "message") if c in df.columns]
+        rows = df.dropDuplicates(keys)
+        if replace:
+            rows.write.mode("overwrite").parquet(path)
+            return
+        try:
+            stored = self.spark.read.schema(df.schema).parquet(path)
+            known = stored.select(*[F.col(c).alias(f"stored_{c}") for c in keys])
+            rows = rows.join(known, [F.col(c).eqNullSafe(F.col(f"stored_{c}")) for c in keys], "left_anti")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+        if not rows.isEmpty():
+            rows.write.mode("append").parquet(path)
 
     def replace(self, df: DataFrame, table: str, laid_out=False) -> None:
+        self.check_span(record=True)
         write_table(df, self.path(table), table, mode="overwrite", span=self.span, laid_out=laid_out)
 
     def replace_buckets(self, df: DataFrame, table: str) -> None:
