@@ -55,9 +55,13 @@ def _best(docs: DataFrame, kept: list[str]) -> DataFrame:
 def issue_links(
     issues: DataFrame, docs: DataFrame, db="features", replica=rules.FEATURES_REPLICA, view=rules.FEATURES_VIEW
 ) -> DataFrame:
-    """Issues with an HTML link to their original document in one database, if there is one."""
+    """Issues with an HTML link to their original document in one database, if there is one.
+
+    Documents without a column ``db`` are taken to be of that database.
+    """
     # Only the fields of a link travel; histories and the like do not.
-    named = docs.filter((F.col("db") == db) & (F.btrim("reference", F.lit(BLANKS)) != ""))
+    own = docs.filter(F.col("db") == db) if "db" in docs.columns else docs
+    named = own.filter(F.btrim("reference", F.lit(BLANKS)) != "")
     originals = _best(named, ["name", "uniq_id", "doc_id"])
     link = F.format_string(
         f"<a href=Notes:///{replica}/{view}/%s>%s  %s</a>",

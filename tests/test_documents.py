@@ -77,7 +77,7 @@ def test_documents_by_reference(spark, docs, rows):
 def test_links(spark, docs, rows):
     issues = spark.createDataFrame([(9, "F", "#2"), (9, "F", "#404")], "revision long, type string, reference string")
     place = f"Notes:///{rules.FEATURES_REPLICA}/{rules.FEATURES_VIEW}"
-    assert rows(tracker.issue_links(issues, docs)) == [
+    assert rows(tracker.issue_links(issues, docs, db="bugs")) == [
         (9, "F", "#2", f"<a href={place}/NO-UniqID>#2  NO-NAME</a>"), (9, "F", "#404", None)]
 
 
