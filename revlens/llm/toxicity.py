@@ -52,13 +52,14 @@ def bare(word: str) -> str:
 
 
 def _codes(words: list[str], width: int) -> np.ndarray:
-    return np.array([[ord(c) for c in w[:width]] + [0] * (width - len(w)) for w in words], np.int32).reshape(len(words), width)
+    return np.array([w[:width] for w in words], f"U{width}").view(np.int32).reshape(len(words), width)
 
 
 def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     """Subsequence kernel of every word with every landmark, not normalized."""
     width = max(map(len, landmarks))
     t = _codes(landmarks, width)
+    t = np.where(np.arange(width) < np.array([[len(w)] for w in landmarks]), t, -1)
     # weight of going on from place j' to a later place j, both ends included
     gap = np.zeros((width, width), np.float32)
     for j in range(width):
@@ -68,7 +69,7 @@ def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     for n in np.unique(lengths[lengths >= ORDER]):
         index = np.flatnonzero(lengths == n)
         for at in range(0, len(index), 500):
-            own = index[at : at + 2000]
+            own = index[at : at + 500]
             s = _codes([words[i] for i in own], int(n))
             shape = (len(own), len(landmarks), width)
             # partial[i][..., j]: subsequences of i characters up to here, ended within the first j+1 places
@@ -203,16 +204,25 @@ class Model:
     def __init__(self, landmarks, weights, offset, slope, base):
         self.landmarks, self.weights, self.offset, self.slope, self.base = landmarks, weights, offset, slope, base
         self.known: dict[str, float] = {}
+        self.bare: dict[str, float] = {}
 
     def learn(self, words: list[str]) -> None:
+        """Work out words not seen before; those that differ in what stands around them only once."""
         stripped = [bare(w) for w in words]
-        values = similarity(stripped, self.landmarks) @ self.weights
-        self.known.update(zip(words, values.tolist()))
+        new = list(dict.fromkeys(w for w in stripped if w not in self.bare))
+        self.bare.update(zip(new, (similarity(new, self.landmarks) @ self.weights).tolist()))
+        self.known.update(zip(words, map(self.bare.__getitem__, stripped)))
 
-    def margins(self, texts: list[list[list[str]]]) -> np.ndarray:
-        """Of the worst sentence of each text; an empty text has the offset alone."""
+    def forget(self) -> None:
+        """Drop what came last of a full memory, as frequent words come early."""
         if len(self.known) > KEPT:
             self.known = dict(islice(self.known.items(), KEPT // 2))
+        if len(self.bare) > KEPT:
+            self.bare = dict(islice(self.bare.items(), KEPT // 2))
+
+    def margins(self, texts: list[list[list[str]]]) -> np.ndarray:
+        """Of the worst sentence of each text; an empty text has the offset alone."""
+        self.forget()
         known = self.known
         self.learn([w for w in {w for parts in texts for words in parts for w in words} if w not in known])
         get = known.__getitem__
@@ -236,7 +246,9 @@ def fit(rows: list[tuple[str, int]], seed=0):
     vocabulary = sorted({w for parts in texts for words in parts for w in words})
     number = {w: k for k, w in enumerate(vocabulary)}
     stripped = [bare(w) for w in vocabulary]
-    values = similarity(stripped, landmarks)
+    distinct = {w: k for k, w in enumerate(dict.fromkeys(stripped))}
+    of_bare = np.array([distinct[w] for w in stripped])
+    values = similarity(list(distinct), landmarks)[of_bare]
     words = np.array([number[w] for parts in texts for part in parts for w in part])
     begin = np.concatenate([[0], np.cumsum([len(part) for parts in texts for part in parts])]).astype(np.int64)[:-1]
     owner = np.repeat(np.arange(len(texts)), [len(parts) for parts in texts])
@@ -251,7 +263,7 @@ def fit(rows: list[tuple[str, int]], seed=0):
             near = [k for k in np.argsort(-of_word, kind="stable") if common[k] > 1 and len(stripped[k]) <= WIDEST]
             more = list(dict.fromkeys(stripped[k] for k in near if stripped[k] and stripped[k] not in landmarks))[:CLOSE]
             landmarks = landmarks + more
-            values = np.concatenate([values, similarity(stripped, more)], axis=1) if more else values
+            values = np.concatenate([values, similarity(list(distinct), more)[of_bare]], axis=1) if more else values
         # features whose products are the kernel seen through the landmarks
         scale, basis = np.linalg.eigh(similarity(landmarks, landmarks))
         root = basis / np.sqrt(np.where(scale > 1e-6, scale, np.inf)) @ basis.T
@@ -272,7 +284,7 @@ def fit(rows: list[tuple[str, int]], seed=0):
         of_word = x @ w[:-1] + w[-1]
     model = Model(landmarks, root @ w[:-1], float(w[-1]), 1.0, 0.0)
     model.slope, model.base = curve(model.margins(texts), labels)
-    model.known = {}
+    model.known, model.bare = {}, {}
     return model.score
 
 
