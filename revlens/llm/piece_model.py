@@ -14,7 +14,8 @@ piece.
 Texts are taken as they are (identity normalization), with a space in front.  No
 piece may continue after a space, nor hold a line feed, so a text is the row of
 its words, and words are remembered in bounded memory; a vocabulary without that
-property is read text by text.  A null text is an empty one and has no ids.
+property is read text by text.  A mark that no piece holds after a letter or digit
+ends a word in the same way.  A null text is an empty one and has no ids.
 """
 
 import re
@@ -29,51 +30,54 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 KEPT = 600_000
 UNKNOWN_COST = 10.0
+MARKS = ".,;:!?)"
+_ALNUM = re.compile(r"[^\W_]")
 
 
 class Automaton:
-    """Transitions by (state, character); for each state the piece that ends there and the next shorter one."""
+    """Per state: the next states by character, the piece that ends there, and the state of the next shorter piece."""
 
     def __init__(self, pieces: dict[str, tuple[int, float]]):
-        self.step: dict[tuple[int, str], int] = {}
-        children: list[list[tuple[str, int]]] = [[]]
+        self.step: list[dict[str, int]] = [{}]
         self.piece: list[tuple[int, int, float] | None] = [None]
         for text, (number, score) in pieces.items():
             state = 0
             for char in text:
-                after = self.step.get((state, char))
+                after = self.step[state].get(char)
                 if after is None:
-                    after = len(children)
-                    self.step[state, char] = after
-                    children[state].append((char, after))
-                    children.append([])
+                    after = self.step[state][char] = len(self.step)
+                    self.step.append({})
                     self.piece.append(None)
                 state = after
             self.piece[state] = (len(text), number, score)
-        self.fail = [0] * len(children)
-        self.link = [0] * len(children)
-        queue = [state for _, state in children[0]]
+        self.fail = [0] * len(self.step)
+        self.link = [0] * len(self.step)
+        queue = list(self.step[0].values())
         for state in queue:
-            for char, after in children[state]:
-                back = self.fail[state]
-                while back and (back, char) not in self.step:
-                    back = self.fail[back]
-                self.fail[after] = self.step.get((back, char), 0)
-                queue.append(after)
             back = self.fail[state]
             self.link[state] = back if self.piece[back] else self.link[back]
+            for char, after in self.step[state].items():
+                self.fail[after] = self.after(back, char)
+                queue.append(after)
+        #: Where the pieces that end at a state begin.
+        self.first = [state if self.piece[state] else self.link[state] for state in range(len(self.step))]
+
+    def after(self, state: int, char: str) -> int:
+        found = self.step[state].get(char)
+        while found is None and state:
+            state = self.fail[state]
+            found = self.step[state].get(char)
+        return found or 0
 
     def best(self, text: str, unknown: float) -> list[tuple[int, int, int]]:
         """(start, end, piece) of the best segmentation; piece -1 is an unknown character."""
-        step, fail, link, piece = self.step, self.fail, self.link, self.piece
+        link, piece = self.link, self.piece
         score, back = [0.0], [(0, -1)]
         state = 0
         for end, char in enumerate(text, 1):
-            while state and (state, char) not in step:
-                state = fail[state]
-            state = step.get((state, char), 0)
+            state = self.after(state, char)
             top, origin, single = None, None, False
-            at = state if piece[state] else link[state]
+            at = self.first[state]
             while at:
                 size, number, gain = piece[at]
                 total = score[end - size] + gain
@@ -94,30 +98,35 @@ class Automaton:
             end = start
         return out[::-1]
 
-
-    def merged(self, text: str, apart) -> list[tuple[int, int, int]]:
-        """(start, end, piece) as merging leaves them; ``apart(a, b)`` tells whether pieces a and b stay two."""
-        step, fail, link, piece = self.step, self.fail, self.link, self.piece
-        back = [(0, -1)]
+    def merged(self, text: str, known: dict[tuple[int, int], bool], apart) -> list[tuple[int, int, int]]:
+        """(start, end, piece) as merging leaves them; ``known``, or else ``apart(a, b)``, tells whether pieces a and b stay two."""
+        step, fail, link, first, piece = self.step, self.fail, self.link, self.first, self.piece
+        last, begin = [-1], [0]
         state = 0
         for end, char in enumerate(text, 1):
-            while state and (state, char) not in step:
+            after = step[state].get(char)
+            while after is None and state:
                 state = fail[state]
-            state = step.get((state, char), 0)
-            origin = (end - 1, -1)
-            at = state if piece[state] else link[state]
+                after = step[state].get(char)
+            state = after or 0
+            start, chosen = end - 1, -1
+            at = first[state]
             while at:
                 size, number, _ = piece[at]
-                before = back[end - size][1]
-                if before < 0 or apart(before, number):
-                    origin = (end - size, number)
+                before = last[end - size]
+                two = before < 0 or known.get((before, number))
+                if two is None:
+                    two = apart(before, number)
+                if two:
+                    start, chosen = end - size, number
                     break
                 at = link[at]
-            back.append(origin)
+            last.append(chosen)
+            begin.append(start)
         out, end = [], len(text)
         while end:
-            start, number = back[end]
-            out.append((start, end, number))
+            start = begin[end]
+            out.append((start, end, last[end]))
             end = start
         return out[::-1]
 
@@ -188,6 +197,7 @@ class PieceModel:
                     usual[name] = (k, model.get_score(k))
         self.has_bytes = bool(self.byte_ids.any())
         self.unknown_id = model.unk_id()
+        self.raw_ids = [k.to_bytes(4, "little") for k in range(model.get_piece_size())]
         self.unknown = min(s for _, s in usual.values()) - UNKNOWN_COST
         self.automaton = Automaton(usual)
         self.merging = is_bpe(path)
@@ -195,32 +205,33 @@ class PieceModel:
         self.name_of = {k: name for name, (k, _) in usual.items()}
         self.pairs: dict[tuple[int, int], bool] = {}
         by_word = all(SPACE not in p.lstrip(SPACE) for p in usual) and not any("\n" in p for p in usual)
-        self.units = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n" if by_word else r"(?s).+")
+        # no piece holds one of these marks right after a letter or digit, so words end before them
+        within = {b for p in usual for a, b in zip(p, p[1:]) if _ALNUM.fullmatch(a)}
+        marks = "".join(m for m in MARKS if m not in within)
+        word = f"{SPACE}*{_ALNUM.pattern}++(?=[{re.escape(marks)}])|" if marks else ""
+        self.units = re.compile(f"{word}{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n" if by_word else r"(?s).+")
         self.known: dict[str, bytes] = {}
 
     def _apart(self, a: int, b: int) -> bool:
-        known = self.pairs.get((a, b))
-        if known is None:
-            if len(self.pairs) > KEPT:
-                self.pairs.clear()
-            left, right = self.name_of[a], self.name_of[b]
-            known = self.pairs[a, b] = merge(left + right, self.usual) == [left, right]
-        return known
+        if len(self.pairs) > KEPT:
+            self.pairs.clear()
+        left, right = self.name_of[a], self.name_of[b]
+        two = self.pairs[a, b] = merge(left + right, self.usual) == [left, right]
+        return two
 
     def segments(self, text: str) -> list[tuple[int, int, int]]:
-        return self.automaton.merged(text, self._apart) if self.merging else self.automaton.best(text, self.unknown)
+        if self.merging:
+            return self.automaton.merged(text, self.pairs, self._apart)
+        return self.automaton.best(text, self.unknown)
+
+    def _raw(self, unknown: str) -> bytes:
+        return self.byte_ids[list(unknown.encode())].tobytes() if self.has_bytes else self.raw_ids[self.unknown_id]
 
     def _unit(self, text: str) -> bytes:
         ids = self.known.get(text)
         if ids is None:
-            parts = []
-            for start, end, number in self.segments(text):
-                if number >= 0:
-                    parts.append(number.to_bytes(4, "little"))
-                elif self.has_bytes:
-                    parts.append(self.byte_ids[list(text[start:end].encode())].tobytes())
-                else:
-                    parts.append(self.unknown_id.to_bytes(4, "little"))
+            raw = self.raw_ids
+            parts = [raw[number] if number >= 0 else self._raw(text[start:end]) for start, end, number in self.segments(text)]
             ids = self.known[text] = b"".join(parts)
         return ids
 
