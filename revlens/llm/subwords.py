@@ -3,7 +3,8 @@
 The tokenizer drops white space and never joins characters across it, so the
 ids of a text are those of its space-separated parts in a row.  New parts are
 encoded together, told apart by a special token between them, and remembered
-by the worker.  The memory is bounded: when full, the half that came last goes,
+by the worker.  Letters never join with the marks behind them, so those are
+encoded on their own.  The memory is bounded: when full, the half that came last goes,
 as frequent words come early.
 """
 
@@ -11,6 +12,7 @@ import os
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import islice
+from string import ascii_letters
 
 import numpy as np
 
@@ -18,6 +20,8 @@ KEPT = 1_000_000
 #: Characters of text that are looked up together.
 BLOCK = 1 << 20
 SEPARATOR = "<|endoftext|>"
+MARKS = ".,;:!?"
+_LETTERS = frozenset(ascii_letters)
 
 
 class WordIds:
@@ -30,6 +34,19 @@ class WordIds:
         self.known: dict[str, bytes] = {}
 
     def learn(self, words: list[str]) -> None:
+        marked, bare = [], {}
+        for w in words:
+            stem = w.rstrip(MARKS)
+            if len(stem) < len(w) and stem and stem[-1] in _LETTERS:
+                marked.append((w, stem, w[len(stem) :]))
+                bare[stem] = bare[w[len(stem) :]] = None
+            else:
+                bare[w] = None
+        self._encode([w for w in bare if w not in self.known])
+        for w, stem, marks in marked:
+            self.known[w] = self.known[stem] + self.known[marks]
+
+    def _encode(self, words: list[str]) -> None:
         plain = [w for w in words if "<|" not in w and "|>" not in w]
         if len(plain) < len(words):
             for w in set(words).difference(plain):
