@@ -16,7 +16,7 @@ labels of both kinds every score is the share of label 1 (one half if there are
 
 import re
 from collections import Counter
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -64,29 +64,35 @@ def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     gap = np.zeros((width, width), np.float32)
     for j in range(width):
         gap[j, j:] = DECAY ** (np.arange(width - j) + 2)
+    # per character of the landmarks, and last for all others: where it is, and what one character adds up to each place
+    alphabet = np.unique(t[t >= 0])
+    same = np.zeros((len(alphabet) + 1, *t.shape), np.float32)
+    same[:-1] = alphabet[:, None, None] == t
+    single = same @ gap
+    decay = np.float32(DECAY)
     out = np.zeros((len(words), len(landmarks)))
     lengths = np.array([len(w) for w in words])
     for n in np.unique(lengths[lengths >= ORDER]):
         index = np.flatnonzero(lengths == n)
-        for at in range(0, len(index), 500):
-            own = index[at : at + 500]
+        for at in range(0, len(index), 256):
+            own = index[at : at + 256]
             s = _codes([words[i] for i in own], int(n))
+            place = np.minimum(np.searchsorted(alphabet, s), len(alphabet) - 1)
+            place = np.where(alphabet[place] == s, place, len(alphabet))
             shape = (len(own), len(landmarks), width)
-            # partial[i][..., j]: subsequences of i characters up to here, ended within the first j+1 places
-            partial = [np.ones(shape, np.float32)] + [np.zeros(shape, np.float32) for _ in range(ORDER - 1)]
-            total = np.zeros(shape[:2])
+            # partial[i][..., j]: subsequences of i + 1 characters up to here, ended before place j
+            partial = [np.zeros((*shape[:2], width + 1), np.float32) for _ in range(ORDER - 1)]
+            total = np.zeros(shape, np.float32)
             for x in range(int(n)):
-                same = s[:, x, None, None] == t[None]
-                ended = []
-                for i in range(ORDER):
-                    before = partial[i]
-                    if i:
-                        before = np.concatenate([np.zeros(shape[:2] + (1,), np.float32), before[..., :-1]], axis=2)
-                    ended.append(same * before)
-                total += DECAY**2 * ended[-1].sum(axis=2)
-                for i in range(1, ORDER):
-                    partial[i] = np.float32(DECAY) * partial[i] + ended[i - 1] @ gap
-            out[own] = total
+                here = same[place[:, x]]
+                total += here * partial[-1][..., :-1]
+                for i in range(ORDER - 2, 0, -1):
+                    ended = here * partial[i - 1][..., :-1]
+                    partial[i] *= decay
+                    partial[i][..., 1:] += (ended.reshape(-1, width) @ gap).reshape(shape)
+                partial[0] *= decay
+                partial[0][..., 1:] += single[place[:, x]]
+            out[own] = DECAY**2 * total.sum(axis=2)
     return out
 
 
@@ -223,10 +229,10 @@ class Model:
     def margins(self, texts: list[list[list[str]]]) -> np.ndarray:
         """Of the worst sentence of each text; an empty text has the offset alone."""
         self.forget()
-        known = self.known
-        self.learn([w for w in {w for parts in texts for words in parts for w in words} if w not in known])
-        get = known.__getitem__
-        return np.array([max((max(map(get, words)) for words in parts), default=0.0) + self.offset for parts in texts])
+        own = [set(chain.from_iterable(parts)) for parts in texts]
+        self.learn([w for w in set().union(*own) if w not in self.known])
+        get = self.known.__getitem__
+        return np.array([max(map(get, words), default=0.0) + self.offset for words in own])
 
     def score(self, texts: list[str]) -> np.ndarray:
         z = self.slope * self.margins([sentences(t) for t in texts]) + self.base
