@@ -71,7 +71,7 @@ def fit(lengths: np.ndarray, capacity: tuple[int, int, int], weights=(1.0, 0.05,
     where, offset = np.zeros(n, np.int64), np.zeros(n, np.int64)
     order = np.argsort(-lengths, kind="stable")
     least = int(lengths.min()) if n else 0
-    free = np.empty((n, 3))
+    free = np.empty((3, n))
     names = np.empty(n, np.int64)
     used = np.zeros(n, np.int64)
     n_open = made = 0
@@ -80,28 +80,28 @@ def fit(lengths: np.ndarray, capacity: tuple[int, int, int], weights=(1.0, 0.05,
         need = np.array((size, 1.0, float(size) * size)) / limit
         at = -1
         if n_open:
-            left = free[:n_open] - need
-            room = (left >= -1e-12).all(axis=1)
+            left = free[:, :n_open] - need[:, None]
+            room = left.min(axis=0) >= -1e-12
             if room.any():
                 if by == "dot":
-                    score = -(free[:n_open] * need) @ weight
+                    score = -(weight * need) @ free[:, :n_open]
                 else:
-                    score = (left * left) @ weight
+                    score = weight @ (left * left)
                 score[~room] = np.inf
                 at = int(score.argmin())
         if at < 0:
             at = n_open
-            free[at] = 1.0
+            free[:, at] = 1.0
             names[at] = made
             made += 1
             n_open += 1
         name = names[at]
         where[i], offset[i] = name, used[name]
         used[name] += size
-        free[at] -= need
-        if free[at, 0] * limit[0] < least - 1e-6 or free[at, 1] * limit[1] < 1 - 1e-6:
+        free[:, at] -= need
+        if free[0, at] * limit[0] < least - 1e-6 or free[1, at] * limit[1] < 1 - 1e-6:
             n_open -= 1
-            free[at], names[at] = free[n_open], names[n_open]
+            free[:, at], names[at] = free[:, n_open], names[n_open]
     return where, offset
 
 

@@ -78,19 +78,19 @@ class WordIds:
         find = self.known.get
         out: list[list[bytes | None]] = []
         new: dict[str, None] = {}
-        gaps: list[tuple[list, list[str]]] = []
+        gaps: list[tuple[list, list[tuple[int, str]]]] = []
         for text in texts:
             words = text.replace("\n", " ").split(" ")
             ids = list(map(find, words))
-            if None in ids:
-                new.update((w, None) for w, x in zip(words, ids) if x is None)
-                gaps.append((ids, words))
+            missing = [(i, words[i]) for i, x in enumerate(ids) if x is None]
+            if missing:
+                new.update((w, None) for _, w in missing)
+                gaps.append((ids, missing))
             out.append(ids)
         self.learn(list(new))
-        for ids, words in gaps:
-            for i, x in enumerate(ids):
-                if x is None:
-                    ids[i] = find(words[i])
+        for ids, missing in gaps:
+            for i, w in missing:
+                ids[i] = find(w)
         return list(map(b"".join, out))
 
 
