@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from revlens import rules, schema
 from revlens.operators import diffs, tables, teams
 from revlens.plans import reports
-from revlens.session import in_parallel, materialize
+from revlens.session import discard, in_parallel, materialize, scratch_dir
 from revlens.sources.commit_log import CommitLog, is_rejected
 from revlens.sources.store import BUCKET, CommitStore, bucket, by_range
 
@@ -80,13 +80,21 @@ def ingest(
     """Load a log into the five tables, skipping rows a table already has.
 
     The log is read once, labelled and laid out by revision range in the shared
-    folder; the tables are projections of that copy, written without another
-    shuffle and side by side.  Commits, which loads are planned from, come last:
+    folder; the tables are projections of that copy, written side by side.  Commits
+    and files keep its layout; the narrow tables are laid out again, so that they
+    are not cut into as many files as the log.  The copy goes when all is stored.  Commits, which loads are planned from, come last:
     a load that was cut short has not stored them, is planned again, and adds
     what each table lacks by its own keys.  Entries without a revision or date go
     to a reject table, each once; a rebuild replaces that table too.
     """
-    log = _stage(log, store.span, author_rules, sizes)
+    spark = log.heads.sparkSession
+    staged = scratch_dir(spark, "load")
+    _store(_stage(log, store.span, author_rules, sizes, staged), store, week_rule, branch_rules, mode)
+    discard(spark, staged)
+
+
+def _store(log: CommitLog, store: CommitStore, week_rule, branch_rules, mode) -> None:
+    """Write the tables of a staged log."""
     spark = log.heads.sparkSession
     lo, hi, n_rejected = log.heads.agg(F.min("revision"), F.max("revision"), F.count_if(is_rejected())).first()
     if n_rejected or mode == "overwrite":
@@ -100,7 +108,7 @@ def ingest(
     def write(name: str) -> None:
         keys = schema.UNIQUE_KEYS[name]
         rows, stored = built[name], store.read(name, lo, hi).select(*keys)
-        laid_out = name != "files" or not n_rejected or log.nested is not None
+        laid_out = name == "commits" or name == "files" and (not n_rejected or log.nested is not None)
         if mode == "overwrite":
             store.replace(rows, name, laid_out)
         elif stored.isEmpty():
@@ -113,8 +121,8 @@ def ingest(
     write("commits")
 
 
-def _stage(log: CommitLog, span: int, author_rules: DataFrame | None, sizes: DataFrame | None) -> CommitLog:
-    """Write a log, with labels and diff sizes, laid out by range."""
+def _stage(log: CommitLog, span: int, author_rules: DataFrame | None, sizes: DataFrame | None, below: str) -> CommitLog:
+    """Write a log, with labels and diff sizes, laid out by range, into a folder."""
 
     def label(heads: DataFrame) -> DataFrame:
         if author_rules is not None:
@@ -123,7 +131,7 @@ def _stage(log: CommitLog, span: int, author_rules: DataFrame | None, sizes: Dat
         return heads if sizes is None else diffs.with_sizes(heads, sizes)
 
     def write(df: DataFrame, name: str) -> DataFrame:
-        return materialize(by_range(df, span), name, [BUCKET])
+        return materialize(by_range(df, span), name, [BUCKET], below)
 
     if log.nested is not None:
         return CommitLog.from_described(write(label(log.nested), "log"))

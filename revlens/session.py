@@ -41,13 +41,19 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str, partition_by=()) -> DataFrame:
-    """Write ``df`` once to the shared folder and continue from the written table."""
-    path = scratch_dir(df.sparkSession, name)
+def materialize(df: DataFrame, name: str, partition_by=(), below: str | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder, or ``below`` one made there, and continue from the written table."""
+    path = scratch_dir(df.sparkSession, name) if below is None else f"{below}/{name}"
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``scratch_dir`` named, when nothing reads it any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def group_for_join(df: DataFrame, key: Column):
     """Group by a key that a table with hot keys will be joined on.
 

@@ -83,3 +83,30 @@ def test_databases_are_kept_apart(spark):
     issues = spark.createDataFrame([(7, "F", "#1234 - AB")], "revision long, type string, reference string")
     assert "/R/V/U1>" in tracker.issue_links(issues, docs, replica="R", view="V").first().link
     assert "/U2>" in tracker.issue_links(issues, docs, db="bugs").first().link
+
+
+def test_the_staged_log_goes_after_a_load(spark, tmp_path, monkeypatch):
+    staged = tmp_path / "scratch"
+    monkeypatch.setattr(load, "scratch_dir", lambda spark, name: str(staged / name))
+    discard, seen = load.discard, []
+    monkeypatch.setattr(load, "discard", lambda spark, path: (seen.extend(staged.rglob("*.parquet")), discard(spark, path)))
+    load.load(log_of(spark, 1, 3), CommitStore(spark, str(tmp_path / "store")))
+    assert seen
+    assert not list(staged.glob("*"))
+    assert CommitStore(spark, str(tmp_path / "store")).read("files").count() == 6
+
+
+def test_narrow_tables_are_not_cut_like_the_log(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    store = CommitStore(spark, str(tmp_path))
+    try:
+        wide = spark.range(1, 3001).selectExpr(
+            "id revision", "timestamp '2016-01-02 00:00:00' date", "'ann' author", "repeat(sha2(string(id), 512), 8) message",
+            "array(named_struct('ordinal', 1, 'path', '/branches/builds/4.1.1/' || sha2(string(id), 512), 'type', 'M',"
+            " 'kind', 'file', 'copy_path', string(null))) changed_paths",
+        )
+        load.ingest(CommitLog.from_nested(wide), store)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    n_files = {name: len(list((tmp_path / name).rglob("*.parquet"))) for name in schema.TABLES}
+    assert n_files["commits"] > 2 * n_files["version"] and store.read("version").count() == 3000
