@@ -167,6 +167,31 @@ def test_toxic_rows_are_found(spark):
     assert bad.min() > 0.5 > fine.max()
 
 
+def uneven_insults():
+    """40 insults in 160 to 8 toxic texts each, and clean words."""
+    rng = np.random.default_rng(1)
+    syllables = [a + b for a in "bdfgklmnprstvz" for b in "aeiou"]
+    bad = ["".join(rng.choice(syllables, 6 if k else 8)) for k in range(40)]
+    clean = ["".join(rng.choice(syllables, rng.integers(1, 4))) for _ in range(800)]
+    todo = [b for k, b in enumerate(bad) for _ in range(max(8, 160 // (k + 1)))]
+    rows = []
+    for k in range(6 * len(todo)):
+        words = list(rng.choice(clean, 30))
+        if k < len(todo):
+            words[rng.integers(30)] = todo[k]
+        rows.append((" ".join(words[:15]) + ". " + " ".join(words[15:]), int(k < len(todo))))
+    return bad, clean, rows
+
+
+def test_rare_and_long_insults_are_found():
+    bad, clean, rows = uneven_insults()
+    scorer = toxicity.fit(rows)
+    assert max(map(len, bad)) > toxicity.WIDEST
+    # the one left out looks like a common clean word and is too rare to stand out
+    assert (scorer([f"you {b} there" for b in bad]) > 0.5).sum() >= 39
+    assert scorer([t for t, label in rows if not label]).max() < 0.5
+
+
 def test_language_of_pages(spark):
     model = language_id.fit(language_id.sample(queries.table(spark, "/root/testdata/sf0.01", "documents"), 300))
     words = {"en": "the of and is in that the with to for", "de": "der die und ist nicht ein das mit den von", "fr": "le la les des et est que dans pour une", "es": "el la los que y en del por las una"}
