@@ -2,7 +2,8 @@
 
 1. Every text becomes the set of its runs of five words, a digest of that set and
    100 MinHash values of 16 bits.  Texts of equal sets form a class of copies,
-   known by its digest; one of its texts stands for it from then on.
+   known by its digest; one of its rows stands for it from then on.  Rows are
+   numbered and their texts written beside, as ids may be null or repeated.
 2. Four values make a key; classes that share one of the 25 keys are compared.
    A pair as similar as 0.8 shares none with a probability of 2e-6.  Keys of many
    classes are cut into tiles of bounded size, so no task holds all of a key and
@@ -83,11 +84,14 @@ def fewest_matches(threshold: float, tolerance: float) -> dict[int, int]:
 
 
 def signed(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
-    """Per row: id, digest of its shingle set (null if empty), its size and MinHash values."""
+    """Per row: number, id, digest of its shingle set (null if empty), its size, MinHash values and text.
+
+    Numbers differ, but hold only once the result is written.
+    """
 
     def sign(batches):
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
+            number, ids, texts = batch.columns
             at = 0
             while at < len(texts):
                 part, size = [], 0
@@ -103,13 +107,24 @@ def signed(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
                     digest[i] = hashlib.blake2b(hashes[offsets[i] : offsets[i + 1]].tobytes(), digest_size=16).digest()
                     sig[i] = values[j].tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(at, len(part)), pa.array(digest, pa.binary()), pa.array(n, pa.int64()), pa.array(sig, pa.binary())],
-                    ["doc_id", "digest", "n_shingles", "sig"],
+                    [
+                        number.slice(at, len(part)),
+                        ids.slice(at, len(part)),
+                        pa.array(digest, pa.binary()),
+                        pa.array(n, pa.int64()),
+                        pa.array(sig, pa.binary()),
+                        texts.slice(at, len(part)),
+                    ],
+                    ["row", "doc_id", "digest", "n_shingles", "sig", "text"],
                 )
                 at += len(part)
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(sign, "doc_id long, digest binary, n_shingles long, sig binary")
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(text_col).cast("string").alias("text"),
+    )
+    return rows.mapInArrow(sign, "row long, doc_id long, digest binary, n_shingles long, sig binary, text string")
 
 
 def candidate_pairs(sig: np.ndarray, tiles: list[tuple[np.ndarray, np.ndarray, int]], least: dict[int, int]):
@@ -153,7 +168,7 @@ def candidate_pairs(sig: np.ndarray, tiles: list[tuple[np.ndarray, np.ndarray, i
     return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
 
 
-_UNIT = "unit string, pairs binary, digest binary, doc_id long, at int, n_copies long"
+_UNIT = "unit string, pairs binary, digest binary, row long, at int, n_copies long"
 
 
 def _compared(rows: DataFrame, threshold: float, tolerance: float, groups: int) -> DataFrame:
@@ -182,7 +197,7 @@ def _compared(rows: DataFrame, threshold: float, tolerance: float, groups: int)
                 is_left = slice_[part] == s[part[0]]
                 tiles.append((np.unique(row[part[is_left]]), np.unique(row[part[~is_left]]), int(band[part[0]])))
         pairs = candidate_pairs(sig, tiles, least)
-        out = {name: [] for name in ("unit", "pairs", "digest", "doc_id", "at", "n_copies")}
+        out = {name: [] for name in ("unit", "pairs", "digest", "row", "at", "n_copies")}
         if len(pairs):
             shingle_count = table.column("n_shingles").take(pa.array(first)).to_numpy()
             # classes that meet in a tile lie close together: order them by their first tile
@@ -193,7 +208,7 @@ def _compared(rows: DataFrame, threshold: float, tolerance: float, groups: int)
             block[order] = np.cumsum(np.maximum(shingle_count, BLOCK // TILE)[order]) // BLOCK
             unit = np.sort(block[pairs], axis=1)
             code = unit[:, 0] << 32 | unit[:, 1]
-            ids = table.column("doc_id").take(pa.array(first)).to_pylist()
+            numbers = table.column("row").take(pa.array(first)).to_pylist()
             copies = table.column("n_copies").take(pa.array(first)).to_pylist()
             full = table.column("digest").take(pa.array(first)).to_pylist()
             for c in np.unique(code):
@@ -202,7 +217,7 @@ def _compared(rows: DataFrame, threshold: float, tolerance: float, groups: int)
                 name = f"{deal}-{c}"
                 local = np.searchsorted(members, own).astype(np.int32)
                 rows_out = [(name, local.tobytes(), None, None, None, None)]
-                rows_out += [(name, None, full[m], ids[m], k, copies[m]) for k, m in enumerate(members.tolist())]
+                rows_out += [(name, None, full[m], numbers[m], k, copies[m]) for k, m in enumerate(members.tolist())]
                 for column, values in zip(out.values(), zip(*rows_out)):
                     column += values
         types = (pa.string(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int64())
@@ -266,7 +281,14 @@ def forest(n: int, pairs: np.ndarray) -> np.ndarray:
     return root
 
 
-def links(signatures: DataFrame, docs: DataFrame, threshold=THRESHOLD, tolerance=TOLERANCE, id_col="doc_id", text_col="text"):
+def with_text(members: DataFrame, signatures: DataFrame) -> DataFrame:
+    """The members of units, each with the text of the one row that stands for its class."""
+    wanted = members.select("row").distinct()
+    texts = signatures.select("row", "text").join(wanted, "row", "left_semi")
+    return members.join(texts, "row").select("unit", "digest", "at", "n_copies", "text")
+
+
+def links(signatures: DataFrame, threshold=THRESHOLD, tolerance=TOLERANCE):
     """Classes of copies, and per class its links to others and an edge towards a linked class.
 
     ``signatures`` must be a written table, as made by ``signed``.
@@ -275,6 +297,7 @@ def links(signatures: DataFrame, docs: DataFrame, threshold=THRESHOLD, tolerance
         signatures.filter("digest is not null")
         .groupBy("digest")
         .agg(
+            F.min("row").alias("row"),
             F.min("doc_id").alias("doc_id"),
             F.count(F.lit(1)).alias("n_copies"),
             F.first("n_shingles").alias("n_shingles"),
@@ -303,11 +326,7 @@ def links(signatures: DataFrame, docs: DataFrame, threshold=THRESHOLD, tolerance
     groups = max(12, math.ceil(tiled.count() / GROUP))
     units = materialize(_compared(tiled.join(classes, "digest"), threshold, tolerance, groups), "units")
 
-    members = units.filter("pairs is null").select("unit", "digest", "doc_id", "at", "n_copies")
-    texts = docs.select(F.col(id_col).cast("long").alias("text_id"), F.col(text_col).cast("string").alias("text"))
-    wanted = members.select("doc_id").distinct().select(F.col("doc_id").alias("text_id"))
-    texts = texts.join(wanted, texts["text_id"].eqNullSafe(wanted["text_id"]), "left_semi")
-    with_text = members.join(texts, members["doc_id"].eqNullSafe(texts["text_id"])).select("unit", "digest", "at", "n_copies", "text")
+    members = units.filter("pairs is null").select("unit", "digest", "row", "at", "n_copies")
 
     def check(key, left, right):
         out = {"digest": [], "n_links": [], "to": []}
@@ -323,11 +342,8 @@ def links(signatures: DataFrame, docs: DataFrame, threshold=THRESHOLD, tolerance
                 size += len(part[-1])
             hashes, offsets = shingles(part, WORDS)
             for k in range(len(part)):
-                own = hashes[offsets[k] : offsets[k + 1]]
                 place = column[0][at + k].as_py()
-                # an id may name several texts
-                if hashlib.blake2b(own.tobytes(), digest_size=16).digest() == wanted[place]:
-                    sets[place], copies[place] = own, column[1][at + k].as_py()
+                sets[place], copies[place] = hashes[offsets[k] : offsets[k + 1]], column[1][at + k].as_py()
             at += len(part)
         n = len(sets)
         if n:
@@ -347,7 +363,7 @@ def links(signatures: DataFrame, docs: DataFrame, threshold=THRESHOLD, tolerance
         return pa.table({n: pa.array(v, t) for (n, v), t in zip(out.items(), (pa.binary(), pa.int64(), pa.binary()))})
 
     pairs = units.filter("pairs is not null").select(F.col("unit").alias("of"), "pairs")
-    checked = with_text.groupBy("unit").cogroup(pairs.groupBy("of")).applyInArrow(check, "digest binary, n_links long, to binary")
+    checked = with_text(members, signatures).groupBy("unit").cogroup(pairs.groupBy("of")).applyInArrow(check, "digest binary, n_links long, to binary")
     return classes, materialize(checked, "links")
 
 
@@ -386,7 +402,7 @@ def components(edges: DataFrame) -> DataFrame:
 def join(docs: DataFrame, threshold=THRESHOLD, tolerance=TOLERANCE, id_col="doc_id", text_col="text") -> DataFrame:
     """doc_id, class_id, n_links and n_copies (rows of the same set, its own included) per row."""
     signatures = materialize(signed(docs, id_col, text_col), "signatures")
-    classes, linked = links(signatures, docs, threshold, tolerance, id_col, text_col)
+    classes, linked = links(signatures, threshold, tolerance)
     roots = components(linked.select(F.col("digest").alias("a"), F.col("to").alias("b")))
     counted = linked.groupBy("digest").agg(F.sum("n_links").alias("n_links"))
     known = (

@@ -67,6 +67,23 @@ def test_equals_all_pairs(spark, monkeypatch):
     assert Counter(map(tuple, got.collect())) == brute(rows)
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_texts_of_rows_that_share_an_id(spark, monkeypatch, doc_id):
+    """A unit gets one text per member, however many rows have no id or the same one."""
+    rows = [(doc_id, t) for t in variants(60, 3, 18)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    inner, counts = J.with_text, []
+
+    def counted(members, signatures):
+        counts.append((inner(members, signatures).count(), members.count()))
+        return inner(members, signatures)
+
+    monkeypatch.setattr(J, "with_text", counted)
+    got = J.join(docs).drop("n_copies")
+    assert Counter(map(tuple, got.collect())) == brute(rows)
+    assert counts and all(texts == members > 0 for texts, members in counts)
+
+
 def test_tiles_and_blocks_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(J, "TILE", 8)
     monkeypatch.setattr(J, "GROUP", 100)
