@@ -9,7 +9,9 @@ text counts with the sentences found toxic so far (or its worst if that is near)
 with all of theirs, and a sentence with its most toxic word, chosen anew in each round.  A text scores as
 its worst sentence, through a logistic curve.
 
-Case is ignored; letters set apart by single spaces are read as one word too.
+Case is ignored; letters set apart by spaces or signs are read as one word too.  So are
+one to three neighbouring words without their signs, if most of the result is, in this order,
+in a landmark typical of toxic texts and most of that in it; other runs are not compared.
 A null text is an empty one and scores as a text without a toxic sentence.  Without
 labels of both kinds every score is the share of label 1 (one half if there are none).
 """
@@ -38,11 +40,14 @@ TYPICAL = 400
 CLOSE, USUAL, WIDEST = 6, 4, 12
 ROUNDS = 2
 KEPT = 500_000
+#: Part of a run of words and of a landmark that the other holds in order, for the run to be compared.
+NEAR = 0.6
 #: Longer words are read through windows of this width, half overlapping.
 LONGEST = 32
 
 _SENTENCE = re.compile(r"[.!?]+(?:\s+|$)|\n+")
-_SPACED = re.compile(r"(?<!\S)\w(?: \w){2,}(?!\S)")
+_SPACED = re.compile(r"(?<![\w'\u2019])[^\W_](?:[\W_]{1,5}[^\W_]){2,}(?!\w)")
+_SIGN = re.compile(r"[\W_]+")
 _EDGE = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~"
 
 
@@ -50,7 +55,7 @@ def sentences(text: str) -> list[list[str]]:
     """The words of each sentence, lower case, with what stands around them."""
     text = text.lower()
     if _SPACED.search(text):
-        text = _SPACED.sub(lambda m: m[0] + " " + m[0].replace(" ", ""), text)
+        text = _SPACED.sub(lambda m: m[0] + " " + _SIGN.sub("", m[0]), text)
     return [words for words in map(str.split, _SENTENCE.split(text)) if words]
 
 
@@ -179,6 +184,7 @@ def pick_landmarks(texts: list[list[list[str]]], labels: np.ndarray) -> tuple[li
         fresh.append({word for _, word, _ in own - seen[label]})
         found[label].update(fresh[-1])
         seen[label].update(own)
+    del seen, own
     other, toxic = found
     n, m = max(1, int(labels.sum())), max(1, int((1 - labels).sum()))
 
@@ -191,7 +197,8 @@ def pick_landmarks(texts: list[list[list[str]]], labels: np.ndarray) -> tuple[li
     rare = [w for w in able if typical(w) < CLEAR and chance(toxic[w], other[w], n / (n + m)) < math.log(LEVEL)]
     if rare:
         number = {w: k for k, w in enumerate(sorted(set().union(*fresh)))}
-        alike = similarity(list(number), rare) >= ALIKE
+        words = list(number)
+        alike = np.concatenate([similarity(words[k : k + 10_000], rare) >= ALIKE for k in range(0, len(words), 10_000)])
         hits = np.zeros((2, len(rare)))
         for words, label in zip(fresh, labels):
             if words:
@@ -232,10 +239,103 @@ def curve(margin: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return max(a, 1e-6), b
 
 
+def in_order(words: list[str], landmarks: list[str]) -> np.ndarray:
+    """Length of the longest common subsequence of every word with every landmark, in bits of one number."""
+    alphabet = np.array(sorted(set("".join(landmarks))), "U1").view(np.int32)
+    mask = np.zeros((len(alphabet) + 1, len(landmarks)), np.uint64)
+    for k, landmark in enumerate(landmarks):
+        for j, c in enumerate(landmark):
+            mask[np.searchsorted(alphabet, ord(c)), k] |= np.uint64(1 << j)
+    whole = np.array([(1 << len(t)) - 1 for t in landmarks], np.uint64)
+    mask = mask.astype(np.uint16 if whole.max() < 1 << 16 else np.uint64)
+    whole = whole.astype(mask.dtype)
+    out = np.zeros((len(words), len(landmarks)), np.uint8)
+    lengths = np.array([len(w) for w in words])
+    for n in np.unique(lengths[lengths > 0]):
+        index = np.flatnonzero(lengths == n)
+        for at in range(0, len(index), 8000):
+            own = index[at : at + 8000]
+            s = _codes([words[i] for i in own], int(n))
+            place = np.minimum(np.searchsorted(alphabet, s), len(alphabet) - 1)
+            place = np.where(alphabet[place] == s, place, len(alphabet))
+            free = np.broadcast_to(whole, (len(own), len(landmarks)))
+            for x in range(int(n)):
+                here = mask[place[:, x]]
+                free = (free + (free & here)) | (free & ~here)
+            out[own] = np.bitwise_count(~free & whole)
+    return out
+
+
+class Runs:
+    """Runs of neighbouring words that, joined without signs, come near a landmark."""
+
+    def __init__(self, landmarks: list[str]):
+        self.landmarks = landmarks
+        self.sizes = np.array([len(t) for t in landmarks], np.int16)
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.plain: list[str] = []
+        self.length, self.signs = np.zeros(0, np.int16), np.zeros(0, bool)
+        self.common = np.zeros((0, len(self.landmarks)), np.uint8)
+
+    def learn(self, words: list[str]) -> None:
+        new = [w for w in dict.fromkeys(words) if w not in self.known]
+        plain = [_SIGN.sub("", w) for w in new]
+        self.known.update(zip(new, range(len(self.plain), len(self.plain) + len(new))))
+        self.plain += plain
+        # no run that is near holds as long a word
+        length = np.array([min(len(w), 1000) for w in plain], np.int16)
+        short = [w if n <= LONGEST / NEAR else "" for w, n in zip(plain, length.tolist())]
+        self.length = np.concatenate([self.length, length])
+        self.signs = np.concatenate([self.signs, [p != bare(w) for w, p in zip(new, plain)]]).astype(bool)
+        self.common = np.concatenate([self.common, in_order(short, self.landmarks)])
+
+    def least(self, length: np.ndarray) -> np.ndarray:
+        return NEAR * np.maximum(length[:, None], self.sizes)
+
+    def near(self, sentences: list[list[str]]) -> list[tuple[int, str]]:
+        """Number of the sentence and the run, each once."""
+        if len(self.known) > min(KEPT, 40_000_000 // len(self.landmarks)):
+            self.forget()
+        flat = list(chain.from_iterable(sentences))
+        missing = [w for w in set(flat) if w not in self.known]
+        if missing:
+            self.learn(missing)
+        word = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
+        sentence = np.repeat(np.arange(len(sentences)), [len(words) for words in sentences])
+        some = self.length[word] > 0
+        word, sentence = word[some], sentence[some]
+        length, common = self.length[word], self.common[word]
+        found = set()
+        for n in range(1, 4):
+            count = len(word) - n + 1
+            if count < 1:
+                break
+            total = sum(length[k : count + k] for k in range(n))
+            able = (total >= NEAR * self.sizes.min()) & (total <= self.sizes.max() / NEAR) & (sentence[:count] == sentence[n - 1 :])
+            if n == 1:
+                able &= self.signs[word]
+            at = np.flatnonzero(able)
+            # what the parts hold in order is as much as the whole can hold
+            most = sum(common[at + k] for k in range(n))
+            at = at[(most >= self.least(total[at])).any(axis=1)]
+            found.update((int(sentence[i]), "".join([self.plain[word[i + k]] for k in range(n)])) for i in at.tolist())
+        found = sorted(found)
+        strings = sorted({run for _, run in found})
+        if not strings:
+            return []
+        close = (in_order(strings, self.landmarks) >= self.least(np.array([len(w) for w in strings]))).any(axis=1)
+        kept = {w for w, c in zip(strings, close) if c}
+        return [(k, w) for k, w in found if w in kept]
+
+
 class Model:
     """Margins of words, less the offset, remembered in bounded memory."""
 
-    def __init__(self, landmarks, weights, offset, slope, base):
+    def __init__(self, landmarks, weights, offset, slope, base, runs):
+        self.runs = runs
         self.landmarks, self.weights, self.offset, self.slope, self.base = landmarks, weights, offset, slope, base
         self.known: dict[str, float] = {}
         self.bare: dict[str, float] = {}
@@ -258,6 +358,9 @@ class Model:
         """Of the worst sentence of each text; an empty text has the offset alone."""
         self.forget()
         own = [set(chain.from_iterable(parts)) for parts in texts]
+        owner = [k for k, parts in enumerate(texts) for _ in parts]
+        for k, run in self.runs.near(list(chain.from_iterable(texts))):
+            own[owner[k]].add(run)
         self.learn([w for w in set().union(*own) if w not in self.known])
         get = self.known.__getitem__
         return np.array([max(map(get, words), default=0.0) + self.offset for words in own])
@@ -277,6 +380,13 @@ def fit(rows: list[tuple[str, int]], seed=0):
     landmarks, n_typical = pick_landmarks(texts, labels)
     if not n_typical:
         return lambda texts: np.full(len(texts), float(labels.mean()))
+    runs = Runs(landmarks[:n_typical])
+    original, texts = texts, [[list(words) for words in parts] for parts in texts]
+    flat = list(chain.from_iterable(texts))
+    for at in range(0, len(flat), 5000):
+        for k, run in runs.near(flat[at : at + 5000]):
+            flat[at + k].append(run)
+    runs.forget()
     vocabulary = sorted({w for parts in texts for words in parts for w in words})
     number = {w: k for k, w in enumerate(vocabulary)}
     stripped = [bare(w) for w in vocabulary]
@@ -316,9 +426,10 @@ def fit(rows: list[tuple[str, int]], seed=0):
         weight = np.where(y > 0, 0.5 / max(1, (share > 0).sum()) / np.maximum(share[owner[chosen]], 1), 0.5 / max(1, len(calm)))
         w = machine(x[worst[chosen]], y, weight)
         of_word = x @ w[:-1] + w[-1]
-    model = Model(landmarks, root @ w[:-1], float(w[-1]), 1.0, 0.0)
-    model.slope, model.base = curve(model.margins(texts), labels)
+    model = Model(landmarks, root @ w[:-1], float(w[-1]), 1.0, 0.0, runs)
+    model.slope, model.base = curve(np.concatenate([model.margins(original[k : k + 200]) for k in range(0, len(original), 200)]), labels)
     model.known, model.bare = {}, {}
+    runs.forget()
     return model.score
 
 

@@ -167,6 +167,34 @@ def test_toxic_rows_are_found(spark):
     assert bad.min() > 0.5 > fine.max()
 
 
+def test_parted_insults_are_found(spark):
+    docs = queries.table(spark, "/root/testdata/sf0.1", "documents")
+    labels = queries.table(spark, "/root/testdata/sf0.1", "labels")
+    rows = labelled.sample(docs, labels, "toxic", labelled.remainder(F.col("doc_id"), 5) != 0, 1200)
+    scorer = toxicity.fit(rows)
+    bad = ["you id iot there", "you id-iot", "an i - d - i - o - t there", "so stu pid.", "st.upid thing", "mo  ro  n here", "I  D  I  O  T!"]
+    fine = ["go to it", "i did it a lot", "well-known words", "a, b, c and d", "this is his sister", "low class own"]
+    assert scorer(bad).min() > 0.5 > scorer(fine).max()
+
+
+def test_common_subsequences_in_bits():
+    words, landmarks = ["idiot", "id-iot", "", "toidi", "x" * 40], ["idiot", "trash", "ab" * 16]
+
+    def plain(a, b):
+        row = [0] * (len(b) + 1)
+        for c in a:
+            row = step(row, c, b)
+        return row[-1]
+
+    def step(row, c, b):
+        out = [0]
+        for j, d in enumerate(b):
+            out.append(row[j] + 1 if c == d else max(row[j + 1], out[-1]))
+        return out
+
+    assert toxicity.in_order(words, landmarks).tolist() == [[plain(w, t) for t in landmarks] for w in words]
+
+
 def uneven_insults():
     """40 insults in 160 to 8 toxic texts each, and clean words."""
     rng = np.random.default_rng(1)
