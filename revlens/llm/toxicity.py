@@ -16,7 +16,6 @@ A null text is an empty one and scores as a text without a toxic sentence.  With
 labels of both kinds every score is the share of label 1 (one half if there are none).
 """
 
-import math
 import re
 from collections import Counter
 from itertools import chain, islice
@@ -30,10 +29,8 @@ from pyspark.sql import functions as F
 TRAIN_ROWS, TRAIN_SENTENCES = 2500, 30_000
 #: ``POWER`` sharpens the normalized kernel of two words.
 DECAY, ORDER, POWER = 0.85, 3, 3
-#: A word is a landmark if its shares of toxic and other texts differ by so many standard errors ...
-CLEAR = 4.0
-#: ... or if so many toxic texts have odds below ``LEVEL`` by chance, and words alike (by the kernel) are as typical.
-LEVEL, ALIKE = 1e-4, 0.1
+#: A word is a landmark if its shares of toxic and other texts differ by so many standard errors.
+LEVEL = 4.0
 #: Bound of the fit: landmarks typical of toxic texts at most, the most typical ones.
 TYPICAL = 400
 #: Close calls among the other words, usual words, and the longest of both.
@@ -156,33 +153,23 @@ def similarity(words: list[str], landmarks: list[str]) -> np.ndarray:
     return out
 
 
-def chance(a: int, b: int, share: float) -> float:
-    """Logarithm of the odds that ``a`` or more of ``a + b`` texts are toxic, if ``share`` of all are."""
-    n, k = a + b, np.arange(a, a + b + 1)
-    terms = [math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) for i in k.tolist()]
-    return float(np.logaddexp.reduce(terms + k * math.log(share) + (n - k) * math.log1p(-share)))
-
-
 def pick_landmarks(texts: list[list[list[str]]], labels: np.ndarray) -> tuple[list[str], int]:
     """Words typical of toxic texts, then the commonest of the others; and the number of the former.
 
     A word counts once per text, and only in neighbours it did not have in earlier
-    texts, so neither copies nor long texts weigh more.  Every word is taken whose
-    count is beyond chance, however much commoner others are.  Of a rare one the words
-    like it must be typical too: a language of which more texts are toxic than of
-    others has some rare words that are found in toxic texts only.
+    texts, so neither copies nor long texts weigh more.  Every word is taken that
+    passes ``LEVEL``, however much commoner others are.  A lower level takes in words of
+    languages of which more texts are toxic than of others.
     """
     seen: tuple[set, set] = set(), set()
     found = Counter(), Counter()
-    fresh = []
     for parts, label in zip(texts, labels):
         label = int(label)
         own = set()
         for words in parts:
             around = ["", *map(bare, words), ""]
             own.update(zip(around, around[1:], around[2:]))
-        fresh.append({word for _, word, _ in own - seen[label]})
-        found[label].update(fresh[-1])
+        found[label].update({word for _, word, _ in own - seen[label]})
         seen[label].update(own)
     del seen, own
     other, toxic = found
@@ -190,21 +177,10 @@ def pick_landmarks(texts: list[list[list[str]]], labels: np.ndarray) -> tuple[li
 
     def typical(word):
         a, b = toxic[word] / n, other[word] / m
-        return (a - b) / math.sqrt((a + b) * (1 / n + 1 / m) + 1e-12)
+        return (a - b) / np.sqrt((a + b) * (1 / n + 1 / m) + 1e-12)
 
     able = [w for w in toxic if ORDER <= len(w) <= LONGEST and toxic[w] >= 3 and toxic[w] / n > 4 * other[w] / m]
-    chosen = [w for w in able if typical(w) >= CLEAR]
-    rare = [w for w in able if typical(w) < CLEAR and chance(toxic[w], other[w], n / (n + m)) < math.log(LEVEL)]
-    if rare:
-        number = {w: k for k, w in enumerate(sorted(set().union(*fresh)))}
-        words = list(number)
-        alike = np.concatenate([similarity(words[k : k + 10_000], rare) >= ALIKE for k in range(0, len(words), 10_000)])
-        hits = np.zeros((2, len(rare)))
-        for words, label in zip(fresh, labels):
-            if words:
-                hits[int(label)] += alike[[number[w] for w in words]].any(axis=0)
-        chosen += [w for w, b, a in zip(rare, *hits) if a / n > 4 * b / m]
-    chosen = sorted(chosen, key=lambda w: (-typical(w), w))[:TYPICAL]
+    chosen = sorted((w for w in able if typical(w) >= LEVEL), key=lambda w: (-typical(w), w))[:TYPICAL]
     usual = sorted((w for w in other if ORDER <= len(w) <= WIDEST and w not in chosen), key=lambda w: (-other[w], w))
     return chosen + usual[:USUAL], len(chosen)
 

