@@ -118,9 +118,9 @@ def fit(rows: list[tuple[str, int]], steps=STEPS, seed=0):
     first = {k: np.zeros_like(v) for k, v in net.p.items()}
     second = {k: np.zeros_like(v) for k, v in net.p.items()}
     classes = [np.flatnonzero(labels == c) for c in (0, 1)]
+    rare = min(classes, key=len)
     for step in range(1, steps + 1):
         # a third of each batch has the rarer label; the base is set right afterwards
-        rare = min(classes, key=len)
         chosen = np.concatenate([rng.choice(rare, BATCH // 3), rng.integers(0, len(texts), BATCH - BATCH // 3)])
         grads = net.gradients([texts[i] for i in chosen], labels[chosen])
         rate = 0.01 * min(1, 2 * (1 - step / (steps + 1)))
@@ -128,6 +128,8 @@ def fit(rows: list[tuple[str, int]], steps=STEPS, seed=0):
             first[k] += 0.1 * (g - first[k])
             second[k] += 0.01 * (g * g - second[k])
             net.p[k] -= rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-7)
+    drawn = BATCH // 3 / BATCH * labels[rare[0]] + (1 - BATCH // 3 / BATCH) * share
+    net.p["base"] += np.float32(np.log(share / (1 - share)) - np.log(drawn / (1 - drawn)))
     return net.score
 
 

@@ -118,6 +118,14 @@ def test_chunks_cover_the_whole_text():
         assert whole.rstrip(b"\0") == text.rstrip(b"\0") and count.tolist() == [len(data)]
 
 
+@pytest.mark.parametrize("rare", [0, 1])
+def test_scores_keep_the_share_of_the_labels(rare):
+    """Texts that tell nothing score as the share of label 1, though batches hold more of the rarer label."""
+    rows = [("the same text", rare if k < 5 else 1 - rare) for k in range(100)]
+    got = quality_net.fit(rows)([b"the same text"])[0]
+    assert abs(got - np.mean([label for _, label in rows])) < 0.03
+
+
 def test_gradients():
     net = quality_net.Net(1)
     net.p["out"][:] = np.random.default_rng(2).normal(size=net.p["out"].shape)
