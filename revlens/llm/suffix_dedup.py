@@ -4,7 +4,7 @@ A byte goes if a string of ``length`` bytes that covers it also starts earlier:
 in a row of smaller id, or earlier in the same row.  Only equality of the first
 ``length`` bytes of two suffixes matters, so suffixes are sorted to that depth.
 
-1. Rows are dealt into chunks of a few megabytes by a hash of the id.
+1. Rows are dealt into chunks of a few megabytes by a hash of id and text.
 2. *Cover sample.*  Suffixes that start at the positions of a difference cover
    (8 of every 57) are named by their first 44 bytes.  For any two equal strings
    of 100 bytes there is an offset below 57 at which both have a sample suffix,
@@ -271,6 +271,11 @@ def _removed(chunk: Chunk, replies: list[bytes]) -> list[list[tuple[int, int]]]:
     return spans
 
 
+def deal(chunks: int):
+    """Chunk of a row: rows that share an id are spread by their texts, equal rows meet."""
+    return F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks))
+
+
 def dedup(docs: DataFrame, length=100, id_col="doc_id", text_col="text", carry=()) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text, spans, and columns to carry along as carry0, carry1, ..
 
@@ -283,7 +288,7 @@ def dedup(docs: DataFrame, length=100, id_col="doc_id", text_col="text", carry=(
     buckets = max(1, math.ceil(n_bytes / BUCKET))
     period, cover = cover_for(length)
     blocks = max(1, math.ceil(n_bytes * len(cover) / period / BLOCK))
-    rows = rows.withColumn("chunk", F.pmod(F.xxhash64(F.coalesce("doc_id", F.xxhash64("text"))), F.lit(chunks)))
+    rows = rows.withColumn("chunk", deal(chunks))
 
     sample_schema = "block long, chunk long, names binary"
 

@@ -79,6 +79,14 @@ def test_remove_keeps_columns(spark):
     assert got == {1: rows[0], 2: (2, "é", "b", 2), 3: rows[2], 4: rows[3]}
 
 
+def test_rows_that_share_an_id_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(S, "CHUNK", 2000)
+    texts = [prose(40, k % 30) for k in range(60)]
+    docs = spark.createDataFrame([(7, t) for t in texts], "doc_id long, text string")
+    assert docs.select(S.deal(8)).distinct().count() > 4
+    assert sum(r.n_removed for r in S.dedup(docs).collect()) >= sum(len(t) for t in texts) // 2
+
+
 def test_no_rows(spark):
     assert S.dedup(spark.createDataFrame([], DOC_SCHEMA)).count() == 0
 
