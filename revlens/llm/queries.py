@@ -7,14 +7,17 @@ from pyspark.sql import functions as F
 
 from revlens.llm import (
     ann,
+    centroids,
     jaccard_join,
     labelled,
     language_id,
+    mixing,
     packing,
     piece_model,
     pii,
     quality_net,
     quality_rules,
+    resample,
     suffix_dedup,
     toxicity,
 )
@@ -124,6 +127,18 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(rows)
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.summarised(*centroids.cluster(table(spark, sf_dir, "embeddings")))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -137,5 +152,8 @@ QUERIES = {
         op8_toxicity,
         op9_ngram_jaccard,
         op10_best_fit_packing,
+        op11_centroid_clustering,
+        op12_importance_resampling,
+        op13_source_mixing,
     )
 }
