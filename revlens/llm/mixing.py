@@ -38,7 +38,7 @@ STEPS = 60
 #: Parts of a word in which taken words are added up.
 FIXED = 1024
 #: Bits of the number by which a document gets one more copy, and of a digit of it.
-BITS, DIGIT = 29, 15
+BITS, DIGIT = 29, 10
 
 
 def sized(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source", seed=13) -> DataFrame:
