@@ -143,6 +143,25 @@ SELECT revision, CAST(date AS DATE) AS date, strftime(date, '%H:%M:%S') AS time,
        CAST(hour(date) AS INT) AS hour24, {_week_year('CAST(date AS DATE)')} AS week_year
 """
 
+
+
+def _contents(team="team", size="full_size", where="true"):
+    """Rows of the five tables as text; ``team`` and ``size`` say how commits are labelled and sized."""
+    cells = lambda *names: "concat_ws('|', " + ", ".join(f"CAST({name} AS VARCHAR)" for name in names) + ")"
+    calendar = [
+        "date", "time", "strftime(datetime, '%Y-%m-%d %H:%M:%S')", "year", "month", "day", "week", "day_of_week", "hour", "minutes", "sec"
+    ]
+    return f"""{_LOG}, whole_calendar AS ({_CALENDAR} FROM entries)
+        SELECT * FROM (
+        SELECT 'commits' AS table_name, l.revision, {cells('date', 'author', team, 'role', 'changed_files_count', size, 'message')} AS content
+          FROM labelled l JOIN refreshed USING (revision)
+        UNION ALL SELECT 'files', revision, {cells('type', 'kind', 'path')} FROM paths
+        UNION ALL SELECT 'date_time', revision, {cells(*calendar)} FROM whole_calendar
+        UNION ALL SELECT 'version', revision, {cells('product', 'type', 'branch', 'product_version', 'full_version')} FROM version
+        UNION ALL SELECT 'issues', revision, {cells('type', 'reference', 'notes_client_url', 'notes_web_url')} FROM issues)
+        WHERE {where}"""
+
+
 # Lines of the documents as one build log.
 _DOC_LINES = """
 lines AS (
@@ -218,7 +237,17 @@ SQL = {
         SELECT revision, strftime(date, '%Y-%m-%d %H:%M:%S') AS date, author, message, path, type, kind, copy_path
         FROM entries LEFT JOIN raw_paths USING (revision)""",
     "revision_range": _LOG + "SELECT revision, author, message FROM entries WHERE revision >= 101",
-    "read_diff_sizes": "SELECT page_id + 1 AS revision, CAST(octet_length(encode(html)) + 1 AS BIGINT) AS length FROM pages",
+    "stream_commit_log": _LOG + "SELECT revision, date, author, message FROM commits",
+    "read_diff_sizes": "SELECT page_id + 1 AS revision, CAST(octet_length(encode(html)) AS BIGINT) AS length FROM pages",
+    "read_issue_docs_by_kind": f"""
+        SELECT doc_id, s_name AS reference, CASE length(file) WHEN 14 THEN 'feature' ELSE 'bug' END AS kind FROM (
+          SELECT *, s_suppkey AS doc_id FROM ({catalog.SUPPLIER_FILES})
+          UNION ALL SELECT *, -s_suppkey FROM ({catalog.SUPPLIER_FILES}) WHERE s_suppkey % 3 <> 0)
+        WHERE length(file) IN (14, 15) AND file LIKE '#%'""",
+    "issue_doc_rejects": """
+        SELECT CAST(12 + length('<document><doc_id>' || s_suppkey || '</doc_id><reference>' || s_name || '</reference></document>') AS BIGINT) AS at_byte,
+               '<document><doc_id>x' || s_suppkey || '</doc_id><reference>' || s_name || '</reference></document>' AS text
+        FROM supplier WHERE s_suppkey % 3 = 0""",
     "read_author_rules": V.AUTHOR_RULES,
     "read_address_book": f"""
         SELECT doc_id, 'Person' AS type, full_name AS name, NULL AS member FROM ({V.PERSONS})
@@ -257,11 +286,16 @@ SQL = {
         SELECT o_orderkey, reference, CASE WHEN {_BUG.format('reference')} THEN 'B' ELSE 'F' END AS type
         FROM (SELECT o_orderkey, '#' || (o_orderkey * 37) || ' - AB' AS reference FROM orders)""",
     "issues": _LOG + "SELECT * FROM issues",
-    "ingest": _LOG + """
-        SELECT 'commits' AS table_name, count(*) AS n FROM commits UNION ALL SELECT 'files', count(*) FROM paths
-        UNION ALL SELECT 'date_time', count(*) FROM date_time UNION ALL SELECT 'version', count(*) FROM version
-        UNION ALL SELECT 'issues', count(*) FROM issues
-        UNION ALL SELECT 'diff_size', CAST(sum(full_size) AS BIGINT) FROM refreshed""",
+    "ingest": _contents(),
+    "load_outcome": _LOG + """
+        SELECT count(*) AS lines_cnt, min(revision) AS min_rev, max(revision) AS max_rev, max(revision) - min(revision) AS max_min,
+               count(*) FILTER (revision > 100) AS n_loaded, CAST(0 AS BIGINT) AS n_rejected,
+               min(revision) FILTER (revision > 100) AS first_revision,
+               CAST(arg_min(changed_files_count, revision) FILTER (revision > 100) AS BIGINT) AS files_of_first,
+               max(revision) AS last_revision, CAST(arg_max(changed_files_count, revision) AS BIGINT) AS files_of_last,
+               count(*) FILTER (revision > 100 AND needs_diff) AS diffs_needed,
+               count(*) FILTER (revision > 100 AND NOT needs_diff) AS diffs_skipped
+        FROM heads WHERE revision <= 1200""",
     "version_warnings": f"""
         WITH heads AS ({catalog.WARNING_HEADS}),
         sized AS (SELECT *, {_UTF16.format('message')} AS size, len(string_split(message, '#')) - 1 AS marks FROM heads)
@@ -325,20 +359,21 @@ SQL = {
         SELECT p_partkey, list_aggregate(list_transform(string_split(p_name || ' ' || p_type || ' ' || p_brand, ' '),
           lambda x: upper(x[1]) || lower(x[2:])), 'string_agg', '') AS name FROM part""",
     "document_items": f"""
-        WITH docs AS ({V.PERSONS})
+        WITH docs AS ({V.PERSONS}), groups AS (SELECT s_suppkey + 1000000000000 AS doc_id, s_name, s_nationkey FROM supplier)
         SELECT doc_id, name, '[' || value || ']' AS value FROM (
           SELECT doc_id, 'type' AS name, type AS value FROM docs UNION ALL SELECT doc_id, 'full_name', full_name FROM docs
           UNION ALL SELECT doc_id, 'first_name', first_name FROM docs UNION ALL SELECT doc_id, 'last_name', last_name FROM docs
-          UNION ALL SELECT doc_id, 'internet_address', internet_address FROM docs) WHERE value <> ''""",
+          UNION ALL SELECT doc_id, 'internet_address', internet_address FROM docs
+          UNION ALL SELECT doc_id, 'type', 'Group' FROM groups UNION ALL SELECT doc_id, 'list_name', s_name FROM groups
+          UNION ALL SELECT doc_id, 'members', s_name || ', CN=' || s_name || ' Smith/ORG' FROM groups WHERE s_nationkey % 2 <> 0)
+        WHERE value <> ''""",
     "max_revision": "SELECT max(o_orderkey) + 1 AS max_revision FROM orders",
     "plan_load": _plans(),
-    "incremental_append": _LOG + "SELECT * FROM commits",
+    "incremental_append": _contents(size="CASE WHEN l.revision > 8000 THEN full_size ELSE -1 END"),
     "incremental_append_stream": """
         SELECT event_id + 1 AS revision, event_type AS author, '4.1' AS full_version,
                '#' || (user_id + 1000) || ' - AB' AS reference, '/branches/builds/4.1/' || event_type AS file FROM events""",
-    "rebuild": """
-        SELECT count(*) AS lines_cnt, min(o_orderkey) + 1 AS min_rev, max(o_orderkey) + 1 AS max_rev,
-               max(o_orderkey) - min(o_orderkey) AS max_min FROM orders WHERE o_orderkey + 1 >= 101""",
+    "rebuild": _contents(where="revision >= 101"),
     "check_unique": _LOG + """
         SELECT revision, path AS file, count(*) AS copies FROM raw_paths GROUP BY revision, path HAVING count(*) > 1""",
     "check_lengths": """
@@ -360,7 +395,7 @@ SQL = {
         SELECT count(*) AS lines_cnt, min(o_orderkey) + 1 AS min_rev, max(o_orderkey) + 1 AS max_rev,
                max(o_orderkey) - min(o_orderkey) AS max_min FROM orders""",
     "boundary_rows": _LOG + "SELECT revision, changed_files_count FROM commits WHERE revision IN (1, 1000)",
-    "refresh_diffs": _LOG + "SELECT revision, diff_size FROM refreshed",
+    "refresh_diffs": _LOG + "SELECT revision, r.diff_size, message FROM refreshed r JOIN commits USING (revision)",
     "prod_commits_with_issues": _LOG + f"""
         SELECT revision, i.type, reference, full_version, year, month, author, message
         FROM {_JOINED} JOIN issues i USING (revision) WHERE {_PROD} AND year = {catalog.REPORT_YEAR}""",

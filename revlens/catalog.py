@@ -12,7 +12,7 @@ from revlens.functions import paths as P
 from revlens.operators import address_book, checks, diffs, tables, teams, tracker
 from revlens.plans import jobs, load, reports
 from revlens.session import scratch_dir
-from revlens.sources import commit_log, readers, store
+from revlens.sources import commit_log, listing, readers, store
 from revlens.sources import orders_view as V
 from revlens.streaming.incremental import append_stream
 
@@ -104,12 +104,23 @@ def revision_range(spark, folder):
     return commit_log.revision_range(heads, 101).select("revision", "author", "message")
 
 
+@query
+def stream_commit_log(spark, folder):
+    """The exported log as a stream that is stopped and started again."""
+    source, target = _export_xml_log(spark, folder), store.CommitStore(spark, scratch_dir(spark, "store"))
+    checkpoint = scratch_dir(spark, "checkpoint")
+    for _ in range(2):
+        stream = commit_log.stream_commit_log(spark, source, max_files=4)
+        append_stream(stream, target, checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return target.read("commits").select("revision", "date", "author", "message")
+
+
 @query
 def read_diff_sizes(spark, folder):
     target = scratch_dir(spark, "diffs")
-    bodies = V.table(spark, folder, "pages").select((F.col("page_id") + 1).alias("revision"), "html")
-    bodies.repartition("revision").write.partitionBy("revision").text(target)
-    return readers.read_diff_sizes(spark, target, glob="part-*", revision_pattern=r"revision=(\d+)/")
+    name = F.concat_ws("/", F.col("page_id") % 11, F.col("page_id") % 3, F.concat(F.col("page_id") + 1, F.lit(".diff")))
+    listing.write_files(V.table(spark, folder, "pages").select(name.alias("name"), F.col("html").alias("body")), target)
+    return readers.read_diff_sizes(spark, target)
 
 
 @query
@@ -157,6 +168,44 @@ def read_issue_docs(spark, folder):
     )
 
 
+SUPPLIER_FILES = """
+SELECT CASE s_nationkey % 3 WHEN 0 THEN '#' || (1000 + s_suppkey % 9000) || ' - AB.xml' WHEN 1 THEN '#' || (10000 + s_suppkey) || ' - CD.XML'
+         ELSE 'note-' || s_suppkey || '.xml' END AS file, s_suppkey, s_name FROM supplier
+"""
+
+
+def _export_supplier_docs(spark, folder) -> str:
+    """A folder per supplier with a file of two documents; the second one of every third is broken."""
+    sql = SUPPLIER_FILES.replace("FROM supplier", "FROM {supplier}")
+    files = spark.sql(sql, supplier=V.table(spark, folder, "supplier"))
+    key = F.col("s_suppkey").cast("string")
+    doc = lambda doc_id: F.concat(
+        F.lit("<document><doc_id>"), doc_id, F.lit("</doc_id><reference>"), "s_name", F.lit("</reference></document>\n")
+    )
+    second = F.when(F.col("s_suppkey") % 3 == 0, doc(F.concat(F.lit("x"), key))).otherwise(doc(F.concat(F.lit("-"), key)))
+    body = F.concat(F.lit("<documents>\n"), doc(key), second, F.lit("</documents>\n"))
+    target = scratch_dir(spark, "supplier-docs")
+    listing.write_files(files.select(F.concat(key, F.lit("/"), "file").alias("name"), body.alias("body")), target)
+    return target
+
+
+@query
+def read_issue_docs_by_kind(spark, folder):
+    source, rejects = _export_supplier_docs(spark, folder), scratch_dir(spark, "rejects")
+    read = [
+        readers.read_issue_docs(spark, source, kind, rejects=rejects).select("doc_id", "reference", F.lit(kind).alias("kind"))
+        for kind in ("feature", "bug")
+    ]
+    return reduce(DataFrame.unionByName, read)
+
+
+@query
+def issue_doc_rejects(spark, folder):
+    rejects = scratch_dir(spark, "rejects")
+    readers.read_issue_docs(spark, _export_supplier_docs(spark, folder), rejects=rejects)
+    return spark.read.parquet(rejects).select(F.col("offset").alias("at_byte"), "text")
+
+
 @query
 def issue_file_kind(spark, folder):
     names = _issues(spark, folder).select("revision", F.concat("reference", F.lit(".XML")).alias("file_name"))
@@ -304,19 +353,46 @@ def issues(spark, folder):
     return _issues(spark, folder)
 
 
+def _contents(target: store.CommitStore) -> DataFrame:
+    """Every row of the five stored tables as text."""
+
+    def text(field):
+        if field.dataType.typeName() == "timestamp":
+            return F.date_format(field.name, "yyyy-MM-dd HH:mm:ss")
+        return F.col(field.name).cast("string")
+
+    return reduce(
+        DataFrame.unionByName,
+        [
+            df.select(
+                F.lit(name).alias("table_name"),
+                "revision",
+                F.concat_ws("|", *[text(f) for f in df.schema if f.name != "revision"]).alias("content"),
+            )
+            for name, df in target.tables().items()
+        ],
+    )
+
+
+def _former_rules(spark, folder) -> DataFrame:
+    return _author_rules(spark, folder).withColumn("team", F.concat(F.lit("former "), "team"))
+
+
 @query
 def ingest(spark, folder):
-    """Load everything, with labels and diff sizes, and count what was stored."""
+    """Load everything, with labels and diff sizes, and show all that was stored."""
+    target = store.CommitStore(spark, scratch_dir(spark, "store"))
+    load.ingest(V.commit_log(spark, folder), target, _author_rules(spark, folder), _sizes(spark, folder))
+    return _contents(target)
+
+
+@query
+def load_outcome(spark, folder):
+    """What a load of a range says about the store and about the log."""
     target = store.CommitStore(spark, scratch_dir(spark, "store"))
     log = V.commit_log(spark, folder)
-    load.ingest(log, target, _author_rules(spark, folder), _sizes(spark, folder))
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
-        for name, df in target.tables().items()
-    ]
-    stored = target.read("commits")
-    counts.append(stored.agg(F.sum("diff_size").alias("n")).select(F.lit("diff_size").alias("table_name"), "n"))
-    return reduce(DataFrame.unionByName, counts)
+    load.ingest(log.between(1, 100), target)
+    return load.load(log, target, end=1200).drop("warnings")
 
 
 WARNING_HEADS = """
@@ -481,7 +557,7 @@ def camel_case(spark, folder):
 
 @query
 def document_items(spark, folder):
-    return address_book.document_items(V.view(spark, folder, V.PERSONS))
+    return address_book.document_items(readers.read_address_book(spark, _write_address_book(spark, folder)))
 
 
 # --- loads and checks --------------------------------------------------------
@@ -507,12 +583,13 @@ def plan_load(spark, folder):
 
 @query
 def incremental_append(spark, folder):
-    """Load a first range, then an overlapping rest: every revision is stored once."""
-    target = store.CommitStore(spark, scratch_dir(spark, "store"))
-    log = V.commit_log(spark, folder)
-    load.ingest(log.between(1, 8000), target)
-    load.ingest(log.between(5001), target)
-    return target.read("commits")
+    """A first range under other rules, an overlapping rest with diff sizes, then a load that only relabels."""
+    target = store.CommitStore(spark, scratch_dir(spark, "store"), span=5000)
+    log, rules = V.commit_log(spark, folder), _author_rules(spark, folder)
+    load.load(log, target, load.UPDATE_OR_REBUILD, 1, 8000, author_rules=_former_rules(spark, folder))
+    load.ingest(log.between(5001), target, rules, _sizes(spark, folder))
+    load.load(log, target, load.UPDATE_OR_REBUILD, author_rules=rules)
+    return _contents(target)
 
 
 @query
@@ -549,8 +626,9 @@ def incremental_append_stream(spark, folder):
 def rebuild(spark, folder):
     target = store.CommitStore(spark, scratch_dir(spark, "store"))
     log = V.commit_log(spark, folder)
-    load.load(log, target, load.UPDATE_OR_REBUILD, 1, 5000)
-    return load.load(log, target, load.FORCE_REBUILD, 101)
+    load.load(log, target, load.UPDATE_OR_REBUILD, 1, 5000, author_rules=_former_rules(spark, folder))
+    load.load(log, target, load.FORCE_REBUILD, 101, author_rules=_author_rules(spark, folder), sizes=_sizes(spark, folder))
+    return _contents(target)
 
 
 @query
@@ -582,9 +660,11 @@ def boundary_rows(spark, folder):
 
 @query
 def refresh_diffs(spark, folder):
+    target = store.CommitStore(spark, scratch_dir(spark, "store"), span=5000)
     log = V.commit_log(spark, folder)
-    refreshed = diffs.refresh(tables.commits(log.dated), log.heads, _sizes(spark, folder), 101)
-    return refreshed.select("revision", "diff_size")
+    load.ingest(log, target)
+    load.refresh_diffs(log, target, _sizes(spark, folder), 101)
+    return target.read("commits").select("revision", "diff_size", "message")
 
 
 # --- reports -----------------------------------------------------------------

@@ -1,6 +1,6 @@
 """Which commits need a diff, which have one, and how large it is."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revlens.functions import paths as P
@@ -43,8 +43,11 @@ def obsolete(heads: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def update_sizes(commits: DataFrame, sizes: DataFrame, start: int = 1, end: int | None = None) -> DataFrame:
-    """Set the diff size of commits in range: the file's size, or -1 without a file."""
-    known = revision_range(sizes, start, end).select("revision", F.col("length").alias("found_size"))
+    """Set the diff size of commits in range: the file's size, or -1 without a file.
+
+    Of several files of a revision the largest counts.
+    """
+    known = revision_range(sizes, start, end).groupBy("revision").agg(F.max("length").alias("found_size"))
     in_range = F.col("revision") >= start
     if end is not None:
         in_range &= F.col("revision") <= end
@@ -70,14 +73,26 @@ def refresh(commits: DataFrame, heads: DataFrame, sizes: DataFrame, start: int =
     return update_sizes(commits, sizes.join(unneeded, "revision", "left_anti"), start, end)
 
 
-def with_sizes(heads: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Heads with the diff size of each commit, as a refresh of all of them gives."""
-    found = sizes.select("revision", F.col("length").alias("found_size"))
-    size = F.when(needs_diff_column(), F.col("found_size"))
-    return (
-        heads.join(found, "revision", "left")
-        .withColumn("diff_size", F.coalesce(size, F.lit(NO_DIFF_SIZE).cast("bigint")))
-        .drop("found_size")
+def with_sizes(heads: DataFrame, sizes: DataFrame, slot: Column) -> DataFrame:
+    """Heads with the diff size of each commit, as a refresh of all of them gives, laid out by ``slot``.
+
+    Sizes travel as rows of their own, without any other column, to the slot of their
+    revision, where they stand before its head; a running maximum then hands each on.
+    So the one exchange that lays heads out also joins them.  ``slot`` is an expression
+    of the revision alone; rows without a revision are spread by the rest of the entry.
+    """
+    by = [F.col(name) for name in ("date", "author", "message") if name in heads.columns]
+    rows = heads.withColumn("found_size", F.lit(None).cast("bigint")).withColumn("is_head", F.lit(True))
+    files = sizes.filter("revision is not null").select(
+        "revision", F.col("length").cast("bigint").alias("found_size"), F.lit(False).alias("is_head")
+    )
+    spread = F.when(F.col("revision").isNull(), F.xxhash64(*by)).otherwise(slot)
+    met = rows.unionByName(files, allowMissingColumns=True).withColumn("slot", spread)
+    before = Window.partitionBy("slot", "revision").orderBy("is_head").rowsBetween(Window.unboundedPreceding, 0)
+    found = met.repartition("slot").withColumn("found_size", F.max("found_size").over(before)).filter("is_head")
+    size = F.when(needs_diff_column() & F.col("revision").isNotNull(), F.col("found_size"))
+    return found.withColumn("diff_size", F.coalesce(size, F.lit(NO_DIFF_SIZE).cast("bigint"))).drop(
+        "found_size", "is_head", "slot"
     )
 
 

@@ -84,36 +84,50 @@ def build(log: CommitLog, week_rule="us", branch_rules=rules.BRANCH_RULES) -> di
     }
 
 
-def warnings(heads: DataFrame, branch_rules=rules.BRANCH_RULES) -> DataFrame:
-    """Odd input, one row per finding: ``revision, warning, detail``.
+def warning_findings(branch_rules=rules.BRANCH_RULES, full_version=None, doubled=None) -> dict[str, tuple]:
+    """Condition and detail of each kind of odd input, over the columns of heads.
 
-    All findings of a row are listed in one pass over the log.
+    ``full_version`` and ``doubled`` are the columns that hold these where they were worked out before.
     """
     message, path = F.col("message"), F.col("first_path")
-    doubled = F.filter(
-        M.issue_references(message),
+    full = P.branch_labels(path, branch_rules)["full_version"] if full_version is None else full_version
+    doubled = doubled_marks() if doubled is None else doubled
+    long = M.too_long(message)
+    short = P.uses_dots(path, branch_rules) & full.isNotNull() & P.is_short_version(full)
+    return {
+        "message is too long": (long, M.utf16_length(message)),
+        "message contains too many issues": (~long & M.too_many_marks(message), M.count_issue_marks(message)),
+        "full version is too short": (short, full),
+        "path holds no version": (path.isNotNull() & full.isNull(), path),
+        "reference has a doubled mark": (F.size(doubled) > 0, F.array_join(doubled, ", ")),
+    }
+
+
+def doubled_marks():
+    return F.filter(
+        M.issue_references(F.col("message")),
         lambda r: (F.length(r) == rules.SHORT_BUG_LENGTH) & F.substring(r, 2, 5).try_cast("bigint").isNull(),
     )
+
+
+def warnings(heads: DataFrame, branch_rules=rules.BRANCH_RULES) -> DataFrame:
+    """Odd input, one row per finding: ``revision, warning, detail``.
+
+    All findings of a row are listed in one pass over the log.
+    """
     # Worked out once; the findings use them several times.
     judged = heads.select(
         "revision",
         "message",
         "first_path",
-        P.branch_labels(path, branch_rules)["full_version"].alias("full_version"),
-        doubled.alias("doubled"),
+        P.branch_labels(F.col("first_path"), branch_rules)["full_version"].alias("full_version"),
+        doubled_marks().alias("doubled"),
     )
-
-    def finding(name, condition, detail):
-        return F.when(condition, F.struct(F.lit(name).alias("warning"), detail.cast("string").alias("detail")))
-
-    full, doubled = F.col("full_version"), F.col("doubled")
-    long = M.too_long(message)
-    short = P.uses_dots(path, branch_rules) & full.isNotNull() & P.is_short_version(full)
+    findings = warning_findings(branch_rules, F.col("full_version"), F.col("doubled"))
     found = F.array(
-        finding("message is too long", long, M.utf16_length(message)),
-        finding("message contains too many issues", ~long & M.too_many_marks(message), M.count_issue_marks(message)),
-        finding("full version is too short", short, full),
-        finding("path holds no version", path.isNotNull() & full.isNull(), path),
-        finding("reference has a doubled mark", F.size(doubled) > 0, F.array_join(doubled, ", ")),
+        *[
+            F.when(condition, F.struct(F.lit(name).alias("warning"), detail.cast("string").alias("detail")))
+            for name, (condition, detail) in findings.items()
+        ]
     )
     return judged.select("revision", F.explode(F.array_compact(found)).alias("w")).select("revision", "w.*")

@@ -1,17 +1,22 @@
 """Full, incremental and diff-only loads of the stored tables."""
 
-from functools import partial
+from functools import partial, reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from revlens import rules, schema
 from revlens.operators import diffs, tables, teams
 from revlens.plans import reports
-from revlens.session import discard, in_parallel, materialize, scratch_dir
+from revlens.session import broadcast_if_small, discard, in_parallel, materialize, scratch_dir
 from revlens.sources.commit_log import CommitLog, is_rejected
 from revlens.sources.store import BUCKET, CommitStore, bucket, by_range
 
+#: Names of the counts of warnings begin so.
+WARNED = "warned: "
+#: Tasks that share a range of revisions when diff sizes are laid out with the log.
+RANGE_PARTS = 4
+
 UPDATE_OR_REBUILD, UPDATE, FORCE_REBUILD = "updateOrRebuild", "update", "forceRebuild"
 
 
@@ -46,20 +51,33 @@ def plan_columns(action: Column, db: Column, repo: Column, start: Column, end: C
 
 
 def plan_load(
-    loaded: DataFrame, available: DataFrame | int, action: str, start: int = 1, end: int | None = None
+    loaded: DataFrame | int | None,
+    available: DataFrame | int,
+    action: str,
+    start: int = 1,
+    end: int | None = None,
+    spark: SparkSession | None = None,
 ) -> DataFrame:
     """One row ``action, db, repo, status, lo, hi`` for a store and a log.
 
-    ``available`` is the log, or its newest revision where that is known.
+    ``loaded`` are the stored commits, or their highest revision as ``CommitStore.max_revision``
+    knows it from the folders; ``available`` is the log, or its newest revision where
+    that is known.  With two numbers, ``spark`` says where to plan.
     """
-    none = F.lit(None).cast("bigint")
-    both = loaded.select(F.col("revision").alias("db"), none.alias("repo"))
-    if isinstance(available, DataFrame):
-        both = both.unionAll(available.select(none.alias("db"), F.col("revision").alias("repo")))
-        newest = F.max("repo")
+
+    def highest(side, name):
+        if isinstance(side, DataFrame):
+            return side.agg(F.max("revision").alias(name))
+        return F.lit(side).cast("bigint").alias(name)
+
+    sides = {"db": highest(loaded, "db"), "repo": highest(available, "repo")}
+    frames = [side.select("*", F.lit(1).alias("one")) for side in sides.values() if isinstance(side, DataFrame)]
+    numbers = [side for side in sides.values() if not isinstance(side, DataFrame)]
+    if frames:
+        both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+        scalars = both.groupBy().agg(*[F.max(name).alias(name) for name in sides if name in both.columns]).select("*", *numbers)
     else:
-        newest = F.lit(available).cast("bigint")
-    scalars = both.agg(F.max("db").alias("db"), newest.alias("repo"))
+        scalars = spark.range(1).select(*numbers)
     plan = plan_columns(
         F.lit(action), F.col("db"), F.col("repo"), F.lit(start).cast("bigint"), F.lit(end).cast("bigint")
     )
@@ -76,8 +94,8 @@ def ingest(
     week_rule="us",
     branch_rules=rules.BRANCH_RULES,
     mode="append",
-) -> None:
-    """Load a log into the five tables, skipping rows a table already has.
+) -> dict:
+    """Load a log into the five tables, skipping rows a table already has; says what was in the log.
 
     The log is read once, labelled and laid out by revision range in the shared
     folder; the tables are projections of that copy, written side by side.  Commits
@@ -86,17 +104,43 @@ def ingest(
     a load that was cut short has not stored them, is planned again, and adds
     what each table lacks by its own keys.  Entries without a revision or date go
     to a reject table, each once; a rebuild replaces that table too.
+
+    What the log holds is counted while the copy is written: see ``metrics``.
     """
     spark = log.heads.sparkSession
     staged = scratch_dir(spark, "load")
-    _store(_stage(log, store.span, author_rules, sizes, staged), store, week_rule, branch_rules, mode)
+    observed = Observation()
+    copy = _stage(log, store.span, author_rules, sizes, staged, observed, metrics(branch_rules))
+    found = observed.get
+    _store(copy, store, week_rule, branch_rules, mode, found)
     discard(spark, staged)
-
-
-def _store(log: CommitLog, store: CommitStore, week_rule, branch_rules, mode) -> None:
+    return found
+
+
+def metrics(branch_rules=rules.BRANCH_RULES) -> list[Column]:
+    """Counts over heads: entries and rejects, the two ends, the diff policy and each kind of warning."""
+    good = ~is_rejected()
+    needed = good & diffs.needs_diff_column()
+    findings = tables.warning_findings(branch_rules).items()
+    return [
+        F.count_if(good).alias("n_loaded"),
+        F.count_if(~good).alias("n_rejected"),
+        F.min("revision").alias("lowest"),
+        F.max("revision").alias("highest"),
+        F.min_by("changed_files_count", F.when(good, F.col("revision"))).alias("files_of_first"),
+        F.max_by("changed_files_count", F.when(good, F.col("revision"))).alias("files_of_last"),
+        F.min(F.when(good, F.col("revision"))).alias("first_revision"),
+        F.max(F.when(good, F.col("revision"))).alias("last_revision"),
+        F.count_if(needed).alias("diffs_needed"),
+        F.count_if(good & ~needed).alias("diffs_skipped"),
+        *[F.count_if(good & F.coalesce(condition, F.lit(False))).alias(f"{WARNED}{name}") for name, (condition, _) in findings],
+    ]
+
+
+def _store(log: CommitLog, store: CommitStore, week_rule, branch_rules, mode, found: dict) -> None:
     """Write the tables of a staged log."""
     spark = log.heads.sparkSession
-    lo, hi, n_rejected = log.heads.agg(F.min("revision"), F.max("revision"), F.count_if(is_rejected())).first()
+    lo, hi, n_rejected = found["lowest"], found["highest"], found["n_rejected"]
     if n_rejected or mode == "overwrite":
         store.write_rejects(log.rejects.drop(BUCKET), replace=mode == "overwrite")
     if n_rejected:
@@ -121,25 +165,39 @@ def _store(log: CommitLog, store: CommitStore, week_rule, branch_rules, mode) ->
     write("commits")
 
 
-def _stage(log: CommitLog, span: int, author_rules: DataFrame | None, sizes: DataFrame | None, below: str) -> CommitLog:
-    """Write a log, with labels and diff sizes, laid out by range, into a folder."""
+def _stage(
+    log: CommitLog,
+    span: int,
+    author_rules: DataFrame | None,
+    sizes: DataFrame | None,
+    below: str,
+    observed: Observation,
+    counts: list[Column],
+) -> CommitLog:
+    """Write a log, with labels and diff sizes, laid out by range, into a folder, and count it on the way."""
 
     def label(heads: DataFrame) -> DataFrame:
-        if author_rules is not None:
-            unlabelled = heads.withColumns({"team": F.lit(""), "role": F.lit("")})
-            heads = teams.assign_team_role(unlabelled, author_rules)
-        return heads if sizes is None else diffs.with_sizes(heads, sizes)
+        if author_rules is None:
+            return heads
+        return teams.assign_team_role(heads.withColumns({"team": F.lit(""), "role": F.lit("")}), author_rules)
+
+    def lay_out(heads: DataFrame) -> DataFrame:
+        if sizes is None:
+            return by_range(label(heads), span)
+        # a range is shared by a few tasks, so that one of wide entries does not fall to a single one
+        slot = F.expr(f"revision div {max(1, span // RANGE_PARTS)}")
+        return diffs.with_sizes(label(heads), sizes, slot).withColumn(BUCKET, bucket(span))
 
     def write(df: DataFrame, name: str) -> DataFrame:
-        return materialize(by_range(df, span), name, [BUCKET], below)
+        return materialize(df, name, [BUCKET], below)
 
     if log.nested is not None:
-        return CommitLog.from_described(write(label(log.nested), "log"))
+        return CommitLog.from_described(write(lay_out(log.nested).observe(observed, *counts), "log"))
     return CommitLog(
         *in_parallel(
             log.heads.sparkSession,
-            lambda: write(label(log.heads), "heads"),
-            lambda: write(log.paths, "paths"),
+            lambda: write(lay_out(log.heads).observe(observed, *counts), "heads"),
+            lambda: write(by_range(log.paths, span), "paths"),
         )
     )
 
@@ -153,38 +211,67 @@ def load(
     newest: int | None = None,
     **options,
 ) -> DataFrame:
-    """Plan a load, run it and report on the store.
+    """Plan a load, run it and report on the store and on what was loaded.
 
     ``newest`` is the log's newest revision; giving it saves a pass over the log.
-    Team rules, if given, are applied to the commits stored before as well.
+    Team rules, if given, are applied to the commits stored before as well.  Diff
+    sizes are set only from ``sizes``; without them new commits have none and
+    those stored before keep theirs.
+
+    The report has one row: the totals of the store, and of the log that was loaded its
+    entries and rejects, its first and last commit with their number of changed files,
+    how many of its commits need a diff, and its warnings by kind.
     """
+    found = None
     if action == FORCE_REBUILD:
-        ingest(log.between(start, end), store, mode="overwrite", **options)
+        found = ingest(log.between(start, end), store, mode="overwrite", **options)
     else:
-        available = log.heads if newest is None else newest
-        plan = plan_load(store.read("commits"), available, action, start, end).first()
-        if options.get("author_rules") is not None and plan["db"] is not None:
+        loaded = store.max_revision()
+        plan = plan_load(loaded, log.heads if newest is None else newest, action, start, end, spark=store.spark).first()
+        if options.get("author_rules") is not None and loaded is not None:
             relabel(store, options["author_rules"])
         if plan["status"] == "load":
-            ingest(log.between(plan["lo"], plan["hi"]), store, **options)
-    return reports.load_report(store.read("commits"))
+            found = ingest(log.between(plan["lo"], plan["hi"]), store, **options)
+    return reports.loaded(reports.load_report(store.read("commits")), found, WARNED)
 
 
-def relabel(store: CommitStore, author_rules: DataFrame) -> None:
-    """Apply changed team rules to all stored commits; only ranges where a label changes are rewritten."""
-    stored = store.read("commits")
-    labelled = teams.assign_team_role(stored, author_rules)
-    before = stored.select("revision", F.struct("team", "role").alias("before"))
-    changed = (
-        labelled.join(before, "revision")
-        .filter(~F.struct("team", "role").eqNullSafe(F.col("before")))
-        .select(bucket(store.span).alias(BUCKET))
-        .distinct()
-    )
-    touched = materialize(changed, "relabelled")
-    if not touched.isEmpty():
-        rows = labelled.withColumn(BUCKET, bucket(store.span)).join(touched, BUCKET, "left_semi")
-        store.replace_buckets(rows.drop(BUCKET), "commits")
+def relabelled(store: CommitStore, author_rules: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All stored commits under the rules, with their folder, and the folders in which a label changes.
+
+    The stored labels go through the labelling beside the new ones, so commits are not joined
+    with themselves, and of the commits that decide only author, date and labels are read.
+    """
+    stored = store.read_buckets("commits", keep_bucket=True)
+    kept = stored.withColumn("before", F.struct("team", "role"))
+    labelled = teams.assign_team_role(kept, author_rules)
+    changed = labelled.filter(~F.struct("team", "role").eqNullSafe(F.col("before"))).select(BUCKET).distinct()
+    return labelled.drop("before"), changed
+
+
+def in_folders(rows: DataFrame, folders: DataFrame) -> DataFrame:
+    """Rows of the given folders; the scan of ``rows`` learns which ones while the query runs and reads no others.
+
+    ``folders`` is a written table, a row per folder of a store, of which there are some thousand
+    at most.  The condition on it says nothing new, but Spark prunes only by a side that is filtered.
+    """
+    lowest = folders.agg(F.min(BUCKET)).first()[0]
+    some = folders.filter(F.col(BUCKET) >= lowest)
+    return rows.join(broadcast_if_small(some), BUCKET, "left_semi")
+
+
+def relabel(store: CommitStore, author_rules: DataFrame) -> int:
+    """Apply changed team rules to all stored commits; only ranges where a label changes are rewritten.
+
+    Returns their number.
+    """
+    folder = scratch_dir(store.spark, "relabel")
+    labelled, changed = relabelled(store, author_rules)
+    touched = materialize(changed, "folders", below=folder)
+    n = touched.count()
+    if n:
+        store.replace_buckets(in_folders(labelled, touched).drop(BUCKET), "commits")
+    discard(store.spark, folder)
+    return n
 
 
 def refresh_diffs(

@@ -190,6 +190,23 @@ def load_report(commits: DataFrame) -> DataFrame:
     )
 
 
+def loaded(report: DataFrame, found: dict | None, warned: str) -> DataFrame:
+    """A report on a store with what a load observed in its log; nulls if there was nothing to load.
+
+    Counts of warnings, whose names begin with ``warned``, become a map; kinds that did not occur are left out.
+    """
+    columns = {
+        name: F.lit((found or {}).get(name)).cast("bigint")
+        for name in (
+            "n_loaded", "n_rejected", "first_revision", "files_of_first", "last_revision", "files_of_last",
+            "diffs_needed", "diffs_skipped",
+        )
+    }
+    counts = {k.removeprefix(warned): n for k, n in (found or {}).items() if k.startswith(warned) and n}
+    pairs = [F.lit(x) for kind, n in counts.items() for x in (kind, n)]
+    return report.withColumns(columns).withColumn("warnings", F.create_map(*pairs).cast("map<string,bigint>"))
+
+
 def boundary_rows(commits: DataFrame, start: int, end: int) -> DataFrame:
     """The two commits at the ends of a range, with their number of changed files."""
     return commits.filter(F.col("revision").isin(start, end)).select("revision", "changed_files_count")

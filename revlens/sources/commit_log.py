@@ -41,12 +41,31 @@ def read_commit_log(spark: SparkSession, path: str, format="xml", row_tag="logen
     if format != "xml":
         return spark.read.format(format).schema(schema.LOG_ENTRY).load(path)
     closing = f"</{row_tag}>"
+    return _entries(spark.read.text(path, lineSep=closing), row_tag)
+
+
+def stream_commit_log(
+    spark: SparkSession, path: str, row_tag="logentry", max_files: int | None = None
+) -> DataFrame:
+    """A stream of the entries of exported XML files in a folder, files as they arrive.
+
+    It reads files as ``read_commit_log`` does.  ``max_files`` bounds the files of a micro-batch, so
+    that a folder full of old exports is worked off in bounded steps.  Files count as a whole:
+    they must appear complete, by a rename, as Spark's file streams ask for.
+    """
+    reader = spark.readStream.option("lineSep", f"</{row_tag}>")
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return _entries(reader.text(path), row_tag)
+
+
+def _entries(texts: DataFrame, row_tag: str) -> DataFrame:
+    """Log entries from text that ends a record at each closing tag."""
     opening = F.instr("value", f"<{row_tag}")
-    element = F.concat(F.substr("value", opening), F.lit(closing))
+    element = F.concat(F.substr("value", opening), F.lit(f"</{row_tag}>"))
     options = {"ignoreSurroundingSpaces": "false", "mode": "FAILFAST"}
     raw = (
-        spark.read.text(path, lineSep=closing)
-        .filter(opening > 0)
+        texts.filter(opening > 0)
         .select(F.from_xml(element, XML_ENTRY, options).alias("entry"))
         .select("entry.*")
     )

@@ -3,33 +3,23 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from revlens import rules, schema
 from revlens.session import materialize
+from revlens.sources.listing import list_files
 
 # Everything up to and including the space counts as blank at a line's ends.
 BLANKS = "".join(chr(c) for c in range(0x21))
 
 
 def read_diff_sizes(spark: SparkSession, path: str, glob="*.diff", revision_pattern=r"(\d+)\.diff$") -> DataFrame:
-    """Byte size of every ``<revision>.diff`` file; file contents are not read.
+    """Byte size of every ``<revision>.diff`` file, empty ones included; file contents are not read.
 
-    Scans leave out empty files, but a diff may well be empty, so names in the
-    listing that the scan does not give are added with size 0.  The listing is
-    the file index that the driver holds for any scan of single files.
+    Folders are listed by tasks, so the driver knows no file.
     """
-    listing = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", "true")
-        .load(path)
-    )
     revision = F.regexp_extract(F.col("path"), revision_pattern, 1).try_cast("bigint").alias("revision")
-    sized = listing.select(revision, "length").filter(F.col("revision").isNotNull())
-    names = spark.createDataFrame([(name,) for name in listing.inputFiles()], "path string")
-    named = names.select(revision).filter(F.col("revision").isNotNull())
-    empty = named.join(sized, "revision", "left_anti").withColumn("length", F.lit(0).cast("bigint"))
-    return sized.unionByName(empty)
+    return list_files(spark, path, glob).select(revision, "length").filter(F.col("revision").isNotNull())
 
 
 def read_author_rules(spark: SparkSession, path: str) -> DataFrame:
@@ -64,25 +54,90 @@ def issue_file_kind(file_name):
     )
 
 
-def read_issue_docs(spark: SparkSession, path: str, kind: str | None = None, row_tag="document") -> DataFrame:
+def read_issue_docs(
+    spark: SparkSession, path: str, kind: str | None = None, row_tag="document", rejects: str | None = None
+) -> DataFrame:
     """Exported tracker documents; ``kind`` keeps the files named like that kind.
 
-    XML holds no empty lists, so a document without revisions reads as one
-    with an empty list.
+    Files are read as text that ends a record at each closing tag, so a large file is
+    shared by tasks.  A document that is no XML, holds a value of another type or
+    ends before its closing tag is broken.  Broken ones are added to the table at ``rejects``
+    (see ``issue_doc_rejects``); without it the read fails if there is one.
+    XML holds no empty lists, so a document without revisions reads as one with an empty list.
     """
-    docs = (
-        spark.read.schema(schema.ISSUE_DOC)
-        .option("rowTag", row_tag)
-        .option("ignoreSurroundingSpaces", "false")
-        .xml(path)
-    )
+    found = _issue_doc_records(spark, path, kind, row_tag)
+    broken = issue_doc_rejects(found)
+    if rejects is not None:
+        broken.write.mode("append").parquet(rejects)
+    else:
+        first = broken.orderBy("file", "offset").first()
+        if first is not None:
+            raise ValueError(f"broken document in {first.file} at byte {first.offset}: {first.reason}")
     empty = F.array().cast("array<string>")
-    docs = docs.withColumn("revisions", F.coalesce("revisions", empty))
-    if kind is None:
-        return docs
-    # File names in the metadata are encoded as in a URL, where a plus is literal.
-    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
-    return docs.filter(issue_file_kind(name) == kind)
+    return (
+        found.join(broken.select("file", "block", "id"), ["file", "block", "id"], "left_anti")
+        .filter("opening > 0")
+        .select("entry.*")
+        .drop("broken")
+        .withColumn("revisions", F.coalesce("revisions", empty))
+    )
+
+
+def _issue_doc_records(spark: SparkSession, path: str, kind: str | None, row_tag: str) -> DataFrame:
+    """Records of the files with their place, size and parsed entry; written, as ids hold for one reading only."""
+    closing = f"</{row_tag}>"
+    opening = F.regexp_instr(F.col("value"), F.lit(rf"<{row_tag}(\s[^>]*[^/>]|\s*)>"))
+    entry = T.StructType([*schema.ISSUE_DOC.fields, T.StructField("broken", T.StringType())])
+    options = {"ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"}
+    texts = spark.read.text(path, lineSep=closing, recursiveFileLookup=True)
+    if kind is not None:
+        # File names in the metadata are encoded as in a URL, where a plus is literal.
+        name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+        texts = texts.filter(issue_file_kind(name) == kind)
+    records = texts.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_size").alias("file_size"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"),
+        (F.octet_length("value") + len(closing)).cast("bigint").alias("size"),
+        opening.alias("opening"),
+        F.when(opening > 0, F.concat(F.substr("value", opening), F.lit(closing))).alias("element"),
+    )
+    parsed = records.withColumn("entry", F.from_xml("element", entry, options))
+    return materialize(parsed, "documents")
+
+
+def issue_doc_rejects(records: DataFrame) -> DataFrame:
+    """Broken documents: ``file, offset`` (bytes before the record that holds it), ``reason, text`` and their place.
+
+    The bytes of a split's records are added up along its file, and within the few splits that
+    hold a broken document along their records.  The last record of a file is cut off if its closing
+    tag would lie beyond the file's end.
+    """
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = (
+        records.groupBy("file", "block")
+        .agg(F.sum("size").alias("bytes"), F.max("id").alias("last_id"), F.max("file_size").alias("file_size"))
+        .withColumn("above", F.coalesce(F.sum("bytes").over(before), F.lit(0)))
+        .withColumn("is_cut", F.col("above") + F.col("bytes") > F.col("file_size"))
+    )
+    cut = F.col("is_cut") & (F.col("id") == F.col("last_id"))
+    reason = F.when(cut & (F.col("opening") > 0), "ends before its closing tag").when(
+        F.col("entry.broken").isNotNull(), "is no XML or holds a value of another type"
+    )
+    judged = records.join(splits.drop("file_size"), ["file", "block"]).withColumn("reason", reason)
+    broken = judged.filter(F.col("reason").isNotNull())
+    some = broken.select("file", "block").distinct()
+    within = Window.partitionBy("file", "block").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
+    placed = (
+        judged.select("file", "block", "id", "size", "above")
+        .join(some, ["file", "block"], "left_semi")
+        .withColumn("offset", F.col("above") + F.coalesce(F.sum("size").over(within), F.lit(0)))
+        .select("file", "block", "id", "offset")
+    )
+    return broken.join(placed, ["file", "block", "id"]).select(
+        "file", "offset", "reason", F.col("element").alias("text"), "block", "id"
+    )
 
 
 def read_build_log(spark: SparkSession, path: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Stored tables: typed appends, exports and SQL registration."""
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -18,10 +19,17 @@ def bucket(span: int):
 
 
 def typed(df: DataFrame, table: str) -> DataFrame:
-    """Columns of a stored table in order, each cast to its declared type.
+    """Columns of a stored table in order, each of its declared type.
 
-    A missing column, or one of a type that has no cast, fails at analysis.
+    A missing column fails, and so does one of another kind: whole numbers may be of
+    any width and timestamps with or without a zone, other types must be the declared ones.
     """
+    alike = (T.ByteType, T.ShortType, T.IntegerType, T.LongType), (T.TimestampType, T.TimestampNTZType)
+    for declared in schema.TABLES[table].fields:
+        given = df.schema[declared.name].dataType
+        same = given == declared.dataType or isinstance(given, T.NullType)
+        if not (same or any(isinstance(given, kind) and isinstance(declared.dataType, kind) for kind in alike)):
+            raise TypeError(f"{table}.{declared.name} is {given.simpleString()}, not {declared.dataType.simpleString()}")
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.TABLES[table].fields])
 
 
@@ -94,8 +102,32 @@ class CommitStore:
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
-    def read_buckets(self, table: str, start: int | None = None, end: int | None = None) -> DataFrame:
-        """All rows of the folders that hold a revision range.  Missing means empty."""
+    def buckets(self, table: str) -> list[int]:
+        """Numbers of the folders of a table, lowest first, from their names alone."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
+        system = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not system.exists(folder):
+            return []
+        names = [found.getPath().getName() for found in system.listStatus(folder) if found.isDirectory()]
+        return sorted(int(name.partition("=")[2]) for name in names if re.fullmatch(rf"{BUCKET}=-?\d+", name))
+
+    def read_bucket(self, table: str, number: int) -> DataFrame:
+        """The rows of one folder."""
+        return self.read_buckets(table, keep_bucket=True).filter(F.col(BUCKET) == number).drop(BUCKET)
+
+    def max_revision(self, table="commits") -> int | None:
+        """The highest stored revision: that of the highest folder that holds one.  No other folder is read."""
+        for number in reversed(self.buckets(table)):
+            highest = self.read_bucket(table, number).agg(F.max("revision")).first()[0]
+            if highest is not None:
+                return highest
+        return None
+
+    def read_buckets(self, table: str, start: int | None = None, end: int | None = None, keep_bucket=False) -> DataFrame:
+        """All rows of the folders that hold a revision range.  Missing means empty.
+
+        ``keep_bucket`` adds the number of the folder, by which reads are pruned.
+        """
         self.check_span()
         declared = schema.TABLES[table]
         with_bucket = T.StructType([*declared.fields, T.StructField(BUCKET, T.LongType())])
@@ -104,12 +136,12 @@ class CommitStore:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], declared)
+            return self.spark.createDataFrame([], with_bucket if keep_bucket else declared)
         if start is not None:
             df = df.filter(F.col(BUCKET) >= start // self.span)
         if end is not None:
             df = df.filter(F.col(BUCKET) <= end // self.span)
-        return df.select(*declared.fieldNames())
+        return df if keep_bucket else df.select(*declared.fieldNames())
 
     def read(self, table: str, start: int | None = None, end: int | None = None) -> DataFrame:
         """A stored table, or the rows of a revision range."""
