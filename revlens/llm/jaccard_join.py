@@ -2,18 +2,19 @@
 
 1. Every text becomes the set of its runs of five words, a digest of that set and
    100 MinHash values of 16 bits.  Texts of equal sets form a class of copies,
-   known by its digest; one of its rows stands for it from then on.  Rows are
-   numbered and their texts written beside, as ids may be null or repeated.
+   known by its digest; one of its texts stands for it from then on, known by two
+   hashes of the text, as ids may be null or repeated.
 2. Four values make a key; classes that share one of the 25 keys are compared.
    A pair as similar as 0.8 shares none with a probability of 2e-6.  Keys of many
    classes are cut into tiles of bounded size, so no task holds all of a key and
    no row is written per pair.
-3. In a tile, MinHash values are compared 16 at a time.  A pair is dropped once
+3. In a tile, MinHash values are compared 20 at a time.  A pair is dropped once
    the posterior probability (uniform prior) that its similarity reaches the
    threshold is below ``TOLERANCE``.  A pair is compared under its first shared key.
 4. The remaining pairs are verified exactly on the shingle sets, which are made
-   anew from the texts of the classes concerned, a bounded block at a time.  Each
-   block gives the links of every class and a spanning forest of its links.
+   anew from the texts of the classes concerned, a bounded block at a time.  Texts
+   are not kept meanwhile: the input is read again, and a table of bounded size says
+   which rows can be wanted before any text is shuffled.  Each block gives the links of every class and a spanning forest of its links.
 5. Forests are merged by alternating star contraction over written tables.
 
 Results: per row the id, ``class_id`` (smallest id of the texts connected by
@@ -30,11 +31,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.llm.texthash import shingles
-from revlens.session import materialize
+from revlens.session import discard, materialize, scratch_dir
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -45,6 +47,8 @@ STEP = 20
 TILE = 512
 #: Rows of tiles that one task compares, on average.
 GROUP = 20_000
+#: Parts into which keys of texts fall, to tell the texts that are wanted.
+PARTS = 1 << 20
 #: Shingles that one side of a block holds when pairs are verified.
 BLOCK = 400_000
 
@@ -83,15 +87,17 @@ def fewest_matches(threshold: float, tolerance: float) -> dict[int, int]:
     return least
 
 
-def signed(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
-    """Per row: number, id, digest of its shingle set (null if empty), its size, MinHash values and text.
+def text_key(text) -> list:
+    """Two hashes that a text is known by."""
+    return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(9), text).alias("k2")]
 
-    Numbers differ, but hold only once the result is written.
-    """
+
+def signed(docs: DataFrame, id_col="doc_id", text_col="text", carry=()) -> DataFrame:
+    """Per row: id, key of the text, digest of its shingle set (null if empty), its size, MinHash values and ``carry``."""
 
     def sign(batches):
         for batch in batches:
-            number, ids, texts = batch.columns
+            texts = batch.column(0)
             at = 0
             while at < len(texts):
                 part, size = [], 0
@@ -107,24 +113,16 @@ def signed(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
                     digest[i] = hashlib.blake2b(hashes[offsets[i] : offsets[i + 1]].tobytes(), digest_size=16).digest()
                     sig[i] = values[j].tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        number.slice(at, len(part)),
-                        ids.slice(at, len(part)),
-                        pa.array(digest, pa.binary()),
-                        pa.array(n, pa.int64()),
-                        pa.array(sig, pa.binary()),
-                        texts.slice(at, len(part)),
-                    ],
-                    ["row", "doc_id", "digest", "n_shingles", "sig", "text"],
+                    [pa.array(digest, pa.binary()), pa.array(n, pa.int64()), pa.array(sig, pa.binary())]
+                    + [batch.column(k).slice(at, len(part)) for k in range(1, batch.num_columns)],
+                    ["digest", "n_shingles", "sig", *batch.schema.names[1:]],
                 )
                 at += len(part)
 
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.col(text_col).cast("string").alias("text"),
-    )
-    return rows.mapInArrow(sign, "row long, doc_id long, digest binary, n_shingles long, sig binary, text string")
+    text = F.col(text_col).cast("string")
+    rows = docs.select(text.alias("text"), F.col(id_col).cast("long").alias("doc_id"), *text_key(text), *carry)
+    rest = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
+    return rows.mapInArrow(sign, f"digest binary, n_shingles long, sig binary, {rest}")
 
 
 def candidate_pairs(sig: np.ndarray, tiles: list[tuple[np.ndarray, np.ndarray, int]], least: dict[int, int]):
@@ -168,7 +166,7 @@ def candidate_pairs(sig: np.ndarray, tiles: list[tuple[np.ndarray, np.ndarray, i
     return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
 
 
-_UNIT = "unit string, pairs binary, digest binary, row long, at int, n_copies long"
+_UNIT = "unit string, pairs binary, digest binary, k1 long, k2 long, at int, n_copies long"
 
 
 def _compared(rows: DataFrame, threshold: float, tolerance: float, groups: int) -> DataFrame:
@@ -197,7 +195,7 @@ def _compared(rows: DataFrame, threshold: float, tolerance: float, groups: int)
                 is_left = slice_[part] == s[part[0]]
                 tiles.append((np.unique(row[part[is_left]]), np.unique(row[part[~is_left]]), int(band[part[0]])))
         pairs = candidate_pairs(sig, tiles, least)
-        out = {name: [] for name in ("unit", "pairs", "digest", "row", "at", "n_copies")}
+        out = {name: [] for name in ("unit", "pairs", "digest", "k1", "k2", "at", "n_copies")}
         if len(pairs):
             shingle_count = table.column("n_shingles").take(pa.array(first)).to_numpy()
             # classes that meet in a tile lie close together: order them by their first tile
@@ -208,7 +206,7 @@ def _compared(rows: DataFrame, threshold: float, tolerance: float, groups: int)
             block[order] = np.cumsum(np.maximum(shingle_count, BLOCK // TILE)[order]) // BLOCK
             unit = np.sort(block[pairs], axis=1)
             code = unit[:, 0] << 32 | unit[:, 1]
-            numbers = table.column("row").take(pa.array(first)).to_pylist()
+            k1, k2 = (table.column(c).take(pa.array(first)).to_pylist() for c in ("k1", "k2"))
             copies = table.column("n_copies").take(pa.array(first)).to_pylist()
             full = table.column("digest").take(pa.array(first)).to_pylist()
             for c in np.unique(code):
@@ -216,11 +214,11 @@ def _compared(rows: DataFrame, threshold: float, tolerance: float, groups: int)
                 members = np.unique(own)
                 name = f"{deal}-{c}"
                 local = np.searchsorted(members, own).astype(np.int32)
-                rows_out = [(name, local.tobytes(), None, None, None, None)]
-                rows_out += [(name, None, full[m], numbers[m], k, copies[m]) for k, m in enumerate(members.tolist())]
+                rows_out = [(name, local.tobytes(), None, None, None, None, None)]
+                rows_out += [(name, None, full[m], k1[m], k2[m], k, copies[m]) for k, m in enumerate(members.tolist())]
                 for column, values in zip(out.values(), zip(*rows_out)):
                     column += values
-        types = (pa.string(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int64())
+        types = (pa.string(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
         return pa.table({n: pa.array(v, t) for (n, v), t in zip(out.items(), types)})
 
     return dealt.groupBy("deal").applyInArrow(compare, _UNIT)
@@ -281,29 +279,39 @@ def forest(n: int, pairs: np.ndarray) -> np.ndarray:
     return root
 
 
-def with_text(members: DataFrame, signatures: DataFrame) -> DataFrame:
-    """The members of units, each with the text of the one row that stands for its class."""
-    wanted = members.select("row").distinct()
-    texts = signatures.select("row", "text").join(wanted, "row", "left_semi")
-    return members.join(texts, "row").select("unit", "digest", "at", "n_copies", "text")
+def with_text(members: DataFrame, docs: DataFrame, text_col="text") -> DataFrame:
+    """The members of units, each with a text of its class.
+
+    Rows of the input that can be wanted are told by a part of their key, of which there
+    are ``PARTS`` at most, so that table is broadcast at any size; only their texts are shuffled.
+    """
+    wanted = members.select("k1").distinct()
+    parts = wanted.select(F.pmod("k1", F.lit(PARTS)).alias("part")).distinct()
+    text = F.col(text_col).cast("string").alias("text")
+    keyed = docs.select(text, *text_key(text)).withColumn("part", F.pmod("k1", F.lit(PARTS)))
+    texts = keyed.join(F.broadcast(parts), "part", "left_semi").groupBy("k1", "k2").agg(F.min("text").alias("text"))
+    # sorted and merged at every size
+    return members.join(texts.hint("merge"), ["k1", "k2"]).select("unit", "digest", "at", "n_copies", "text")
 
 
-def links(signatures: DataFrame, threshold=THRESHOLD, tolerance=TOLERANCE):
-    """Classes of copies, and per class its links to others and an edge towards a linked class.
+def links(signatures: DataFrame, docs: DataFrame, folder: str, threshold=THRESHOLD, tolerance=TOLERANCE, text_col="text"):
+    """Classes of copies, and per class its links to others and an edge towards a linked class, written into a folder.
 
-    ``signatures`` must be a written table, as made by ``signed``.
+    ``signatures`` must be a written table, as made by ``signed`` of ``docs``.
     """
     classes = materialize(
         signatures.filter("digest is not null")
         .groupBy("digest")
         .agg(
-            F.min("row").alias("row"),
+            F.min(F.struct("k1", "k2")).alias("of_text"),
             F.min("doc_id").alias("doc_id"),
             F.count(F.lit(1)).alias("n_copies"),
             F.first("n_shingles").alias("n_shingles"),
             F.first("sig").alias("sig"),
-        ),
+        )
+        .select("digest", "of_text.*", "doc_id", "n_copies", "n_shingles", "sig"),
         "classes",
+        below=folder,
     )
     # keys that two classes or more share, cut into slices
     bands = classes.select(
@@ -322,11 +330,11 @@ def links(signatures: DataFrame, threshold=THRESHOLD, tolerance=TOLERANCE):
             "digest", "band", "key", "slice", F.least("slice", "other").alias("s"), F.greatest("slice", "other").alias("t")
         )
     )
-    tiled = materialize(tiled, "tiles")
+    tiled = materialize(tiled, "tiles", below=folder)
     groups = max(12, math.ceil(tiled.count() / GROUP))
-    units = materialize(_compared(tiled.join(classes, "digest"), threshold, tolerance, groups), "units")
+    units = materialize(_compared(tiled.join(classes, "digest"), threshold, tolerance, groups), "units", below=folder)
 
-    members = units.filter("pairs is null").select("unit", "digest", "row", "at", "n_copies")
+    members = units.filter("pairs is null").select("unit", "digest", "k1", "k2", "at", "n_copies")
 
     def check(key, left, right):
         out = {"digest": [], "n_links": [], "to": []}
@@ -363,27 +371,37 @@ def links(signatures: DataFrame, threshold=THRESHOLD, tolerance=TOLERANCE):
         return pa.table({n: pa.array(v, t) for (n, v), t in zip(out.items(), (pa.binary(), pa.int64(), pa.binary()))})
 
     pairs = units.filter("pairs is not null").select(F.col("unit").alias("of"), "pairs")
-    checked = with_text(members, signatures).groupBy("unit").cogroup(pairs.groupBy("of")).applyInArrow(check, "digest binary, n_links long, to binary")
-    return classes, materialize(checked, "links")
+    checked = with_text(members, docs, text_col).groupBy("unit").cogroup(pairs.groupBy("of")).applyInArrow(check, "digest binary, n_links long, to binary")
+    return classes, materialize(checked, "links", below=folder)
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, folder: str | None = None) -> DataFrame:
     """``node`` and ``root`` (least node) of each connected part, by alternating star contraction.
 
     ``edges`` has columns a and b.  Each round writes its edges, so that a round
-    costs a few joins of the current edges, and none is worked out again.
+    costs a few joins of the current edges, and none is worked out again; those of the
+    rounds before are deleted.
     """
+    folder = folder or scratch_dir(edges.sparkSession, "components")
+    written = []
+
+    def write(df):
+        written.append(f"{folder}/stars-{len(written)}")
+        df.write.parquet(written[-1])
+        for path in written[-5:-4]:
+            discard(edges.sparkSession, path)
+        return edges.sparkSession.read.schema(df.schema).parquet(written[-1])
 
     def content(df):
         return df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
 
-    edges = materialize(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "stars")
+    edges = write(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     while True:
         # to the least of all neighbours, from the larger ones
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = materialize(large, "stars")
+        large = write(large)
         # to the least of the smaller neighbours
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         joined = large.join(least, "a")
@@ -393,17 +411,24 @@ def components(edges: DataFrame) -> DataFrame:
             .filter("a <> b")
             .distinct()
         )
-        small = materialize(small, "stars")
+        small = write(small)
         if content(small) == content(edges):
             return small.select(F.col("a").alias("node"), F.col("b").alias("root"))
         edges = small
 
 
-def join(docs: DataFrame, threshold=THRESHOLD, tolerance=TOLERANCE, id_col="doc_id", text_col="text") -> DataFrame:
-    """doc_id, class_id, n_links and n_copies (rows of the same set, its own included) per row."""
-    signatures = materialize(signed(docs, id_col, text_col), "signatures")
-    classes, linked = links(signatures, threshold, tolerance)
-    roots = components(linked.select(F.col("digest").alias("a"), F.col("to").alias("b")))
+def classified(
+    docs: DataFrame, threshold=THRESHOLD, tolerance=TOLERANCE, id_col="doc_id", text_col="text", carry=()
+) -> DataFrame:
+    """Per row doc_id, the columns ``carry``, class (``root``, null without a set), class_id, n_links and n_copies.
+
+    All that was written on the way is deleted but the signatures and a row per set.
+    """
+    spark = docs.sparkSession
+    folder = scratch_dir(spark, "jaccard")
+    signatures = materialize(signed(docs, id_col, text_col, carry), "signatures")
+    classes, linked = links(signatures, docs, folder, threshold, tolerance, text_col)
+    roots = components(linked.select(F.col("digest").alias("a"), F.col("to").alias("b")), folder)
     counted = linked.groupBy("digest").agg(F.sum("n_links").alias("n_links"))
     known = (
         classes.select("digest", "doc_id", "n_copies")
@@ -417,13 +442,54 @@ def join(docs: DataFrame, threshold=THRESHOLD, tolerance=TOLERANCE, id_col="doc_
             F.coalesce("root", "digest").alias("root"),
         )
     )
-    known = materialize(known, "known")
+    known = materialize(known, "known", below=folder)
     ids = known.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    named = known.join(ids, "root").select("digest", "class_id", "n_links", "n_copies")
-    rows = signatures.select("doc_id", "digest")
+    named = materialize(known.join(ids, "root").select("digest", "root", "class_id", "n_links", "n_copies"), "named")
+    discard(spark, folder)
+    rows = signatures.drop("n_shingles", "sig", "k1", "k2")
     return rows.join(named, "digest", "left").select(
         "doc_id",
+        *[c for c in rows.columns if c not in ("digest", "doc_id")],
+        "root",
         F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         (F.coalesce("n_links", F.lit(0)) + F.coalesce("n_copies", F.lit(1)) - 1).alias("n_links"),
         F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"),
     )
+
+
+def join(docs: DataFrame, threshold=THRESHOLD, tolerance=TOLERANCE, id_col="doc_id", text_col="text") -> DataFrame:
+    """doc_id, class_id, n_links and n_copies (rows of the same set, its own included) per row."""
+    return classified(docs, threshold, tolerance, id_col, text_col).drop("root")
+
+
+def first_of_classes(docs: DataFrame, threshold=THRESHOLD, tolerance=TOLERANCE, id_col="doc_id", text_col="text") -> DataFrame:
+    """One row of each class: that of the smallest id; rows without a set all stay.
+
+    Of rows that share that id one stays, and so does one without an id of a class that has
+    no other.  Rows are known by their place in the files that ``docs`` reads; a table that
+    comes from elsewhere is written first.  Rows whose place shares its part (see ``PARTS``) with no
+    row that goes pass on without a shuffle.
+    """
+    spark = docs.sparkSession
+    place = ["near__file", "near__row"]
+
+    def placed(df):
+        return df.withColumns({place[0]: F.col("_metadata.file_path"), place[1]: F.col("_metadata.row_index")})
+
+    try:
+        rows = placed(docs)
+    except AnalysisException:
+        rows = placed(materialize(docs, "placed"))
+    members = classified(rows, threshold, tolerance, id_col, text_col, place).filter("root is not null")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *place)
+    folder = scratch_dir(spark, "firsts")
+    firsts = materialize(members.groupBy("root").agg(F.min(order).alias("first")), "firsts", below=folder)
+    behind = members.join(firsts, "root").filter(order != F.col("first"))
+    dropped = materialize(behind.select(*place), "dropped")
+    discard(spark, folder)
+    part = F.pmod(F.xxhash64(*place), F.lit(PARTS))
+    parts = F.broadcast(dropped.select(part.alias("near__part")).distinct())
+    rows = rows.withColumn("near__part", part)
+    apart = rows.join(parts, "near__part", "left_anti")
+    kept = rows.join(parts, "near__part", "left_semi").join(dropped.hint("merge"), place, "left_anti")
+    return apart.unionByName(kept).select(*docs.columns)

@@ -74,9 +74,9 @@ def test_texts_of_rows_that_share_an_id(spark, monkeypatch, doc_id):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     inner, counts = J.with_text, []
 
-    def counted(members, signatures):
-        counts.append((inner(members, signatures).count(), members.count()))
-        return inner(members, signatures)
+    def counted(members, docs, text_col):
+        counts.append((inner(members, docs, text_col).count(), members.count()))
+        return inner(members, docs, text_col)
 
     monkeypatch.setattr(J, "with_text", counted)
     got = J.join(docs).drop("n_copies")
