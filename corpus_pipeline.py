@@ -23,22 +23,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of similar ones: that of the smallest id.
-
-    Of rows that share that id one stays, and so does one row without an id of
-    each class that has no other.
-    """
-    row = F.monotonically_increasing_id()
-    numbered = materialize(docs.withColumn("corpus__row", row), "numbered")
-    joined = jaccard_join.join(numbered, id_col="corpus__row")
-    order = numbered.select("corpus__row", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "corpus__row").alias("corpus__order"))
-    first = (
-        joined.join(order, F.col("doc_id") == F.col("corpus__row"))
-        .groupBy("class_id")
-        .agg(F.min("corpus__order").alias("corpus__order"))
-        .select(F.col("corpus__order")["corpus__row"].alias("corpus__row"))
-    )
-    return numbered.join(first, "corpus__row", "left_semi").select(*docs.columns)
+    """One document of each class of similar ones: that of the smallest id."""
+    return jaccard_join.first_of_classes(docs)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
