@@ -315,10 +315,9 @@ def dedup(docs: DataFrame, length=100, id_col="doc_id", text_col="text", carry=(
         twice = np.unique(names[1:][names[1:] == names[:-1]])
         out = []
         for chunk, part in zip(table.column("chunk").to_pylist(), parts):
-            place = np.searchsorted(part, twice)
-            place = place[place < len(part)]
-            shared = np.zeros(len(part), bool)
-            shared[place] = np.isin(part[place], twice, assume_unique=False)
+            # the names of a part are few, those found twice in the whole block are not
+            place = np.minimum(np.searchsorted(twice, part), max(len(twice) - 1, 0))
+            shared = twice[place] == part if len(twice) else np.zeros(len(part), bool)
             if shared.any():
                 out.append({"of": chunk, "block": key[0].as_py(), "shared": np.packbits(shared).tobytes()})
         return _table(out, rank_schema)
