@@ -2,13 +2,19 @@
 
 Text: log-likelihoods of byte trigrams, learned per language from a bounded sample of
 labelled documents, per trigram and scaled to ``TRUST`` trigrams as neighbours depend
-on each other.  Address: soft counts of languages by text alone are grouped by
+on each other.  The sample's trigrams are counted by the tasks that read it, so the driver
+gets counts and no text.  Address: soft counts of languages by text alone are grouped by
 host; a host's prior is smoothed towards that of its domain, that towards its
 suffix, and that towards all pages.  A page's own count is left out of its host's.
 Markup: the declared language has a likelihood per language, from soft counts
 over all pages.  The three are multiplied and normalized.
 
-A null page is an empty one, a null address an empty host.  Without labelled documents
+The domain is the last two labels of a host, so ``co.uk`` is one.  The declared language is that of the
+first ``html`` tag that has one and no ``<`` before it.  Scripts, styles and comments without an end
+are read as text, tags without an end too; a page of any length takes one scan.
+Repeated rows, of one id or of none, are rows of their own; equally likely languages go to the first in
+the alphabet.  A null page is an empty one, a null address an empty host.  Of sampled rows with
+one id and text the least language counts.  An empty table gives no rows.  Without labelled documents
 there are no languages: ``lang`` and ``score`` are null.
 """
 
@@ -28,7 +34,8 @@ TRUST = 40.0
 #: Pages that a parent's prior is worth.
 STRENGTH = 5.0
 
-_DROPPED = re.compile(rb"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
+_OPENS = re.compile(rb"(?i)<(script|style)\b")
+_CLOSES = {name: re.compile(rb"(?i)</" + name + rb"\s*>") for name in (b"script", b"style")}
 
 
 def trigrams(text: bytes) -> np.ndarray:
@@ -37,24 +44,78 @@ def trigrams(text: bytes) -> np.ndarray:
 
 
 def visible(html: bytes) -> bytes:
-    """Bytes outside tags, scripts, styles and comments."""
-    return _DROPPED.sub(b" ", html)
-
+    """Bytes outside tags, scripts, styles and comments, each of these replaced by a space.
+
+    One pass: an end that is not found once is not looked for again.
+    """
+    out, at, missing = [], 0, set()
+
+    def after(end, start):
+        """Where the first match of ``end`` behind ``start`` ends, or -1."""
+        if end in missing:
+            return -1
+        if isinstance(end, bytes):
+            place = html.find(end, start)
+            place = place + len(end) if place >= 0 else -1
+        else:
+            found = end.search(html, start)
+            place = found.end() if found else -1
+        if place < 0:
+            missing.add(end)
+        return place
+
+    while (mark := html.find(b"<", at)) >= 0:
+        end = -1
+        opened = _OPENS.match(html, mark)
+        if opened:
+            end = after(_CLOSES[opened[1].lower()], opened.end())
+        elif html.startswith(b"<!--", mark):
+            end = after(b"-->", mark + 4)
+        if end < 0:
+            end = after(b">", mark + 1)
+        if end < 0:  # no tag ends behind this place
+            break
+        out += [html[at:mark], b" "]
+        at = end
+    out.append(html[at:])
+    return b"".join(out)
+
+
+def fit(documents: DataFrame) -> tuple[list[str], np.ndarray]:
+    """Languages and the log-probability of each hashed trigram in each, from a sample's ``lang`` and ``text``."""
+
+    def count(batches):
+        total: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if lang not in total:
+                    total[lang] = np.zeros(HASHED, np.int64)
+                total[lang] += np.bincount(trigrams(text.as_py()), minlength=HASHED)
+        for lang, counts in total.items():
+            some = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(some)), pa.array(some, pa.int32()), pa.array(counts[some])], ["lang", "cell", "n"]
+            )
 
-def fit(rows: list[tuple[str, str]]) -> tuple[list[str], np.ndarray]:
-    """Languages and the log-probability of each hashed trigram in each."""
-    names = sorted({lang for _, lang in rows})
+    rows = documents.select(F.col("lang").cast("string"), F.col("text").cast("string").cast("binary"))
+    cells = rows.mapInArrow(count, "lang string, cell int, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n")).collect()
+    names = sorted({row.lang for row in cells})
     counts = np.full((HASHED, len(names)), 0.5)
-    for text, lang in rows:
-        counts[:, names.index(lang)] += np.bincount(trigrams(text.encode("utf-8", "surrogatepass")), minlength=HASHED)
+    for row in cells:
+        counts[row.cell, names.index(row.lang)] += row.n
     return names, np.log(counts / counts.sum(axis=0)).astype(np.float32) if names else counts.astype(np.float32)
 
 
-def sample(docs: DataFrame, rows=TRAIN_ROWS) -> list[tuple[str, str]]:
-    """At most so many labelled documents, chosen by a hash of the id."""
-    labelled = docs.select(F.col("doc_id"), F.col("text"), F.col("lang")).filter("lang is not null and text is not null")
-    chosen = labelled.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(rows).collect()
-    return [(r.text, r.lang) for r in chosen]
+def sample(docs: DataFrame, rows=TRAIN_ROWS) -> DataFrame:
+    """At most so many labelled documents, chosen by a hash of the id; texts are fetched for the chosen ones only."""
+    labelled = docs.select(F.col("doc_id"), F.col("text"), F.col("lang"), F.xxhash64("text").alias("hashed"))
+    labelled = labelled.filter("lang is not null and text is not null")
+    order = [F.xxhash64("doc_id"), "doc_id", "hashed"]
+    chosen = labelled.select("doc_id", "hashed").distinct().orderBy(*order).limit(rows)
+    wanted = F.broadcast(chosen.select(F.col("doc_id").alias("wanted_id"), F.col("hashed").alias("wanted")))
+    same = (F.col("hashed") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("wanted_id"))
+    found = labelled.join(wanted, same).groupBy("doc_id", "hashed").agg(F.min(F.struct("lang", "text")).alias("first"))
+    return found.select("first.text", "first.lang")
 
 
 def host_of(url: Column) -> Column:
@@ -64,7 +125,7 @@ def host_of(url: Column) -> Column:
 
 def declared_in(html: Column) -> Column:
     """Primary part of the language that the markup declares, or an empty string."""
-    found = F.regexp_extract(F.coalesce(html, F.lit("")), "(?i)<html\\b[^>]*?\\blang\\s*=\\s*[\"']?([A-Za-z]{2,8})", 1)
+    found = F.regexp_extract(F.coalesce(html, F.lit("")), "(?i)<html\\b[^<>]*?\\blang\\s*=\\s*[\"']?([A-Za-z]{2,8})", 1)
     return F.lower(found)
 
 
