@@ -1,19 +1,29 @@
 """Toxic texts by a support vector machine on a subsequence string kernel.
 
-Two words are compared by the gap-weighted subsequence kernel: the common
+Two strings are compared by the gap-weighted subsequence kernel: the common
 subsequences of three characters, each weighted by how tightly it lies in both, so
-inserted characters and gaps only lower the value.  Nyström landmarks, words that set labelled
-texts apart and common ones, turn it into a few features, on which a linear
+inserted characters and gaps only lower the value.  Nyström landmarks, which set labelled
+texts apart, and common words turn it into a few features, on which a linear
 machine with squared hinge loss is trained.  Labels are of whole texts: a toxic
 text counts with the sentences found toxic so far (or its worst if that is near), others
 with all of theirs, and a sentence with its most toxic word, chosen anew in each round.  A text scores as
 its worst sentence, through a logistic curve.
 
+Landmarks are learned from the labelled texts: whole words, and stems, the first four to twelve
+characters that words of toxic texts share, however they go on.  A stem is compared with the
+beginnings of a word, up to ``SLACK`` characters longer than itself, with and without signs in it; the best counts.  A word whose
+longest common subsequence with a landmark, found in bits of one number, is too short has no
+similarity to it, so the kernel is worked out for few words.
+
 Case is ignored; letters set apart by spaces or signs are read as one word too.  So are
 one to three neighbouring words without their signs, if most of the result is, in this order,
 in a landmark typical of toxic texts and most of that in it; other runs are not compared.
-A null text is an empty one and scores as a text without a toxic sentence.  Without
-labels of both kinds every score is the share of label 1 (one half if there are none).
+A null text is an empty one and scores as a text without a toxic sentence.  Texts and words of any
+length are read whole; a word far longer than a landmark is compared with stems only.  Ties
+between landmarks go to the longer, then to the first in the alphabet; repeated rows of a
+sample count once, repeated rows scored score alike, and an empty table gives none.  Without
+labels of both kinds, or without a landmark that sets them apart, every score is the share of
+label 1 (one half if there are none).
 """
 
 import re
@@ -29,17 +39,17 @@ from pyspark.sql import functions as F
 TRAIN_ROWS, TRAIN_SENTENCES = 2500, 30_000
 #: ``POWER`` sharpens the normalized kernel of two words.
 DECAY, ORDER, POWER = 0.85, 3, 3
-#: A word is a landmark if its shares of toxic and other texts differ by so many standard errors.
+#: A string is a landmark if its shares of toxic and other texts differ by so many standard errors.
 LEVEL = 4.0
-#: Bound of the fit: landmarks typical of toxic texts at most, the most typical ones.
-TYPICAL = 400
+#: Lengths of stems, and characters that the beginning of a word may have more.
+STEMS, SLACK = (4, 12), 3
 #: Close calls among the other words, usual words, and the longest of both.
 CLOSE, USUAL, WIDEST = 6, 4, 12
 ROUNDS = 2
 KEPT = 500_000
-#: Part of a run of words and of a landmark that the other holds in order, for the run to be compared.
-NEAR = 0.6
-#: Longer words are read through windows of this width, half overlapping.
+#: Part of a landmark (of the longer of the two, if it is no stem) that a word or run holds in order, for the kernel to be worked out.
+NEAR = 0.75
+#: The longest landmark.
 LONGEST = 32
 
 _SENTENCE = re.compile(r"[.!?]+(?:\s+|$)|\n+")
@@ -60,6 +70,21 @@ def bare(word: str) -> str:
     return word.strip(_EDGE)
 
 
+class Landmark(str):
+    """A word, or a stem that words begin with."""
+
+    is_stem = False
+
+    @classmethod
+    def stem(cls, text: str) -> "Landmark":
+        out = cls(text)
+        out.is_stem = True
+        return out
+
+    def __reduce__(self):
+        return (Landmark.stem if self.is_stem else Landmark, (str(self),))
+
+
 def _codes(words: list[str], width: int) -> np.ndarray:
     return np.array([w[:width] for w in words], f"U{width}").view(np.int32).reshape(len(words), width)
 
@@ -135,31 +160,55 @@ def own_values(words: list[str]) -> np.ndarray:
     return out
 
 
-def similarity(words: list[str], landmarks: list[str]) -> np.ndarray:
-    """Normalized kernel to the power ``POWER``; for long words the greatest of their windows."""
-    parts, owner = [], []
-    for k, word in enumerate(words):
-        if len(word) <= LONGEST:
-            parts.append(word)
-            owner.append(k)
-        else:
-            cut = [word[a : a + LONGEST] for a in range(0, len(word) - LONGEST // 2, LONGEST // 2)]
-            parts += cut
-            owner += [k] * len(cut)
+def normalized(words: list[str], landmarks: list[str]) -> np.ndarray:
+    """Normalized kernel of whole strings to the power ``POWER``."""
+    norm = np.sqrt(np.maximum(own_values(words), 1e-30)[:, None] * np.maximum(own_values(landmarks), 1e-30)[None])
+    return np.minimum(kernel(words, landmarks) / norm, 1.0) ** POWER
+
+
+def similarity(words: list[str], landmarks: list[Landmark]) -> np.ndarray:
+    """Kernel of words with landmarks; with a stem that of the best beginning; 0 where the two have too little in order."""
     out = np.zeros((len(words), len(landmarks)))
-    if parts:
-        norm = np.sqrt(np.maximum(own_values(parts), 1e-30)[:, None] * np.maximum(own_values(landmarks), 1e-30)[None])
-        np.maximum.at(out, np.array(owner), np.minimum(kernel(parts, landmarks) / norm, 1.0) ** POWER)
+    for stems in (False, True):
+        column = [k for k, mark in enumerate(landmarks) if mark.is_stem == stems]
+        marks = [landmarks[k] for k in column]
+        if not marks or not words:
+            continue
+        sizes = np.array([len(mark) for mark in marks])
+        most = int(sizes.max()) + SLACK if stems else int(sizes.max() / NEAR)
+        heads = [w[:most] if stems else w if len(w) <= most else "" for w in words]
+        # of a word with signs in it, a stem sees the beginning without them as well
+        signs = [k for k, w in enumerate(heads) if not w.isalnum()] if stems else []
+        heads += [_SIGN.sub("", words[k][: 4 * most])[:most] for k in signs]
+        distinct = {w: k for k, w in enumerate(dict.fromkeys(heads))}
+        strings = list(distinct)
+        length = np.array([len(w) for w in strings])
+        common = in_order(strings, marks)
+        near = common >= NEAR * (sizes if stems else np.maximum(length[:, None], sizes))
+        values = np.zeros(near.shape)
+        for k in np.flatnonzero(near.any(axis=0)):
+            some = np.flatnonzero(near[:, k])
+            parts, owner = [], []
+            for i in some.tolist():
+                cuts = {strings[i][: sizes[k] + n] for n in range(SLACK + 1)} if stems else {strings[i]}
+                parts += cuts
+                owner += [i] * len(cuts)
+            only = {w: j for j, w in enumerate(dict.fromkeys(parts))}
+            found = normalized(list(only), [marks[k]])[:, 0]
+            np.maximum.at(values[:, k], np.array(owner), found[[only[w] for w in parts]])
+        found = values[[distinct[w] for w in heads]]
+        found[signs] = np.maximum(found[signs], found[len(words) :])
+        out[:, column] = found[: len(words)]
     return out
 
 
-def pick_landmarks(texts: list[list[list[str]]], labels: np.ndarray) -> tuple[list[str], int]:
-    """Words typical of toxic texts, then the commonest of the others; and the number of the former.
+def pick_landmarks(texts: list[list[list[str]]], labels: np.ndarray) -> tuple[list[Landmark], int]:
+    """Words and stems typical of toxic texts, then the commonest words of the others; and the number of the former.
 
-    A word counts once per text, and only in neighbours it did not have in earlier
-    texts, so neither copies nor long texts weigh more.  Every word is taken that
-    passes ``LEVEL``, however much commoner others are.  A lower level takes in words of
-    languages of which more texts are toxic than of others.
+    A string counts once per text, and only in neighbours it did not have in earlier
+    texts, so neither copies nor long texts weigh more.  Every one is taken that
+    passes ``LEVEL``, however much commoner others are, and that is four times as frequent in toxic texts, but for
+    those that begin with a stem taken before and for stems of what was taken before.
     """
     seen: tuple[set, set] = set(), set()
     found = Counter(), Counter()
@@ -169,20 +218,27 @@ def pick_landmarks(texts: list[list[list[str]]], labels: np.ndarray) -> tuple[li
         for words in parts:
             around = ["", *map(bare, words), ""]
             own.update(zip(around, around[1:], around[2:]))
-        found[label].update({word for _, word, _ in own - seen[label]})
+        new = {word for _, word, _ in own - seen[label]}
+        found[label].update((word, False) for word in new)
+        found[label].update({(word[:n], True) for word in new for n in range(STEMS[0], min(STEMS[1], len(word)) + 1)})
         seen[label].update(own)
-    del seen, own
+    del seen
     other, toxic = found
     n, m = max(1, int(labels.sum())), max(1, int((1 - labels).sum()))
 
-    def typical(word):
-        a, b = toxic[word] / n, other[word] / m
+    def typical(string):
+        a, b = toxic[string] / n, other[string] / m
         return (a - b) / np.sqrt((a + b) * (1 / n + 1 / m) + 1e-12)
 
-    able = [w for w in toxic if ORDER <= len(w) <= LONGEST and toxic[w] >= 3 and toxic[w] / n > 4 * other[w] / m]
-    chosen = sorted((w for w in able if typical(w) >= LEVEL), key=lambda w: (-typical(w), w))[:TYPICAL]
-    usual = sorted((w for w in other if ORDER <= len(w) <= WIDEST and w not in chosen), key=lambda w: (-other[w], w))
-    return chosen + usual[:USUAL], len(chosen)
+    able = [w for w in toxic if ORDER <= len(w[0]) <= LONGEST and toxic[w] / n > 4 * other[w] / m and typical(w) >= LEVEL]
+    chosen: list[Landmark] = []
+    for string, is_stem in sorted(able, key=lambda w: (-round(typical(w), 9), -len(w[0]), not w[1], w[0])):
+        covered = any(mark.is_stem and string.startswith(mark) for mark in chosen)
+        if not covered and not (is_stem and any(mark.startswith(string) for mark in chosen)):
+            chosen.append(Landmark.stem(string) if is_stem else Landmark(string))
+    words = [w for w, is_stem in other if not is_stem and ORDER <= len(w) <= WIDEST and w not in chosen]
+    usual = sorted(words, key=lambda w: (-other[w, False], w))
+    return chosen + [Landmark(w) for w in usual[:USUAL]], len(chosen)
 
 
 def machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge=1e-3) -> np.ndarray:
@@ -254,7 +310,7 @@ class Runs:
         self.known: dict[str, int] = {}
         self.plain: list[str] = []
         self.length, self.signs = np.zeros(0, np.int16), np.zeros(0, bool)
-        self.common = np.zeros((0, len(self.landmarks)), np.uint8)
+        self.common, self.over = np.zeros((0, len(self.landmarks)), np.uint8), np.zeros(0, np.int16)
 
     def learn(self, words: list[str]) -> None:
         new = [w for w in dict.fromkeys(words) if w not in self.known]
@@ -266,7 +322,10 @@ class Runs:
         short = [w if n <= LONGEST / NEAR else "" for w, n in zip(plain, length.tolist())]
         self.length = np.concatenate([self.length, length])
         self.signs = np.concatenate([self.signs, [p != bare(w) for w, p in zip(new, plain)]]).astype(bool)
-        self.common = np.concatenate([self.common, in_order(short, self.landmarks)])
+        common = in_order(short, self.landmarks)
+        self.common = np.concatenate([self.common, common])
+        # characters that are in order in no landmark
+        self.over = np.concatenate([self.over, length - common.max(axis=1, initial=0).astype(np.int16)])
 
     def least(self, length: np.ndarray) -> np.ndarray:
         return NEAR * np.maximum(length[:, None], self.sizes)
@@ -279,11 +338,11 @@ class Runs:
         missing = [w for w in set(flat) if w not in self.known]
         if missing:
             self.learn(missing)
-        word = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
+        word = np.array([*map(self.known.__getitem__, flat)], np.int64)
         sentence = np.repeat(np.arange(len(sentences)), [len(words) for words in sentences])
         some = self.length[word] > 0
         word, sentence = word[some], sentence[some]
-        length, common = self.length[word], self.common[word]
+        length, over = self.length[word], self.over[word]
         found = set()
         for n in range(1, 4):
             count = len(word) - n + 1
@@ -293,9 +352,10 @@ class Runs:
             able = (total >= NEAR * self.sizes.min()) & (total <= self.sizes.max() / NEAR) & (sentence[:count] == sentence[n - 1 :])
             if n == 1:
                 able &= self.signs[word]
-            at = np.flatnonzero(able)
             # what the parts hold in order is as much as the whole can hold
-            most = sum(common[at + k] for k in range(n))
+            able &= sum(over[k : count + k] for k in range(n)) <= (1 - NEAR) * total
+            at = np.flatnonzero(able)
+            most = sum(self.common[word[at + k]] for k in range(n))
             at = at[(most >= self.least(total[at])).any(axis=1)]
             found.update((int(sentence[i]), "".join([self.plain[word[i + k]] for k in range(n)])) for i in at.tolist())
         found = sorted(found)
@@ -381,11 +441,11 @@ def fit(rows: list[tuple[str, int]], seed=0):
             # the words of the other texts that come closest become landmarks as well
             common = np.bincount(words[np.isin(np.repeat(np.arange(len(owner)), np.diff(np.append(begin, len(words)))), calm)], minlength=len(number))
             near = [k for k in np.argsort(-of_word, kind="stable") if common[k] > 1 and len(stripped[k]) <= WIDEST]
-            more = list(dict.fromkeys(stripped[k] for k in near if stripped[k] and stripped[k] not in landmarks))[:CLOSE]
+            more = [Landmark(w) for w in dict.fromkeys(stripped[k] for k in near) if w and w not in landmarks][:CLOSE]
             landmarks = landmarks + more
             values = np.concatenate([values, similarity(list(distinct), more)[of_bare]], axis=1) if more else values
         # features whose products are the kernel seen through the landmarks
-        scale, basis = np.linalg.eigh(similarity(landmarks, landmarks))
+        scale, basis = np.linalg.eigh(normalized(landmarks, landmarks))
         root = basis / np.sqrt(np.where(scale > 1e-6, scale, np.inf)) @ basis.T
         x = values @ root
         # the worst word of each sentence; of a toxic text the sentences found toxic, or else the worst if it is near

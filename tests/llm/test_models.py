@@ -1,5 +1,6 @@
 """Piece vocabulary, classifiers and language identification."""
 
+import re
 import zlib
 from itertools import product
 
@@ -126,6 +127,14 @@ def test_scores_keep_the_share_of_the_labels(rare):
     assert abs(got - np.mean([label for _, label in rows])) < 0.03
 
 
+def test_a_pattern_counts_alike_at_every_offset():
+    net = quality_net.Net(3)
+    net.p["out"][:] = np.random.default_rng(5).normal(size=net.p["out"].shape)
+    blank = b" " * 40
+    pooled = [net.pooled(quality_net.chunked([blank + b" " * k + b"#pattern" + blank])[0])[0] for k in range(4)]
+    assert all(np.allclose(p, pooled[0], atol=1e-5) for p in pooled)
+
+
 def test_gradients():
     net = quality_net.Net(1)
     net.p["out"][:] = np.random.default_rng(2).normal(size=net.p["out"].shape)
@@ -242,7 +251,8 @@ def test_language_of_pages(spark):
     # no text: host and markup decide
     assert got[101].lang == "de" and got[102].lang == "fr" and got[102].declared == "fr"
     assert all(0 < r.score <= 1 for r in got.values())
-    nothing = language_id.identify(pages, language_id.fit([])).collect()
+    none = spark.createDataFrame([], "text string, lang string")
+    nothing = language_id.identify(pages, language_id.fit(none)).collect()
     assert len(nothing) == len(rows) and all(r.lang is None for r in nothing)
     assert language_id.identify(pages.limit(0), model).count() == 0
 
@@ -250,3 +260,149 @@ def test_language_of_pages(spark):
 def test_odd_bytes_have_trigrams():
     for text in ODD_TEXTS:
         assert len(language_id.trigrams((text or "").encode())) == len((text or "").encode())
+
+
+def plain_visible(html):
+    import re
+
+    return re.sub(rb"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", b" ", html)
+
+
+def test_visible_text_equals_a_plain_pattern():
+    import random
+
+    dice = random.Random(5)
+    pool = [b"<", b">", b"<!--", b"-->", b"<script>", b"</script >", b"<STYLE a=1>", b"</style>", b"<p>", b"word ", b"</", b"script", b"<scripts>", b"</SCRIPT\n>"]
+    for _ in range(3000):
+        html = b"".join(dice.choice(pool) for _ in range(dice.randrange(12)))
+        assert language_id.visible(html) == plain_visible(html), html
+
+
+@pytest.mark.parametrize("part", [b"<script>", b"<!--", b"<", b"<style>x</script>", b"<!-- -", b"<html "])
+def test_a_page_of_a_megabyte_takes_one_scan(spark, part):
+    import time
+
+    html = part * ((1 << 20) // len(part))
+    start = time.process_time()
+    language_id.visible(html)
+    assert time.process_time() - start < 1.5
+    page = spark.createDataFrame([(html.decode(),)], "html string")
+    start = time.time()
+    page.select(language_id.declared_in(F.col("html")), language_id.host_of(F.col("html"))).collect()
+    assert time.time() - start < 20
+
+
+def plain_languages(pages, model):
+    """The fusion page by page, with counts in dictionaries."""
+    names, table = model
+    n = len(names)
+    rows = []
+    for page_id, url, html in pages:
+        found = re.match(r"[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", url or "")
+        host = (found[1].lower() if found else "").rstrip(".")
+        mark = re.search(r"(?i)<html\b[^<>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,8})", html or "")
+        at = language_id.trigrams(plain_visible((html or "").encode()))
+        z = [sum(float(table[a, k]) for a in at) * min(1.0, language_id.TRUST / len(at)) if len(at) else 0.0 for k in range(n)]
+        e = [np.exp(x - max(z)) for x in z]
+        rows.append((page_id, host, mark[1].lower() if mark else "", [x / sum(e) for x in e]))
+
+    def added(key):
+        out = {}
+        for row in rows:
+            own = out.setdefault(key(row), [0.0] * n)
+            for k in range(n):
+                own[k] += row[3][k]
+        return out
+
+    def smoothed(counts, parent):
+        return [(c + language_id.STRENGTH * p) / (sum(counts) + language_id.STRENGTH) for c, p in zip(counts, parent)]
+
+    last = lambda host, k: (lambda parts: ".".join(parts[-k:]) if len(parts) >= k and all(parts[-k:]) else "")(host.split("."))
+    hosts, domains = added(lambda r: r[1]), added(lambda r: last(r[1], 2))
+    suffixes, marks = added(lambda r: last(r[1], 1)), added(lambda r: r[2])
+    everywhere = added(lambda r: 0).get(0, [0.0] * n)
+    overall = smoothed(everywhere, [1 / n] * n)
+    out = {}
+    for page_id, host, mark, text in rows:
+        prior = smoothed(domains[last(host, 2)], smoothed(suffixes[last(host, 1)], overall))
+        prior = smoothed([max(c - t, 0.0) for c, t in zip(hosts[host], text)], prior)
+        likely = [(c + 0.5) / (t + 0.5 * len(marks)) for c, t in zip(marks[mark], everywhere)]
+        product = [max(a, 1e-30) * b * c for a, b, c in zip(text, prior, likely)]
+        best = max(range(n), key=lambda k: (product[k], -k))
+        out[page_id] = (names[best], product[best] / sum(product), host, mark)
+    return out
+
+
+def test_languages_equal_a_plain_fusion(spark):
+    folder = "/root/testdata/sf0.001"
+    model = language_id.fit(language_id.sample(queries.table(spark, folder, "documents"), 60))
+    pages = queries.table(spark, folder, "pages").select("page_id", "url", "html")
+    more = [(1000 + k, f"http://{h}/p", f"<html lang='{l}'>{t}") for k, (h, l, t) in enumerate(
+        (h, l, t) for h in ("a.example.org", "b.example.org", "localhost", "x.co.uk.", ".", "a..b") for l in ("fr", "DE-at") for t in ("", "le monde est beau", "<b")
+    )] + [(2000, None, None)]
+    pages = pages.unionAll(spark.createDataFrame(more, pages.schema))
+    want = plain_languages([tuple(r) for r in pages.collect()], model)
+    got = language_id.identify(pages, model).collect()
+    assert len(got) == len(want)
+    for r in got:
+        lang, score, host, mark = want[r.page_id]
+        assert (r.lang, r.host, r.declared) == (lang, host, mark)
+        assert r.score == pytest.approx(score, rel=1e-6)
+
+
+def test_language_samples_hold_each_text_once(spark):
+    rows = [(1, "same", "en")] * 30 + [(None, "no id", "de")] * 5 + [(2, None, "en"), (3, "x", None), (4, "y", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(map(tuple, language_id.sample(docs, 10).collect())) == [("no id", "de"), ("same", "en"), ("y", "fr")]
+    assert language_id.sample(docs, 2).count() == 2
+
+
+def test_labelled_samples(spark):
+    docs = spark.createDataFrame([(1, "a"), (1, "b"), (2, None), (3, "c"), (None, "d"), (5, "e")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 1), (3, None), (None, 1), (5, 0), (6, 1)], "doc_id long, toxic int")
+    every = F.lit(True)
+    assert labelled.sample(docs, labels, "toxic", every, 10) == [("a", 1), ("", 1), ("e", 0)]
+    assert len(labelled.sample(docs, labels, "toxic", every, 2)) <= 2
+    assert labelled.sample(docs, labels, "toxic", F.col("doc_id") == 5, 10) == [("e", 0)]
+    assert labelled.sample(docs, labels.limit(0), "toxic", every, 10) == []
+
+
+@pytest.mark.parametrize("query", ["op7_quality_classifier", "op8_toxicity"])
+def test_classifiers_of_empty_tables(spark, monkeypatch, query):
+    docs, labels = odd_docs(spark), spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(queries, "table", lambda _, __, name: {"documents": docs, "labels": labels}[name])
+    rows = queries.QUERIES[query](spark, "").collect()
+    assert len(rows) == docs.count() and {r.score for r in rows} == {0.5}
+    monkeypatch.setattr(queries, "table", lambda _, __, name: {"documents": docs.limit(0), "labels": labels}[name])
+    assert queries.QUERIES[query](spark, "").collect() == []
+
+
+def stems_and_endings():
+    """Toxic texts with words of one stem, each ending in few of them, among clean words."""
+    rng = np.random.default_rng(4)
+    syllables = [a + b for a in "bdfgklmnprstvz" for b in "aeiou"]
+    ends = ["".join(rng.choice(syllables, 2)) for _ in range(40)]
+    clean = [w for w in ("".join(rng.choice(syllables, rng.integers(1, 5))) for _ in range(600)) if not w.startswith("quov")]
+    rows = []
+    for k in range(900):
+        words = list(rng.choice(clean, 24))
+        if k % 9 == 0:
+            words[rng.integers(24)] = "quov" + ends[k // 9 % 40]
+        rows.append((" ".join(words[:12]) + ". " + " ".join(words[12:]), int(k % 9 == 0)))
+    return rows
+
+
+def test_a_stem_with_forty_endings_is_found():
+    rows = stems_and_endings()
+    scorer = toxicity.fit(rows[:700])
+    marks = [mark for mark in scorer.__self__.landmarks if mark.is_stem]
+    assert any("quov".startswith(mark) or mark.startswith("quov") for mark in marks)
+    scores = scorer([text for text, _ in rows[700:]])
+    assert all((s > 0.5) == bool(label) for s, (_, label) in zip(scores, rows[700:]))
+    assert scorer(["here quovxyxy there", "a qu-ovmama", "quo vadi"]).round().tolist()[:2] == [1, 1]
+
+
+def test_a_very_long_word_takes_bounded_memory():
+    scorer = toxicity.fit(stems_and_endings()[:400])
+    text = "quov" + "x" * 1_000_000 + " " + "ab" * 500_000
+    assert scorer([text, "x" * 1_000_000]).round().tolist() == [1, 0]
