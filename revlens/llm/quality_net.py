@@ -1,10 +1,13 @@
 """A byte-level convolutional network that scores the quality of a text.
 
-Bytes are embedded, learned filters slide over overlapping chunks that cover the
-whole text, each filter's maximum in a chunk is kept, and the mean and the maximum of
+Bytes are embedded, learned filters of 8 bytes slide over overlapping chunks that cover the
+whole text, a byte at a time, each filter's maximum in a chunk is kept, and the mean and the maximum of
 these over all chunks are combined into one probability.  Fitted by Adam on
 at most ``TRAIN_ROWS`` labelled rows, whole texts, on the driver; scored in tasks.
-A null text is an empty one: one chunk of padding.  Without labels of both kinds every
+A null text is an empty one: one chunk of padding.  Texts of any length are scored whole, a
+bounded number of chunks at once.  Repeated rows and rows without an id are scored as
+any other; equal texts score alike, an empty table gives no rows.  Ties of a filter's places
+within a chunk go to the first, and in fitting chunks that tie share the gradient.  Without labels of both kinds every
 score is the share of label 1 (one half if there are none).
 """
 
@@ -17,7 +20,7 @@ from pyspark.sql import functions as F
 TRAIN_ROWS = 3000
 STEPS, BATCH = 300, 48
 CHUNK, OVERLAP = 512, 64
-EMBED, WIDTH, STRIDE, FILTERS = 8, 8, 4, 32
+EMBED, WIDTH, STRIDE, FILTERS = 8, 8, 1, 32
 #: Chunks that are worked out at once.
 AT_ONCE = 256
 
@@ -53,15 +56,16 @@ class Net:
         x = self.p["embed"][data].reshape(len(data), -1)
         return np.lib.stride_tricks.sliding_window_view(x, WIDTH * EMBED, axis=1)[:, :: STRIDE * EMBED]
 
-    def pooled(self, data: np.ndarray):
-        """Greatest response of each filter in each chunk, and where it is."""
+    def pooled(self, data: np.ndarray, places=False):
+        """Greatest response of each filter in each chunk, and where it is if asked for."""
         value = np.empty((len(data), FILTERS), np.float32)
         where = np.empty((len(data), FILTERS), np.int64)
         for at in range(0, len(data), AT_ONCE):
             part = data[at : at + AT_ONCE]
             x = self.windows(part)
             y = (x.reshape(-1, WIDTH * EMBED) @ self.p["filters"]).reshape(len(part), -1, FILTERS)
-            where[at : at + AT_ONCE] = y.argmax(axis=1)
+            if places:
+                where[at : at + AT_ONCE] = y.argmax(axis=1)
             value[at : at + AT_ONCE] = y.max(axis=1)
         return np.maximum(value + self.p["bias"], 0), where
 
@@ -78,7 +82,7 @@ class Net:
 
     def gradients(self, texts: list[bytes], labels: np.ndarray) -> dict[str, np.ndarray]:
         data, count = chunked(texts)
-        pooled, where = self.pooled(data)
+        pooled, where = self.pooled(data, places=True)
         features = self.combine(pooled, count)
         logit = features @ self.p["out"] + self.p["base"]
         wrong = (1 / (1 + np.exp(-np.clip(logit, -40, 40))) - labels) / len(labels)
