@@ -37,7 +37,7 @@ from revlens.llm.texthash import Stretches
 
 #: Bytes of text in a chunk, and in the texts that fill a bucket, on average.
 CHUNK = 2 << 20
-BUCKET = 4 << 20
+BUCKET = 2 << 20
 #: Names of cover samples in a block, on average.
 BLOCK = 1 << 20
 #: Suffixes of one record at most.
@@ -123,13 +123,17 @@ def repeats(data: np.ndarray, at: np.ndarray, names: np.ndarray, length: int) ->
     n = len(at)
     if n < 2:
         return np.zeros(n, bool)
-    by = np.argsort(names, kind="stable")
+    # places take half the memory as 32-bit numbers
+    by = np.argsort(names, kind="stable").astype(np.int32)
+    ordered = names[by]
     new = np.ones(n, bool)
-    new[1:] = names[by][1:] != names[by][:-1]
-    first = np.empty(n, np.int64)
-    first[by] = by[np.flatnonzero(new)][np.cumsum(new) - 1]
-    again = np.flatnonzero(first != np.arange(n))
+    new[1:] = ordered[1:] != ordered[:-1]
+    first = np.empty(n, np.int32)
+    first[by] = by[new][np.cumsum(new, dtype=np.int32) - 1]
+    del by, ordered, new
+    again = np.flatnonzero(first != np.arange(n, dtype=np.int32)).astype(np.int32)
     a, b = at[again], at[first[again]]
+    del first
     fresh = np.ones(len(a), bool)
     fresh[1:] = (a[1:] != a[:-1] + 1) | (b[1:] != b[:-1] + 1)
     same = (data[a + length - 1] == data[b + length - 1]).all()
@@ -167,13 +171,14 @@ def _suffixes(chunk: Chunk, stretches: Stretches, shared: np.ndarray, at: np.nda
     length = chunk.length
     period, _ = cover_for(length)
     n = len(chunk.data)
-    count = np.zeros(n + period + 1, np.int64)
+    count = np.zeros(n + period + 1, np.int32)
     count[at[shared] + 1] = 1
-    count = np.cumsum(count)
-    open_ = np.flatnonzero(chunk.inside(length) & (count[period : period + n] > count[:n]))
+    count = np.cumsum(count, dtype=np.int32)
+    open_ = np.flatnonzero(chunk.inside(length) & (count[period : period + n] > count[:n])).astype(np.int32)
+    del count
     again = repeats(chunk.data, open_, stretches(open_, open_ + length), length)
-    text = np.searchsorted(chunk.begin, open_, side="right") - 1
-    offset = open_ - chunk.begin[text]
+    text = (np.searchsorted(chunk.begin, open_, side="right") - 1).astype(np.int32)
+    offset = open_ - chunk.begin[text].astype(np.int32)
     settled = _runs(chunk.rows[text[again]], offset[again])
     out = [{"bucket": number % buckets, "settled": settled.tobytes()}] if len(settled) else []
     open_, text, offset = open_[~again], text[~again], offset[~again]
@@ -240,7 +245,7 @@ def _sort_bucket(table, length: int) -> list[dict]:
     order = np.lexsort((off, tie, doc_id, known))
     record = np.repeat(order, n[order])
     within = np.arange(len(record)) - np.repeat(np.cumsum(n[order]) - n[order], n[order])
-    at = start[record] + within
+    at = (start[record] + within).astype(np.int32)
     again = repeats(data, at, Stretches(data)(at, at + length), length)
     record, within = record[again], within[again]
     by = np.lexsort((off[record] + within, row[record], chunk[record]))

@@ -8,7 +8,7 @@ _WORD_BASE = np.uint64(0xD6E8FEB86659FD93)
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _SALT = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64)
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_POWERS: list[np.ndarray] = []
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -17,15 +17,16 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(16, (n - 1).bit_length())
-    if size not in _POWERS:
+def _powers(n: int) -> list[np.ndarray]:
+    """At least ``n`` powers of the base and of its inverse; kept until more are needed."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        size = ((n - 1 >> 20) + 1) << 20
         _POWERS.clear()
-        one = np.ones(1, np.uint64)
-        _POWERS[size] = tuple(
-            np.cumprod(np.concatenate([one, np.full(size, b, np.uint64)]), dtype=np.uint64) for b in (_BASE, _INVERSE)
-        )
-    return _POWERS[size]
+        for base in (_BASE, _INVERSE):
+            powers = np.full(size, base, np.uint64)
+            powers[0] = 1
+            _POWERS.append(np.cumprod(powers, dtype=np.uint64, out=powers))
+    return _POWERS
 
 
 class Stretches:
