@@ -35,6 +35,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revlens.llm.memory import release, releasing
 from revlens.llm.texthash import shingles
 from revlens.session import discard, materialize, scratch_dir
 
@@ -118,6 +119,7 @@ def signed(docs: DataFrame, id_col="doc_id", text_col="text", carry=()) -> DataF
                     ["digest", "n_shingles", "sig", *batch.schema.names[1:]],
                 )
                 at += len(part)
+        release()
 
     text = F.col(text_col).cast("string")
     rows = docs.select(text.alias("text"), F.col(id_col).cast("long").alias("doc_id"), *text_key(text), *carry)
@@ -221,7 +223,7 @@ def _compared(rows: DataFrame, threshold: float, tolerance: float, groups: int)
         types = (pa.string(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
         return pa.table({n: pa.array(v, t) for (n, v), t in zip(out.items(), types)})
 
-    return dealt.groupBy("deal").applyInArrow(compare, _UNIT)
+    return dealt.groupBy("deal").applyInArrow(releasing(compare), _UNIT)
 
 
 def overlaps(sets: list[np.ndarray], pairs: np.ndarray) -> np.ndarray:
@@ -371,7 +373,7 @@ def links(signatures: DataFrame, docs: DataFrame, folder: str, threshold=THRESHO
         return pa.table({n: pa.array(v, t) for (n, v), t in zip(out.items(), (pa.binary(), pa.int64(), pa.binary()))})
 
     pairs = units.filter("pairs is not null").select(F.col("unit").alias("of"), "pairs")
-    checked = with_text(members, docs, text_col).groupBy("unit").cogroup(pairs.groupBy("of")).applyInArrow(check, "digest binary, n_links long, to binary")
+    checked = with_text(members, docs, text_col).groupBy("unit").cogroup(pairs.groupBy("of")).applyInArrow(releasing(check), "digest binary, n_links long, to binary")
     return classes, materialize(checked, "links", below=folder)
 
 

@@ -33,6 +33,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revlens.llm.memory import releasing
 from revlens.llm.texthash import Stretches
 
 #: Bytes of text in a chunk, and in the texts that fill a bucket, on average.
@@ -344,10 +345,14 @@ def dedup(docs: DataFrame, length=100, id_col="doc_id", text_col="text", carry=(
         return _table([r | {"chunk": number} for r in found], _SUFFIXES)
 
     reply_schema = "chunk long, reply binary"
-    sampled = rows.groupBy("chunk").applyInArrow(sample, sample_schema)
-    ranks = sampled.groupBy("block").applyInArrow(rank, rank_schema)
-    open_ = rows.groupBy("chunk").cogroup(ranks.groupBy("of")).applyInArrow(suffixes, _SUFFIXES)
-    replies = open_.groupBy("bucket").applyInArrow(lambda t: _table(_sort_bucket(t, length), reply_schema), reply_schema)
+    sampled = rows.groupBy("chunk").applyInArrow(releasing(sample), sample_schema)
+    ranks = sampled.groupBy("block").applyInArrow(releasing(rank), rank_schema)
+    open_ = rows.groupBy("chunk").cogroup(ranks.groupBy("of")).applyInArrow(releasing(suffixes), _SUFFIXES)
+
+    def answer(key, table):
+        return _table(_sort_bucket(table, length), reply_schema)
+
+    replies = open_.groupBy("bucket").applyInArrow(releasing(answer), reply_schema)
     replies = replies.select(F.col("chunk").alias("for"), "reply")
 
     extra = [f"carry{k}" for k in range(len(carry))]
@@ -381,7 +386,7 @@ def dedup(docs: DataFrame, length=100, id_col="doc_id", text_col="text", carry=(
             out = out.append_column(c, table.column(c).take(order))
         return out
 
-    return rows.groupBy("chunk").cogroup(replies.groupBy("for")).applyInArrow(cut, schema)
+    return rows.groupBy("chunk").cogroup(replies.groupBy("for")).applyInArrow(releasing(cut), schema)
 
 
 def remove(docs: DataFrame, length=100, id_col="doc_id", text_col="text") -> DataFrame:
