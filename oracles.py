@@ -270,6 +270,11 @@ SQL = {
         SELECT revision, full_version, reference, week, path AS file
         FROM version v JOIN date_time USING (revision) JOIN issues i USING (revision) JOIN paths USING (revision)
         WHERE i.type = 'B' AND branch = 'hotfix'""",
+    "create_tables": _LOG + f"""
+        SELECT revision, i.type, reference, full_version, CAST(year(date) AS INT) AS year,
+               CAST(month(date) AS INT) AS month, author, message
+        FROM commits JOIN version v USING (revision) JOIN issues i USING (revision)
+        WHERE branch IN ('builds', 'hotfix') AND year(date) = {catalog.REPORT_YEAR}""",
     "commits": _LOG + "SELECT * FROM commits",
     "clean_message": f"SELECT doc_id, {_clean('text', 102400, 1000)} AS message, {_clean('text', 5000, 3)} AS tight_message FROM documents",
     "count_issue_marks": "SELECT doc_id, CAST(len(string_split(text, '#')) - 1 AS INT) AS marks FROM documents",

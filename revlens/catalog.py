@@ -266,6 +266,24 @@ def register_tables(spark, folder):
     )
 
 
+@query
+def create_tables(spark, folder):
+    """A script that names its four tables in any order, over catalog tables with statistics."""
+    built = tables.build(V.commit_log(spark, folder))
+    target = scratch_dir(spark, "catalog")
+    prefix = f"log_{target[-32:]}_"
+    used = ("version", "issues", "date_time", "commits")
+    store.create_tables(spark, {name: built[name] for name in used}, buckets=8, prefix=prefix, folder=target)
+    return spark.sql(
+        f"""
+        SELECT v.revision, i.type, i.reference, v.full_version, dt.year, dt.month, c.author, c.message
+        FROM {prefix}version v, {prefix}issues i, {prefix}date_time dt, {prefix}commits c
+        WHERE v.revision = i.revision AND dt.revision = v.revision AND c.revision = v.revision
+          AND (v.branch = 'builds' OR v.branch = 'hotfix') AND dt.year = {REPORT_YEAR}
+        """
+    )
+
+
 # --- table builders ----------------------------------------------------------
 
 

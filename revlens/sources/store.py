@@ -12,6 +12,8 @@ from revlens import schema
 
 BUCKET_SPAN = 100_000
 BUCKET = "rev_bucket"
+# Columns without statistics.
+LONG_TEXTS = ("message", "file")
 
 
 def bucket(span: int):
@@ -195,25 +197,39 @@ def register_tables(tables: dict[str, DataFrame], prefix="", joined_names=False)
         df.createOrReplaceTempView(prefix + name)
 
 
-def create_tables(spark: SparkSession, tables: dict[str, DataFrame], buckets: int, prefix="") -> None:
-    """Catalog tables; existing ones are kept.
+def create_tables(
+    spark: SparkSession, tables: dict[str, DataFrame], buckets: int, prefix="", folder: str | None = None
+) -> None:
+    """Catalog tables with statistics; existing ones are kept.
 
     The tables that reports join on revision again and again are bucketed and
     sorted by it, so those joins need no shuffle.  They hold one row per commit
     or, for issues, as many as one message can name.  Changed files are not
     joined by reports and one commit can have very many, so they stay unbucketed.
+    ``folder`` places the tables there instead of in the warehouse.
+
+    Statistics let sessions with ``spark.sql.cbo.enabled`` and
+    ``spark.sql.cbo.joinReorder.enabled`` join in the order that the filters of a
+    script suggest rather than in the order it names its tables.
     """
     for name, df in tables.items():
         if spark.catalog.tableExists(prefix + name):
             continue
-        rows = typed(df, name)
-        if name == "files":
-            rows.write.format("parquet").saveAsTable(prefix + name)
-        else:
-            (
-                rows.repartition(buckets, "revision")
-                .write.format("parquet")
-                .bucketBy(buckets, "revision")
-                .sortBy("revision")
-                .saveAsTable(prefix + name)
-            )
+        writer = typed(df, name) if name == "files" else typed(df, name).repartition(buckets, "revision")
+        writer = writer.write.format("parquet")
+        if folder is not None:
+            writer = writer.option("path", f"{folder.rstrip('/')}/{prefix + name}")
+        if name != "files":
+            writer = writer.bucketBy(buckets, "revision").sortBy("revision")
+        writer.saveAsTable(prefix + name)
+        compute_statistics(spark, prefix + name)
+
+
+def compute_statistics(spark: SparkSession, table: str, left_out=LONG_TEXTS) -> None:
+    """Rows, bytes, and ranges and distinct values per column of a catalog table, read in one pass.
+
+    Messages and paths are left out: no script compares them for equality and
+    they are most of the bytes.  Call it again after a table has grown.
+    """
+    names = [f"`{column}`" for column in spark.table(table).columns if column not in left_out]
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR COLUMNS {', '.join(names)}")

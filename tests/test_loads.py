@@ -1,9 +1,11 @@
 import datetime
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from revlens import schema, session
+from revlens.catalog import QUERIES
 from revlens.operators import tables
 from revlens.plans import load, reports
 from revlens.sources import orders_view as V
@@ -226,6 +228,36 @@ def test_joins_of_bucketed_tables_do_not_shuffle(spark, entries, rows):
             spark.sql(f"DROP TABLE IF EXISTS bucketed_{name}")
 
 
+def test_statistics_decide_in_which_order_a_script_joins(spark, folder, rows):
+    settings = ("spark.sql.cbo.enabled", "spark.sql.cbo.joinReorder.enabled")
+    df = QUERIES["create_tables"](spark, folder)
+    text = df._jdf.queryExecution().analyzed().toString()
+    names = {name: re.search(rf"log_\w+_{name}\b", text)[0] for name in ("version", "issues", "date_time", "commits")}
+
+    def order():
+        again = spark.sql(
+            f"""SELECT v.revision, c.message FROM {names["version"]} v, {names["issues"]} i, {names["date_time"]} dt, {names["commits"]} c
+            WHERE v.revision = i.revision AND dt.revision = v.revision AND c.revision = v.revision
+            AND v.branch = 'hotfix' AND dt.year = 1998 AND dt.month = 2"""
+        )
+        plan = again._jdf.queryExecution().optimizedPlan().toString()
+        read = re.findall(r"Relation \S*?(version|issues|date_time|commits)\[", plan)
+        return read, rows(again)
+
+    try:
+        written, expected = order()
+        for key in settings:
+            spark.conf.set(key, "true")
+        chosen, found = order()
+        assert written == ["version", "issues", "date_time", "commits"]
+        assert set(chosen[:2]) == {"version", "date_time"} and found == expected
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        for name in names.values():
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_reports_over_a_log_read_only_what_they_use(spark, folder):
     facts = reports.commit_facts(V.commit_log(spark, folder))
     plan = plan_of(reports.commits_per_branch_month(facts))

@@ -1,4 +1,6 @@
 import datetime
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -221,6 +223,30 @@ def test_large_rule_tables_are_not_broadcast(spark, log, author_rules, rows, mon
 # --- checks ------------------------------------------------------------------
 
 
+@pytest.mark.parametrize("bitmaps", [1, checks.BITMAPS])
+def test_only_suspect_keys_are_grouped(spark, rows, bitmaps):
+    draw = random.Random(bitmaps)
+    keys = [(n, f"/{n}") for n in range(3000)] + [(draw.randrange(60), draw.choice(["/a", "/b", None])) for _ in range(400)]
+    keys += [(None, "/c"), (None, "/c"), (None, None), (7, "/hot")] + [(8, "/hot")] * 1000
+    files = spark.createDataFrame([(r, "M", "file", f) for r, f in keys], schema.FILES)
+    expected = sorted(((k, n) for k, n in Counter(keys).items() if n > 1), key=repr)
+    found = checks.unique_violations(files, ["revision", "file"], bitmaps)
+    assert sorted((((r, f), n) for r, f, n in rows(found)), key=repr) == expected
+    n_suspects = checks.suspects(files, ["revision", "file"], bitmaps).count()
+    n_repeated = sum(n for _, n in expected)
+    assert n_repeated <= n_suspects < n_repeated + (100 if bitmaps == 1 else 5)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_keys_of_empty_tables_and_of_numbers(spark, rows):
+    empty = spark.createDataFrame([], schema.FILES)
+    assert rows(checks.unique_violations(empty, ["revision", "file"])) == []
+    assert rows(checks.table_violations({"files": empty})) == [("files", 0, 0)]
+    numbers = checks.unique_violations(spark.range(3).union(spark.range(1)), ["id"])
+    assert rows(numbers) == [(0, 2)] and "Join" not in numbers._jdf.queryExecution().executedPlan().toString()
+
+
 def test_checks(spark, rows):
     files = spark.createDataFrame(
         [(1, "M", "file", "/a"), (1, "A", "file", "/a"), (2, "M", "file", "/" + "b" * 2048)], schema.FILES
