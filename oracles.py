@@ -454,3 +454,7 @@ SQL = {
         SELECT revision, needs_diff, p.type, p.kind, p.path FROM heads LEFT JOIN paths p USING (revision)
         WHERE revision IN (SELECT user_id + 1 FROM events)""",
 }
+
+# Reports over states must give what they give over the commits.
+for _report in ("issues_per_branch_month", "branches_authors_per_week"):
+    SQL[f"{_report}_of_states"] = SQL[_report]

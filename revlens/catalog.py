@@ -10,7 +10,7 @@ from revlens.functions import messages as M
 from revlens.functions import names as N
 from revlens.functions import paths as P
 from revlens.operators import address_book, checks, diffs, tables, teams, tracker
-from revlens.plans import jobs, load, reports
+from revlens.plans import jobs, load, reports, states
 from revlens.session import scratch_dir
 from revlens.sources import commit_log, listing, readers, store
 from revlens.sources import orders_view as V
@@ -723,6 +723,27 @@ def issues_authors_per_version_month(spark, folder):
     return reports.issues_authors_per_version_month(_issue_facts(spark, folder))
 
 
+def _refreshed_store(spark, folder) -> store.CommitStore:
+    """A store whose states were derived in two steps, of which the second meets a changed and new ranges."""
+    target = store.CommitStore(spark, scratch_dir(spark, "store"), span=5000)
+    log = V.commit_log(spark, folder)
+    load.ingest(log.between(1, 8000), target)
+    states.refresh(target)
+    load.ingest(log.between(8001), target)
+    states.refresh(target)
+    return target
+
+
+@query
+def issues_per_branch_month_of_states(spark, folder):
+    return reports.issues_per_branch_month(states.read(_refreshed_store(spark, folder), "issue_state"))
+
+
+@query
+def branches_authors_per_week_of_states(spark, folder):
+    return reports.branches_authors_per_week(states.read(_refreshed_store(spark, folder), "commit_state"))
+
+
 @query
 def branches_per_week(spark, folder):
     return reports.branches_per_week(_commit_facts(spark, folder))
