@@ -1,23 +1,24 @@
 """Encoding and decoding with a SentencePiece vocabulary.
 
 An Aho-Corasick automaton over the pieces reads the text once.  At each
-character it follows the output links, longest piece first.  For unigram models it
-relaxes the best score of a segmentation that ends there; of equal scores the
-earlier start stays.  The scores of a BPE model are ranks of merges, and their best sum
-is not what merging gives.  There the last piece up to each character is the one
-that merging leaves apart from the last piece before it, of which there is exactly
-one; whether it leaves two pieces apart is worked out once per pair.  Either way the
-ids are those of the library.  A character that is no piece costs the least score less
-ten and becomes its UTF-8 bytes, if the vocabulary has byte pieces, or the unknown
-piece.
+character it follows the output links, longest piece first, and relaxes the best
+weight of a segmentation that ends there.  For unigram models a piece weighs its score.
+The scores of a BPE model are ranks of merges, and their best sum is not what merging
+gives.  There a piece weighs 0 after one that merging leaves apart from it and minus
+infinity after others, so the one segmentation of weight 0 is that of merging; weights
+are worked out once per pair.  Either way the ids are those of the library.  A
+character that is no piece costs the least score less ten and becomes its UTF-8
+bytes, if the vocabulary has byte pieces, or the unknown piece.
 
 Texts are taken as they are (identity normalization), with a space in front.  No
 piece may continue after a space, nor hold a line feed, so a text is the row of
 its words, and words are remembered in bounded memory; a vocabulary without that
 property is read text by text.  A mark that no piece holds after a letter or digit
-ends a word in the same way.  A null text is an empty one and has no ids.
+ends a word in the same way.  A null text is an empty one and has no ids; every row,
+repeated or without an id, gives one row, and an empty table none.
 """
 
+import math
 import re
 from functools import lru_cache
 from itertools import islice
@@ -30,6 +31,8 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 KEPT = 600_000
 UNKNOWN_COST = 10.0
+#: Weight of a transition that a segmentation cannot hold.
+NEVER = -math.inf
 MARKS = ".,;:!?)"
 _ALNUM = re.compile(r"[^\W_]")
 
@@ -39,8 +42,9 @@ class Automaton:
 
     def __init__(self, pieces: dict[str, tuple[int, float]]):
         self.step: list[dict[str, int]] = [{}]
-        self.piece: list[tuple[int, int, float] | None] = [None]
-        for text, (number, score) in pieces.items():
+        self.piece: list[tuple[int, int] | None] = [None]
+        self.gain = dict(pieces.values())
+        for text, (number, _) in pieces.items():
             state = 0
             for char in text:
                 after = self.step[state].get(char)
@@ -49,7 +53,7 @@ class Automaton:
                     self.step.append({})
                     self.piece.append(None)
                 state = after
-            self.piece[state] = (len(text), number, score)
+            self.piece[state] = (len(text), number)
         self.fail = [0] * len(self.step)
         self.link = [0] * len(self.step)
         queue = list(self.step[0].values())
@@ -69,39 +73,18 @@ class Automaton:
             found = self.step[state].get(char)
         return found or 0
 
-    def best(self, text: str, unknown: float) -> list[tuple[int, int, int]]:
-        """(start, end, piece) of the best segmentation; piece -1 is an unknown character."""
-        link, piece = self.link, self.piece
-        score, back = [0.0], [(0, -1)]
-        state = 0
-        for end, char in enumerate(text, 1):
-            state = self.after(state, char)
-            top, origin, single = None, None, False
-            at = self.first[state]
-            while at:
-                size, number, gain = piece[at]
-                total = score[end - size] + gain
-                if top is None or total > top:
-                    top, origin = total, (end - size, number)
-                single = size == 1
-                at = link[at]
-            if not single:
-                total = score[end - 1] + unknown
-                if top is None or total > top:
-                    top, origin = total, (end - 1, -1)
-            score.append(top)
-            back.append(origin)
-        out, end = [], len(text)
-        while end:
-            start, number = back[end]
-            out.append((start, end, number))
-            end = start
-        return out[::-1]
+    def best(self, text: str, unknown: float, known=None, weigh=None, most=math.inf) -> list[tuple[int, int, int]]:
+        """(start, end, piece) of the segmentation of best total weight; piece -1 is an unknown character.
 
-    def merged(self, text: str, known: dict[tuple[int, int], bool], apart) -> list[tuple[int, int, int]]:
-        """(start, end, piece) as merging leaves them; ``known``, or else ``apart(a, b)``, tells whether pieces a and b stay two."""
+        ``weigh(a, b)`` is the weight of piece b after piece a (-1: the start or an unknown
+        character), its score unless given; ``known`` remembers weights.  No total exceeds
+        ``most``, so the links are left once it is reached.  Of equal totals the
+        earlier start stays.
+        """
+        if weigh is None:
+            known, weigh = {}, lambda _, b: self.gain[b]
         step, fail, link, first, piece = self.step, self.fail, self.link, self.first, self.piece
-        last, begin = [-1], [0]
+        score, last, begin = [0.0], [-1], [0]
         state = 0
         for end, char in enumerate(text, 1):
             after = step[state].get(char)
@@ -109,18 +92,26 @@ class Automaton:
                 state = fail[state]
                 after = step[state].get(char)
             state = after or 0
-            start, chosen = end - 1, -1
+            top, start, chosen, single = NEVER, end - 1, -1, False
             at = first[state]
             while at:
-                size, number, _ = piece[at]
-                before = last[end - size]
-                two = before < 0 or known.get((before, number))
-                if two is None:
-                    two = apart(before, number)
-                if two:
-                    start, chosen = end - size, number
-                    break
+                size, number = piece[at]
+                pair = last[end - size], number
+                weight = known.get(pair)
+                if weight is None:
+                    weight = weigh(*pair)
+                total = score[end - size] + weight
+                if total > top:
+                    top, start, chosen = total, end - size, number
+                    if top >= most:
+                        break
+                single = size == 1
                 at = link[at]
+            if not single and top < most:
+                total = score[end - 1] + unknown
+                if total > top:
+                    top, start, chosen = total, end - 1, -1
+            score.append(top)
             last.append(chosen)
             begin.append(start)
         out, end = [], len(text)
@@ -203,7 +194,7 @@ class PieceModel:
         self.merging = is_bpe(path)
         self.usual = usual
         self.name_of = {k: name for name, (k, _) in usual.items()}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[tuple[int, int], float] = {}
         by_word = all(SPACE not in p.lstrip(SPACE) for p in usual) and not any("\n" in p for p in usual)
         # no piece holds one of these marks right after a letter or digit, so words end before them
         within = {b for p in usual for a, b in zip(p, p[1:]) if _ALNUM.fullmatch(a)}
@@ -212,16 +203,21 @@ class PieceModel:
         self.units = re.compile(f"{word}{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n" if by_word else r"(?s).+")
         self.known: dict[str, bytes] = {}
 
-    def _apart(self, a: int, b: int) -> bool:
+    def _weigh(self, a: int, b: int) -> float:
+        """What piece b after piece a adds: 0 if merging leaves the two apart, or else what rules b out."""
         if len(self.pairs) > KEPT:
             self.pairs.clear()
-        left, right = self.name_of[a], self.name_of[b]
-        two = self.pairs[a, b] = merge(left + right, self.usual) == [left, right]
-        return two
+        if a < 0:
+            two = True
+        else:
+            left, right = self.name_of[a], self.name_of[b]
+            two = merge(left + right, self.usual) == [left, right]
+        weight = self.pairs[a, b] = 0.0 if two else NEVER
+        return weight
 
     def segments(self, text: str) -> list[tuple[int, int, int]]:
         if self.merging:
-            return self.automaton.merged(text, self.pairs, self._apart)
+            return self.automaton.best(text, 0.0, self.pairs, self._weigh, 0.0)
         return self.automaton.best(text, self.unknown)
 
     def _raw(self, unknown: str) -> bytes:

@@ -68,6 +68,32 @@ def test_automaton_against_all_segmentations():
             assert abs(sum(pieces[text[s:e]][1] if k >= 0 else -12.0 for s, e, k in got) - best) < 1e-9
 
 
+def test_merging_is_the_one_segmentation_of_weight_zero():
+    names = ["a", "b", "c", "ab", "bc", "abc", "ca", "aa", "bcab"]
+    pieces = {name: (k, -float(k)) for k, name in enumerate(names)}
+    automaton = piece_model.Automaton(pieces)
+
+    def weigh(a, b):
+        two = a < 0 or piece_model.merge(names[a] + names[b], pieces) == [names[a], names[b]]
+        return 0.0 if two else piece_model.NEVER
+
+    for n in range(1, 8):
+        for text in map("".join, product("abc", repeat=n)):
+            whole = []
+            for cuts in product((0, 1), repeat=n - 1):
+                at = [0, *(k + 1 for k, c in enumerate(cuts) if c), n]
+                parts = [text[x:y] for x, y in zip(at, at[1:])]
+                if all(p in pieces for p in parts):
+                    ids = [-1, *(pieces[p][0] for p in parts)]
+                    if all(weigh(a, b) == 0 for a, b in zip(ids, ids[1:])):
+                        whole.append(parts)
+            assert whole == [piece_model.merge(text, pieces)]
+            # leaving the links at the greatest total changes nothing
+            for most in (0.0, np.inf):
+                got = automaton.best(text, 0.0, {}, weigh, most)
+                assert [text[s:e] for s, e, _ in got] == whole[0]
+
+
 def test_encode_every_row(spark, monkeypatch, pieces):
     docs = odd_docs(spark)
     monkeypatch.setattr(queries, "table", lambda *_: docs)
