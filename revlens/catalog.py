@@ -212,18 +212,18 @@ def issue_file_kind(spark, folder):
     return names.withColumn("kind", readers.issue_file_kind(F.col("file_name")))
 
 
-def _build_log_lines(spark, folder) -> DataFrame:
+def _build_log(spark, folder) -> str:
     """Documents as one long build log: a block header, then the whole text."""
     target = scratch_dir(spark, "build-log")
     header = F.concat(F.lit(r"***** s:\src\cpp\d"), F.col("doc_id").cast("string"), F.lit(" *****\n"))
     V.table(spark, folder, "documents").select(F.concat(header, "text").alias("value")).write.text(target)
-    return readers.read_build_log(spark, target)
+    return target
 
 
 @query
 def read_build_log(spark, folder):
     """Lines by their distance from the block header above them."""
-    lines = jobs.numbered_blocks(_build_log_lines(spark, folder))
+    lines = jobs.numbered_blocks(readers.read_build_log(spark, _build_log(spark, folder)))
     starts = (
         lines.filter(jobs.is_block_start(F.col("line")))
         .select("file", "block", F.col("line").alias("header"), F.col("line_no").alias("head_no"))
@@ -775,7 +775,7 @@ def build_errors(spark, folder):
 @query
 def build_errors_of_files(spark, folder):
     """Errors read from text files: each document's last line, under its header."""
-    return jobs.build_errors(_build_log_lines(spark, folder)).select("error_line", "project")
+    return jobs.build_errors_of_files(spark, _build_log(spark, folder)).select("error_line", "project")
 
 
 @query

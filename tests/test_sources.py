@@ -175,6 +175,41 @@ def test_blocks_match_a_sequential_reading(spark, rows, chunk):
     assert rows(jobs.build_errors(lines, chunk_lines=chunk), "error_line", "project", "file") == sorted(expected)
 
 
+@pytest.mark.parametrize("split", ["1000", "134217728"])
+def test_blocks_of_split_files_match_numbered_lines(spark, rows, tmp_path, split):
+    import random
+
+    dice = random.Random(7)
+    pool = ["***** s:\\src\\cpp\\p%d *****", " ***** S:\\src\\cpp\\q%d *****", "*****", "", " \t", "error %d é", "OK, done %d", " stop. ", "Stop.", "x" * 90]
+    for name, n, kinds in (("a", 300, pool), ("b", 120, pool[2:]), ("c", 1, pool[:1]), ("d", 200, pool[:2]), ("e", 0, pool), ("f", 9, pool[3:5])):
+        lines = [dice.choice(kinds) for _ in range(n)]
+        text = "\n".join(line % dice.randrange(5) if "%" in line else line for line in lines)
+        (tmp_path / f"{name}.log").write_text(text + dice.choice(["", "\n"]))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "10")
+    try:
+        path = str(tmp_path)
+        columns = "file", "block", "n_lines", "header", "status", "error_line", "project", "is_last"
+        expected = rows(jobs.build_blocks(readers.read_build_log(spark, path)), *columns)
+        assert len(expected) > 100 and {r[4] for r in expected} == {"rejected", "ok", "error"}
+        assert rows(jobs.build_blocks_of_files(spark, path), *columns) == expected
+        errors = rows(jobs.build_errors_of_files(spark, path, legacy=True), "error_line", "project", "file", "block")
+        assert errors == sorted((r[5], r[6], r[0], r[1]) for r in expected if r[4] == "error" and not r[7])
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_blocks_of_files_move_no_line(spark, tmp_path):
+    (tmp_path / "a.log").write_text("\n".join(LINES))
+    plan = jobs.block_pieces(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
+    # of 600 lines in 3 blocks the pieces are what is written
+    body = "\n".join(f"{LINES[0]}\n" + "\n".join(f"step {k}" for k in range(199)) for _ in range(3))
+    (tmp_path / "a.log").write_text(body)
+    assert jobs.block_pieces(spark, str(tmp_path)).count() == 3
+
+
 def test_statuses(spark, rows):
     lines = [
         "12/08/2013 - Fixedby x", "12/08/2013 - More info requested by x", "12/08/2013 - Case closed by x",
