@@ -9,6 +9,7 @@ lower bound exceeds the k-th upper bound, or the k-th distance found so far, are
 dropped; distances of the others are worked out from the original vectors in
 double precision and kept in a heap per query.  The heaps of the cells are
 merged at the end.  Bounds are safe, so no neighbour is lost: recall is 1.
+Vectors of single precision travel as such, so cells hold twice as many of them.
 
 Vectors that are null, zero or hold null or non-finite components, and rows
 without an id, take no part; vectors of different lengths are not compared.  Of
@@ -22,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bytes of vectors that a cell holds of either side.
 CELL_BYTES = 24 << 20
@@ -31,8 +33,14 @@ TILE = (256, 4096)
 LEAST_GROUPS = 12
 
 
-def valid(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    vector = F.col(vector_col).cast("array<double>")
+def width_of(table: DataFrame, vector_col: str) -> int:
+    """Bytes of a component: 4 if the vectors are of single precision."""
+    kind = table.schema[vector_col].dataType
+    return 4 if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType) else 8
+
+
+def valid(table: DataFrame, id_col: str, vector_col: str, width=8) -> DataFrame:
+    vector = F.col(vector_col).cast("array<float>" if width == 4 else "array<double>")
     rows = table.select(F.col(id_col).cast("long").alias("id"), vector.alias("v")).filter(
         F.col("id").isNotNull()
         & F.col("v").isNotNull()
@@ -43,13 +51,17 @@ def valid(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def quantise(x: np.ndarray):
-    """8-bit vectors, their scales, squared norms and distances from the originals."""
-    top = np.abs(x).max(axis=1)
-    with np.errstate(over="ignore", under="ignore", divide="ignore", invalid="ignore"):
-        scale = np.where(top / 127 > 0, top / 127, 1.0)
-        q = np.clip(np.rint(x / scale[:, None]), -127, 127).astype(np.int8)
-        error = np.sqrt(((x - q * scale[:, None]) ** 2).sum(axis=1)) * (1 + 1e-12)
-    norm = (q.astype(np.float64) ** 2).sum(axis=1)
+    """8-bit vectors, their scales, squared norms and distances from the originals, a tile at a time in double precision."""
+    q, scale, norm, error = np.empty(x.shape, np.int8), np.empty(len(x)), np.empty(len(x)), np.empty(len(x))
+    for at in range(0, len(x), TILE[1]):
+        own = slice(at, at + TILE[1])
+        exact = x[own].astype(np.float64)
+        top = np.abs(exact).max(axis=1)
+        with np.errstate(over="ignore", under="ignore", divide="ignore", invalid="ignore"):
+            scale[own] = np.where(top / 127 > 0, top / 127, 1.0)
+            q[own] = np.clip(np.rint(exact / scale[own, None]), -127, 127)
+            error[own] = np.sqrt(((exact - q[own] * scale[own, None]) ** 2).sum(axis=1)) * (1 + 1e-12)
+        norm[own] = (q[own].astype(np.float64) ** 2).sum(axis=1)
     return q, scale, norm, error
 
 
@@ -62,11 +74,11 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Row by row, added in the order of the components."""
+    """Row by row in double precision, added in the order of the components."""
     total = np.zeros(len(x))
     with np.errstate(over="ignore"):
         for d in range(x.shape[1]):
-            total += (x[:, d] - y[:, d]) ** 2
+            total += (x[:, d].astype(np.float64) - y[:, d]) ** 2
     return np.sqrt(total)
 
 
@@ -115,15 +127,16 @@ def search_cell(q_ids, q, c_ids, c, k: int):
 
 def search(queries: DataFrame, candidates: DataFrame, k=10, id_col="vec_id", vector_col="embedding") -> DataFrame:
     """query_id, rank, vec_id and score (Euclidean distance) of the k nearest candidates."""
-    own = valid(queries, id_col, vector_col)
-    others = valid(candidates, id_col, vector_col)
+    size = max(width_of(queries, vector_col), width_of(candidates, vector_col))
+    own = valid(queries, id_col, vector_col, size)
+    others = valid(candidates, id_col, vector_col, size)
     n_own, n_others, width = (
         own.agg(F.count("id").alias("n"), F.lit(0).alias("m"), F.max("dim").alias("d"))
         .union(others.agg(F.lit(0), F.count("id"), F.max("dim")))
         .agg(F.sum("n"), F.sum("m"), F.max("d"))
         .first()
     )
-    room = max(1, CELL_BYTES // (8 * (width or 1)))
+    room = max(1, CELL_BYTES // (size * (width or 1)))
     columns = max(LEAST_GROUPS, math.ceil((n_others or 0) / room))
     rows = max(1, math.ceil((n_own or 0) / room))
 

@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from revlens.llm import ann, queries
 
@@ -67,15 +68,26 @@ def test_equals_brute_force(spark, rows, monkeypatch):
     assert {tuple(r) for r in got.collect()} == brute(rows, 10, lambda i: i % 100 == 0)
 
 
-def test_tiles_and_cells_change_nothing(spark, monkeypatch):
+@pytest.mark.parametrize("kind", ["double", "float"])
+def test_tiles_and_cells_change_nothing(spark, monkeypatch, kind):
     rows = vectors(300, 8, 2)
     monkeypatch.setattr(ann, "CELL_BYTES", 8 * 8 * 40)
     monkeypatch.setattr(ann, "TILE", (7, 13))
-    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    table = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
     got = ann.search(table.filter("vec_id % 10 = 0"), table, k=5)
     assert {tuple(r) for r in got.collect()} == brute(rows, 5, lambda i: i % 10 == 0)
 
 
+def test_single_precision_travels_as_such(spark):
+    floats = spark.createDataFrame([(1, [0.1, 2.0]), (2, [1e38, -1e38]), (3, [1e-42, 0.0]), (100, [0.3, 1e-45])], "vec_id long, embedding array<float>")
+    assert (ann.width_of(floats, "embedding"), ann.valid(floats, "vec_id", "embedding", 4).schema["v"].dataType.elementType.typeName()) == (4, "float")
+    doubles = floats.withColumn("embedding", F.col("embedding").cast("array<double>"))
+    want = {tuple(r) for r in ann.search(doubles, doubles, k=3).collect()}
+    assert {tuple(r) for r in ann.search(floats, floats, k=3).collect()} == want == brute([tuple(r) for r in doubles.collect()], 3, lambda i: True)
+    # either side of double precision makes both travel in it
+    assert {tuple(r) for r in ann.search(floats, doubles, k=3).collect()} == want
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(200, 33)) * 10.0 ** rng.integers(-3, 3, (200, 1))
