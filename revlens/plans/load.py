@@ -158,7 +158,8 @@ def _store(log: CommitLog, store: CommitStore, week_rule, branch_rules, mode, fo
         elif stored.isEmpty():
             store.append(rows, name, laid_out)
         else:
-            store.append(rows.join(stored, keys, "left_anti"), name)
+            # Merged: planned by the size of compressed files, the keys of millions of rows would be broadcast.
+            store.append(rows.join(stored.hint("merge"), keys, "left_anti"), name)
 
     store.check_span(record=True)
     in_parallel(spark, *[partial(write, name) for name in built if name != "commits"])

@@ -167,7 +167,7 @@ class CommitStore:
         try:
             stored = self.spark.read.schema(df.schema).parquet(path)
             known = stored.select(*[F.col(c).alias(f"stored_{c}") for c in keys])
-            rows = rows.join(known, [F.col(c).eqNullSafe(F.col(f"stored_{c}")) for c in keys], "left_anti")
+            rows = rows.join(known.hint("merge"), [F.col(c).eqNullSafe(F.col(f"stored_{c}")) for c in keys], "left_anti")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise

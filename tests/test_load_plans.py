@@ -235,3 +235,19 @@ def test_a_restarted_stream_of_exports_stores_each_revision_once(spark, tmp_path
     load.ingest(CommitLog.from_nested(read_commit_log(spark, str(source)), unique=False), whole)
     assert content(store) == content(whole)
     assert store.read("commits").count() == 9
+
+
+def test_keys_of_stored_rows_are_not_broadcast(spark, tmp_path, monkeypatch):
+    """Neither what is planned by the sizes of files nor what is learnt at run time sends them to the driver."""
+    store = CommitStore(spark, str(tmp_path / "store"))
+    load.ingest(log_of(spark, 1, 5), store)
+    plans, append = [], CommitStore.append
+    monkeypatch.setattr(CommitStore, "append", lambda self, df, *rest: (plans.append(plan_of(df)), append(self, df, *rest)))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        load.ingest(log_of(spark, 4, 8), store)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    anti = [plan for plan in plans if "LeftAnti" in plan]
+    assert len(anti) > 3 and all("Broadcast" not in plan for plan in anti)
+    assert [r.revision for r in store.read("commits").orderBy("revision").collect()] == list(range(1, 9))
