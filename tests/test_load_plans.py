@@ -251,3 +251,16 @@ def test_keys_of_stored_rows_are_not_broadcast(spark, tmp_path, monkeypatch):
     anti = [plan for plan in plans if "LeftAnti" in plan]
     assert len(anti) > 3 and all("Broadcast" not in plan for plan in anti)
     assert [r.revision for r in store.read("commits").orderBy("revision").collect()] == list(range(1, 9))
+
+
+def test_the_exported_log_is_packed(spark, tmp_path):
+    orders = "o_orderkey long, o_custkey long, o_orderdate timestamp"
+    lines = "l_orderkey long, l_linenumber int, l_suppkey long, l_partkey long, l_returnflag string"
+    spark.createDataFrame([(i, i, datetime(1998, 1, 2)) for i in range(3)], orders).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(i // 2, i, i, i, "N") for i in range(4)], lines).write.parquet(f"{tmp_path}/lineitem.parquet")
+    from revlens import catalog
+
+    files = [name for name in spark.read.text(catalog._export_xml_log(spark, str(tmp_path))).inputFiles()]
+    assert files and all(name.endswith(".gz") for name in files)
+    read = catalog.read_commit_log(spark, str(tmp_path)).collect()
+    assert sorted((r.revision, r.path is None) for r in read) == [(1, False), (1, False), (2, False), (2, False), (3, True)]
