@@ -1,8 +1,8 @@
 """Names and sizes of files as a table, listed by tasks; and files written by tasks, one per row.
 
 Spark's own readers know the files of a folder on the driver.  Here the driver lists
-the upper folders only, until there are enough for the tasks; each task lists one folder with
-all below it.  File systems are those pyarrow knows (local, hdfs, s3, gs, abfs).
+the upper folders only, until there are enough for the tasks, and deals out what it found; each task
+lists its folders with all below them.  The tasks are as many as the cluster works off quickly, not as the folders.  File systems are those pyarrow knows (local, hdfs, s3, gs, abfs).
 """
 
 import sys
@@ -16,6 +16,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 #: Folders that the driver lists itself.
 LISTED_FIRST = 64
+#: Tasks per core.
+TASKS_PER_CORE = 4
 #: Files of a batch.
 BATCH = 10_000
 
@@ -27,16 +29,16 @@ def opened(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
-class Folder(InputPartition):
-    """A folder, with what is below it if ``deep``."""
+class Folders(InputPartition):
+    """Folders as pairs of a path and whether all below it counts too."""
 
-    def __init__(self, path: str, deep: bool):
-        self.path, self.deep = path, deep
+    def __init__(self, folders: list[tuple[str, bool]]):
+        self.folders = folders
 
 
 class ListingReader(DataSourceReader):
-    def __init__(self, path: str, glob: str):
-        self.path, self.glob = path, glob
+    def __init__(self, path: str, glob: str, tasks: int):
+        self.path, self.glob, self.tasks = path, glob, tasks
 
     def partitions(self):
         system, root = opened(self.path)
@@ -45,25 +47,35 @@ class ListingReader(DataSourceReader):
         waiting, listed = [root], []
         while waiting and len(listed) < LISTED_FIRST:
             folder = waiting.pop(0)
-            listed.append(Folder(folder, False))
+            listed.append((folder, False))
             found = system.get_file_info(fs.FileSelector(folder))
             waiting += sorted(f.path for f in found if f.type == fs.FileType.Directory)
-        return [*listed, *[Folder(path, True) for path in waiting]]
+        found = [*listed, *[(path, True) for path in waiting]]
+        return [Folders(found[i :: self.tasks]) for i in range(min(self.tasks, len(found)))]
 
     def read(self, partition):
         system, _ = opened(self.path)
-        found = system.get_file_info(fs.FileSelector(partition.path, recursive=partition.deep))
-        kept = [
-            f for f in found if f.type == fs.FileType.File and fnmatch(f.base_name, self.glob) and f.base_name[0] not in "._"
-        ]
-        for at in range(0, len(kept), BATCH):
-            part = kept[at : at + BATCH]
-            columns = [pa.array([f.path for f in part]), pa.array([f.size for f in part], pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["path", "length"])
+        kept = []
+        for path, deep in partition.folders:
+            kept += [
+                (f.path, f.size)
+                for f in system.get_file_info(fs.FileSelector(path, recursive=deep))
+                if f.type == fs.FileType.File and fnmatch(f.base_name, self.glob) and f.base_name[0] not in "._"
+            ]
+            while len(kept) >= BATCH:
+                yield _batch(kept[:BATCH])
+                kept = kept[BATCH:]
+        if kept:
+            yield _batch(kept)
+
+
+def _batch(files: list[tuple[str, int]]) -> pa.RecordBatch:
+    columns = [pa.array([path for path, _ in files], pa.string()), pa.array([size for _, size in files], pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, ["path", "length"])
 
 
 class Listing(DataSource):
-    """Files below a folder: ``path`` and ``length``.  Options ``path`` and ``glob`` (of the name)."""
+    """Files below a folder: ``path`` and ``length``.  Options ``path``, ``glob`` (of the name) and ``tasks``."""
 
     @classmethod
     def name(cls):
@@ -73,12 +85,13 @@ class Listing(DataSource):
         return "path string, length long"
 
     def reader(self, schema):
-        return ListingReader(self.options["path"], self.options.get("glob", "*"))
+        return ListingReader(self.options["path"], self.options.get("glob", "*"), int(self.options.get("tasks", LISTED_FIRST)))
 
 
 def list_files(spark: SparkSession, path: str, glob="*") -> DataFrame:
     spark.dataSource.register(Listing)
-    return spark.read.format(Listing.name()).option("path", path).option("glob", glob).load()
+    tasks = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    return spark.read.format(Listing.name()).option("path", path).option("glob", glob).option("tasks", tasks).load()
 
 
 def write_files(df: DataFrame, path: str, name_col="name", body_col="body") -> int:

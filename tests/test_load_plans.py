@@ -264,3 +264,13 @@ def test_the_exported_log_is_packed(spark, tmp_path):
     assert files and all(name.endswith(".gz") for name in files)
     read = catalog.read_commit_log(spark, str(tmp_path)).collect()
     assert sorted((r.revision, r.path is None) for r in read) == [(1, False), (1, False), (2, False), (2, False), (3, True)]
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
+    n = 40 * spark.sparkContext.defaultParallelism
+    for i in range(n):
+        (tmp_path / f"d{i}/deep").mkdir(parents=True)
+        (tmp_path / f"d{i}/deep/{i}.diff").write_bytes(b"x" * i)
+    listed = list_files(spark, str(tmp_path), "*.diff")
+    assert 7 < listed.rdd.getNumPartitions() < n / 4
+    assert sorted(r.length for r in listed.collect()) == list(range(n))
