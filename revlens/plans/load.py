@@ -189,16 +189,14 @@ def _stage(
         slot = F.expr(f"revision div {max(1, span // RANGE_PARTS)}")
         return diffs.with_sizes(label(heads), sizes, slot).withColumn(BUCKET, bucket(span))
 
-    def write(df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, name, [BUCKET], below)
-
+    # A file holds whole ranges; a folder for each would only cost the renames and listings of thousands.
     if log.nested is not None:
-        return CommitLog.from_described(write(lay_out(log.nested).observe(observed, *counts), "log"))
+        return CommitLog.from_described(materialize(lay_out(log.nested).observe(observed, *counts), "log", below=below))
     return CommitLog(
         *in_parallel(
             log.heads.sparkSession,
-            lambda: write(lay_out(log.heads).observe(observed, *counts), "heads"),
-            lambda: write(by_range(log.paths, span), "paths"),
+            lambda: materialize(lay_out(log.heads).observe(observed, *counts), "heads", below=below),
+            lambda: materialize(by_range(log.paths, span), "paths", below=below),
         )
     )
 

@@ -274,3 +274,22 @@ def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
     listed = list_files(spark, str(tmp_path), "*.diff")
     assert 7 < listed.rdd.getNumPartitions() < n / 4
     assert sorted(r.length for r in listed.collect()) == list(range(n))
+
+
+def flat_log(spark):
+    """Entries and paths of which one comes twice, later with other facts."""
+    at = datetime(2016, 1, 2, tzinfo=timezone.utc)
+    entries = spark.createDataFrame([(r, at, "ann", f"fix #{1000 + r} - AB") for r in range(1, 41)], "revision long, date timestamp, author string, message string")
+    paths = [(r, o, f"/trunk/{r}_{o % 2}.java", "M" if o < 3 else "D", "dir" if r % 3 == 0 and o > 2 else "file", "/x") for r in range(1, 40) for o in (1, 2, 3)]
+    paths = spark.createDataFrame(paths, "revision long, ordinal int, path string, type string, kind string, copy_path string")
+    return CommitLog.from_flat(entries, paths, unique_paths=False)
+
+
+def test_a_staged_log_has_no_folder_per_range(spark, tmp_path, monkeypatch):
+    log, store = flat_log(spark), CommitStore(spark, str(tmp_path / "store"), span=1)
+    staged = []
+    monkeypatch.setattr(load, "discard", lambda _spark, path: staged.append(path))
+    load.ingest(log, store)
+    files = spark.read.parquet(f"{staged[0]}/heads").inputFiles() + spark.read.parquet(f"{staged[0]}/paths").inputFiles()
+    assert files and not any("rev_bucket=" in name for name in files)
+    assert len(store.buckets("commits")) == 40 and store.read("commits").count() == 40
