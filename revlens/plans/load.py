@@ -192,13 +192,9 @@ def _stage(
     # A file holds whole ranges; a folder for each would only cost the renames and listings of thousands.
     if log.nested is not None:
         return CommitLog.from_described(materialize(lay_out(log.nested).observe(observed, *counts), "log", below=below))
-    return CommitLog(
-        *in_parallel(
-            log.heads.sparkSession,
-            lambda: materialize(lay_out(log.heads).observe(observed, *counts), "heads", below=below),
-            lambda: materialize(by_range(log.paths, span), "paths", below=below),
-        )
-    )
+    paths = materialize(by_range(log.paths, span), "paths", below=below)
+    heads = lay_out(log.with_paths(paths).heads).observe(observed, *counts)
+    return CommitLog(materialize(heads, "heads", below=below), paths)
 
 
 def load(

@@ -111,12 +111,15 @@ class CommitLog:
     ``heads`` has one row per commit with its first path, number of paths and
     the two facts the diff policy needs.  ``paths`` has one row per changed path.
     ``nested``, if the log has that form, is the heads with their paths in an
-    array, which yields both views in one pass.
+    array, which yields both views in one pass.  ``entries``, if heads are derived
+    from them and the paths, lets heads be derived again from a copy of the paths.
     """
 
     heads: DataFrame
     paths: DataFrame
     nested: DataFrame | None = None
+    entries: DataFrame | None = None
+    mode: str = "suffix"
 
     @classmethod
     def from_nested(cls, nested: DataFrame, unique=True, mode="suffix") -> "CommitLog":
@@ -179,12 +182,21 @@ class CommitLog:
             F.coalesce("copied", F.lit(False)).alias("has_copied_dir"),
             F.coalesce("diffable", F.lit(False)).alias("has_diffable"),
         )
-        return cls(heads, unique.select("revision", "ordinal", "path", "type", "kind", "copy_path"))
+        paths = unique.select("revision", "ordinal", "path", "type", "kind", "copy_path")
+        return cls(heads, paths, entries=entries, mode=mode)
+
+    def with_paths(self, paths: DataFrame) -> "CommitLog":
+        """The log over a written copy of its paths, which are unique, so that they are not de-duplicated again."""
+        if self.entries is None:
+            return CommitLog(self.heads, paths)
+        return CommitLog.from_flat(self.entries, paths, mode=self.mode)
 
     def between(self, start: int = 1, end: int | None = None) -> "CommitLog":
         if self.nested is not None:
             return CommitLog.from_described(revision_range(self.nested, start, end))
-        return CommitLog(revision_range(self.heads, start, end), revision_range(self.paths, start, end))
+        heads, paths = revision_range(self.heads, start, end), revision_range(self.paths, start, end)
+        entries = None if self.entries is None else revision_range(self.entries, start, end)
+        return CommitLog(heads, paths, entries=entries, mode=self.mode)
 
     @cached_property
     def dated(self) -> DataFrame:

@@ -285,6 +285,24 @@ def flat_log(spark):
     return CommitLog.from_flat(entries, paths, unique_paths=False)
 
 
+def test_heads_are_derived_from_the_written_paths(spark, tmp_path, monkeypatch):
+    log, store = flat_log(spark), CommitStore(spark, str(tmp_path / "store"), span=10)
+    heads, write, sources, written = log.between(1, 39).heads, load.materialize, [], []
+
+    def noted(df, name, **options):
+        if name == "heads":
+            sources.extend(df.inputFiles())
+            written.extend(df.select(*heads.columns).collect())
+        return write(df, name, **options)
+
+    monkeypatch.setattr(load, "materialize", noted)
+    found = load.ingest(log.between(1, 39), store)
+    assert sources and all("/paths/" in name for name in sources)
+    assert sorted(written) == sorted(heads.collect())
+    assert found["diffs_needed"] == heads.filter(diffs.needs_diff_column()).count() == 39
+    assert store.read("files").count() == 78
+
+
 def test_a_staged_log_has_no_folder_per_range(spark, tmp_path, monkeypatch):
     log, store = flat_log(spark), CommitStore(spark, str(tmp_path / "store"), span=1)
     staged = []
