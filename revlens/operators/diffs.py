@@ -53,7 +53,7 @@ def update_sizes(commits: DataFrame, sizes: DataFrame, start: int = 1, end: int
         in_range &= F.col("revision") <= end
     size = F.when(in_range, F.coalesce("found_size", F.lit(NO_DIFF_SIZE))).otherwise(F.col("diff_size"))
     return (
-        commits.join(known, "revision", "left")
+        commits.join(known.hint("merge"), "revision", "left")
         .withColumn("diff_size", size.cast("bigint"))
         .select(*commits.columns)
     )
@@ -68,9 +68,12 @@ def progress(heads: DataFrame) -> DataFrame:
 
 
 def refresh(commits: DataFrame, heads: DataFrame, sizes: DataFrame, start: int = 1, end: int | None = None) -> DataFrame:
-    """Diff sizes of a range re-derived; files of commits that need none do not count."""
+    """Diff sizes of a range re-derived; files of commits that need none do not count.
+
+    Sizes are merged: small as their files are, they hold millions of rows that a broadcast would send to the driver.
+    """
     unneeded = revision_range(heads, start, end).filter(~needs_diff_column()).select("revision")
-    return update_sizes(commits, sizes.join(unneeded, "revision", "left_anti"), start, end)
+    return update_sizes(commits, sizes.join(unneeded.hint("merge"), "revision", "left_anti"), start, end)
 
 
 def with_sizes(heads: DataFrame, sizes: DataFrame, slot: Column) -> DataFrame:
