@@ -316,10 +316,6 @@ def test_a_staged_log_has_no_folder_per_range(spark, tmp_path, monkeypatch):
 def test_diff_sizes_are_not_broadcast(spark):
     log, sizes = flat_log(spark), spark.createDataFrame([(r, 10 * r) for r in (1, 2, 3)], "revision long, length long")
     refreshed = diffs.refresh(tables.commits(log.heads), log.heads, sizes, 1, 40).select("revision", "diff_size")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        plan = plan_of(refreshed)
-    finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
-    assert plan.count("SortMergeJoin") >= 2 and "LeftAnti" in plan
+    plan = refreshed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("rightHint=(strategy=merge)") == 2
     assert {r[0]: r[1] for r in refreshed.filter("revision < 4").collect()} == {1: 10, 2: 20, 3: 30}
