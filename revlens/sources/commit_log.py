@@ -1,5 +1,6 @@
 """The commit log: exported XML, JSON or parquet in, entries and paths out."""
 
+import re
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -50,22 +51,24 @@ def stream_commit_log(
     """A stream of the entries of exported XML files in a folder, files as they arrive.
 
     It reads files as ``read_commit_log`` does.  ``max_files`` bounds the files of a micro-batch, so
-    that a folder full of old exports is worked off in bounded steps.  Files count as a whole:
+    that a folder full of old exports is worked off in bounded steps; a packed file is unpacked by
+    one task, so those few files are dealt out as text and parsed by all.  Files count as a whole:
     they must appear complete, by a rename, as Spark's file streams ask for.
     """
     reader = spark.readStream.option("lineSep", f"</{row_tag}>")
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return _entries(reader.text(path), row_tag)
+    if max_files is None:
+        return _entries(reader.text(path), row_tag)
+    return _entries(reader.option("maxFilesPerTrigger", max_files).text(path), row_tag, deal=True)
 
 
-def _entries(texts: DataFrame, row_tag: str) -> DataFrame:
-    """Log entries from text that ends a record at each closing tag."""
+def _entries(texts: DataFrame, row_tag: str, deal=False) -> DataFrame:
+    """Log entries from text that ends a record at each closing tag; ``deal`` parses in other tasks than those that read."""
     opening = F.instr("value", f"<{row_tag}")
     element = F.concat(F.substr("value", opening), F.lit(f"</{row_tag}>"))
     options = {"ignoreSurroundingSpaces": "false", "mode": "FAILFAST"}
+    kept = texts.filter(opening > 0)
     raw = (
-        texts.filter(opening > 0)
+        (_dealt(kept, row_tag) if deal else kept)
         .select(F.from_xml(element, XML_ENTRY, options).alias("entry"))
         .select("entry.*")
     )
@@ -87,6 +90,17 @@ def _entries(texts: DataFrame, row_tag: str) -> DataFrame:
     )
 
 
+def _dealt(texts: DataFrame, row_tag: str) -> DataFrame:
+    """The texts of entries dealt out to tasks, those of a revision together unless they are very many.
+
+    Repeated entries then meet before they are shuffled again.  The revision is only looked for to
+    place a text: one in which it is not found goes by its whole content.
+    """
+    number = F.regexp_extract("value", rf"""<{re.escape(row_tag)}\s[^>]*?\brevision\s*=\s*["'](\d+)""", 1)
+    place = F.xxhash64(F.when(number != "", number).otherwise(F.col("value")))
+    return texts.withColumn("place", place).hint("rebalance", "place")
+
+
 def revision_range(df: DataFrame, start: int = 1, end: int | None = None) -> DataFrame:
     """Rows from ``start`` to ``end``, both included; no end means the newest."""
     kept = F.col("revision") >= start

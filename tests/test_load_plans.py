@@ -237,6 +237,32 @@ def test_a_restarted_stream_of_exports_stores_each_revision_once(spark, tmp_path
     assert store.read("commits").count() == 9
 
 
+def test_packed_exports_of_a_stream_are_parsed_by_more_tasks_than_files(spark, tmp_path):
+    import gzip
+
+    source, seen = tmp_path / "exports", []
+    source.mkdir()
+    entries = [ENTRY.format(r, 1000 + r) for r in [*range(1, 41), *range(1, 41)]]
+    odd = ["<logentry><msg>no number</msg></logentry>", "<logentry\n   note='>' revision='41'><msg>&lt;logentry revision=\"7\"></msg></logentry>"]
+    with gzip.open(source / "a.xml.gz", "wt") as file:
+        file.write("<?xml version='1.0'?>\n<log>\n" + "\n".join([*entries, *odd]) + "\n</log>\n")
+
+    def look(batch, _):
+        seen.extend(batch.select("revision", "message", F.spark_partition_id().alias("task")).collect())
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        stream = stream_commit_log(spark, str(source), max_files=1).writeStream.foreachBatch(look)
+        stream.option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len({r.task for r in seen}) > 1
+    assert sorted(r.revision for r in seen if r.revision) == sorted([*range(1, 41), *range(1, 41), 41])
+    assert {r.message for r in seen if r.revision in (None, 41)} == {"no number", '<logentry revision="7">'}
+    # repeated entries meet in one task
+    assert len({(r.revision, r.task) for r in seen}) == 42
+
+
 def test_keys_of_stored_rows_are_not_broadcast(spark, tmp_path, monkeypatch):
     """Neither what is planned by the sizes of files nor what is learnt at run time sends them to the driver."""
     store = CommitStore(spark, str(tmp_path / "store"))
